@@ -15,10 +15,18 @@ PASS = "PASS"
 
 
 class Rule(NamedTuple):
-    """One test of one column: its name, and when a row fails it."""
+    """One test of one column: a null test, or a length test if a length is given."""
 
     name: str
-    fails: Column
+    column: str
+    length: int | None = None
+
+    @property
+    def fails(self) -> Column:
+        """True for a row that fails; NULL passes a length test."""
+        if self.length is None:
+            return field(self.column).isNull()
+        return F.length(field(self.column).cast("string")) != F.lit(int(self.length))
 
     @property
     def result(self) -> Column:
@@ -49,16 +57,6 @@ def length_rules(columns_df: DataFrame) -> DataFrame:
     )
 
 
-def null_rule(column: str, name: str) -> Rule:
-    """The row fails when the column is NULL."""
-    return Rule(name, field(column).isNull())
-
-
-def length_rule(column: str, length: int, name: str) -> Rule:
-    """The row fails when the column's text has another length; NULL passes."""
-    return Rule(name, F.length(field(column).cast("string")) != F.lit(int(length)))
-
-
 def compile_rules(
     null_df: DataFrame | None,
     length_df: DataFrame | None,
@@ -72,9 +70,9 @@ def compile_rules(
     """
     rules = []
     for row in _rows_of(null_df, database, table):
-        rules.append(null_rule(row["column_name"], _named(row)))
+        rules.append(Rule(_named(row), row["column_name"]))
     for row in _rows_of(length_df, database, table):
-        rules.append(length_rule(row["column_name"], row["length_test"], _named(row)))
+        rules.append(Rule(_named(row), row["column_name"], row["length_test"]))
     return rules
 
 

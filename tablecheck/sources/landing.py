@@ -8,7 +8,6 @@ whatever is measured is measured by Spark over the data.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +17,11 @@ from tablecheck.functions.missing import normalize_missing
 from tablecheck.functions.names import column_id, field, table_id
 from tablecheck.functions.properties import parse_properties
 from tablecheck.operators.rowchange import sync
-from tablecheck.sources.tables import table_detail
+from tablecheck.sources.tables import quoted, table_detail
 
-# Names of the properties that file crawlers set on a table.
+# Names of the properties that file crawlers set on a table.
 PROPERTY_NAMES = {
+    "classification": "classification",
     "updateCrawler": "UPDATED_BY_CRAWLER",
     "areColumnsQuoted": "areColumnsQuoted",
     "columnsOrdered": "columnsOrdered",
@@ -99,8 +99,9 @@ def land_database_columns(
     """Columns of every non-temporary table of the databases."""
     landed = []
     for database, table in list_tables(spark, databases):
-        columns = spark.catalog.listColumns(f"{database}.{table}")
-        df = spark.table(f"{database}.{table}")
+        name = quoted(f"{database}.{table}")
+        columns = spark.catalog.listColumns(name)
+        df = spark.table(name)
         landed.append(
             land_columns(
                 df,
@@ -137,7 +138,7 @@ def land_database_tables(spark: SparkSession, databases: Sequence[str]) -> DataF
 def land_create_statements(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
     """``database, table, createStatement`` of every non-temporary table."""
     rows = [
-        (d, t, spark.sql(f"SHOW CREATE TABLE {d}.{t}").first()[0])
+        (d, t, spark.sql(f"SHOW CREATE TABLE {quoted(f'{d}.{t}')}").first()[0])
         for d, t in list_tables(spark, databases)
     ]
     return spark.createDataFrame(rows, "database string, table string, createStatement string")
@@ -277,9 +278,10 @@ def _land_table(
     detail: dict[str, str] = {}
     description = None
     if given is None:
-        detail = table_detail(spark, f"{database}.{table}")
+        name = quoted(f"{database}.{table}")
+        detail = table_detail(spark, name)
         description = detail.get("Comment")
-        df = spark.table(f"{database}.{table}")
+        df = spark.table(name)
     elif isinstance(given, str):
         df = spark.read.parquet(given)
         detail = {"Provider": "parquet", "Location": given}
@@ -293,9 +295,7 @@ def _land_table(
     else:
         counted = measure_files(df)
     known = parse_properties(F.lit(detail.get("Table Properties")).cast("string"))
-    properties = {
-        name: known[key].alias(name) for name, key in PROPERTY_NAMES.items()
-    }
+    properties = {name: known[key].alias(name) for name, key in PROPERTY_NAMES.items()}
 
     def text(value):
         return F.lit(value).cast("string")
@@ -308,7 +308,9 @@ def _land_table(
         F.coalesce(
             F.try_divide("sizeKey", "recordCount").cast("bigint"), F.lit(0).cast("bigint")
         ).alias("avgRecordSize"),
-        text(detail.get("Provider")).alias("classification"),
+        F.coalesce(properties["classification"], text(detail.get("Provider"))).alias(
+            "classification"
+        ),
         properties["columnsOrdered"],
         properties["compressionType"],
         properties["delimiter"],
@@ -339,6 +341,11 @@ def measure_files(df: DataFrame) -> DataFrame:
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union in a balanced tree, which keeps the plan shallow for many tables."""
     if not parts:
         raise ValueError("no tables to land")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    parts = list(parts)
+    while len(parts) > 1:
+        pairs = [parts[i : i + 2] for i in range(0, len(parts), 2)]
+        parts = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return parts[0]

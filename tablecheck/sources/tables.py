@@ -15,7 +15,14 @@ def load(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFr
     """A catalog table by name, or files by path (anything holding a slash)."""
     if "/" in name_or_path:
         return spark.read.format(fmt).load(name_or_path)
-    return spark.table(name_or_path)
+    return spark.table(quoted(name_or_path))
+
+
+def quoted(name: str) -> str:
+    """Dotted name with each part in backticks, so keywords and hyphens are fine."""
+    if "`" in name:
+        return name
+    return ".".join(f"`{part}`" for part in name.split("."))
 
 
 def ensure_table(
@@ -28,6 +35,7 @@ def ensure_table(
     properties: Mapping[str, str] | None = None,
 ) -> bool:
     """Create the table unless it is there; returns whether it was created."""
+    name = quoted(name)
     if spark.catalog.tableExists(name):
         return False
     empty = spark.createDataFrame([], schema)
@@ -71,26 +79,27 @@ def replace_table(df: DataFrame, name: str) -> None:
     recover_table(spark, name)
     partition_by, bucket_by = table_layout(spark, name)
     properties = table_properties(spark, name)
-    stage, old = f"{name}__stage", f"{name}__old"
+    stage, old = quoted(f"{name}__stage"), quoted(f"{name}__old")
+    name = quoted(name)
     spark.sql(f"DROP TABLE IF EXISTS {stage}")
     _writer(df, partition_by, bucket_by).saveAsTable(stage)
     if properties:
         pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {stage} SET TBLPROPERTIES ({pairs})")
-    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    _rename(spark, name, old)
+    _rename(spark, stage, name)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def recover_table(spark: SparkSession, name: str) -> bool:
     """Undo or finish a swap that was cut off; returns whether the old content came back."""
-    old = f"{name}__old"
+    name, old = quoted(name), quoted(f"{name}__old")
     if not spark.catalog.tableExists(old):
         return False
     if spark.catalog.tableExists(name):
         spark.sql(f"DROP TABLE {old}")
         return False
-    spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+    _rename(spark, old, name)
     return True
 
 
@@ -98,7 +107,7 @@ def table_layout(
     spark: SparkSession, name: str
 ) -> tuple[list[str], tuple[int, list[str]] | None]:
     """Partition columns, and bucket number and columns, of a catalog table."""
-    columns = spark.catalog.listColumns(name)
+    columns = spark.catalog.listColumns(quoted(name))
     partition_by = [c.name for c in columns if c.isPartition]
     bucket_columns = [c.name for c in columns if c.isBucket]
     number = table_detail(spark, name).get("Num Buckets")
@@ -109,7 +118,7 @@ def table_detail(spark: SparkSession, name: str) -> dict[str, str]:
     """The detail section of ``DESCRIBE EXTENDED`` by label."""
     detail: dict[str, str] = {}
     inside = False
-    for row in spark.sql(f"DESCRIBE EXTENDED {name}").collect():
+    for row in spark.sql(f"DESCRIBE EXTENDED {quoted(name)}").collect():
         if row["col_name"].startswith("# Detailed Table Information"):
             inside = True
         elif inside and row["col_name"]:
@@ -119,10 +128,17 @@ def table_detail(spark: SparkSession, name: str) -> dict[str, str]:
 
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     """Table properties the user set."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
     return {r["key"]: r["value"] for r in rows}
 
 
+def _rename(spark: SparkSession, name: str, new_name: str) -> None:
+    spark.sql(f"ALTER TABLE {name} RENAME TO {new_name}")
+    if any(c.isPartition for c in spark.catalog.listColumns(new_name)):
+        # partitions are listed with their former paths until they are synced
+        spark.sql(f"MSCK REPAIR TABLE {new_name} SYNC PARTITIONS")
+
+
 def _writer(df, partition_by, bucket_by, location=None):
     writer = df.write.format("parquet")
     if partition_by:
