@@ -5,6 +5,7 @@ from tablecheck.functions.names import (
     any_null,
     column_id,
     field,
+    quote,
     same_text,
     split_key,
     table_id,
@@ -18,6 +19,7 @@ __all__ = [
     "mark_missing",
     "normalize_missing",
     "parse_properties",
+    "quote",
     "same_text",
     "split_key",
     "table_id",

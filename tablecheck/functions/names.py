@@ -9,10 +9,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quote(name: str) -> str:
+    """A name in backticks, for use in expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def field(name: str, alias: str | None = None) -> Column:
     """Column of exactly this name, whatever characters it holds."""
-    quoted = "`" + name.replace("`", "``") + "`"
-    return F.col(f"{alias}.{quoted}" if alias else quoted)
+    return F.col(f"{alias}.{quote(name)}" if alias else quote(name))
 
 
 def table_id(database: str | Column = "database", table: str | Column = "table") -> Column:

@@ -21,19 +21,24 @@ from tablecheck.operators.rules import PASS, Rule
 TAG = "data_quality_tag"
 NOT_UNIQUE = "key_not_unique"
 
-_BITS = 63  # rules per mask column: a bigint without its sign bit
+# Rules per mask column. An aggregation carries few wide masks, in a bigint without
+# its sign bit. A projection takes many narrow ones: those stay below the size at
+# which the JVM stops compiling the generated method.
+_WIDE, _NARROW = 63, 16
+_MASK = "__mask_"
 _COUNT = "__key_count"
 
-
-def failed_tests(rules: Sequence[Rule]) -> Column:
-    """Names of the tests a row fails, in rule order."""
-    results = [rule.result for rule in rules] or [F.lit(PASS)]
-    return F.array_except(F.array(*results), F.array(F.lit(PASS)))
+# Up to so many rules the names are built by one conditional per rule, inside
+# generated code. More would make a method too large for the JVM to compile, so
+# the names are then picked from a constant array by their bit.
+_INLINE = 16
 
 
 def tag_rows(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
     """Key columns and failed tests of every row; a projection, no shuffle."""
-    return df.select(*[field(k) for k in keys], failed_tests(rules).alias(TAG))
+    columns = [field(k) for k in keys]
+    marked = _marked(df, rules)
+    return marked.select(*columns, _failed(rules, _NARROW).alias(TAG))
 
 
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,10 +56,9 @@ def tag_keys(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataF
     exact because they are read only where the key has a single row.
     """
     columns = [field(k) for k in keys]
-    words = [rules[i : i + _BITS] for i in range(0, len(rules), _BITS)]
-    masks = [F.max(_mask(word)).alias(f"__mask_{i}") for i, word in enumerate(words)]
+    masks = [F.max(mask).alias(name) for name, mask in _masks(rules, _WIDE).items()]
     grouped = df.groupBy(*columns).agg(_full_keys(columns).alias(_COUNT), *masks)
-    tags = F.when(field(_COUNT) == 1, _decode(words)).otherwise(_not_unique())
+    tags = F.when(field(_COUNT) == 1, _failed(rules, _WIDE)).otherwise(_not_unique())
     return grouped.select(*columns, tags.alias(TAG))
 
 
@@ -74,7 +78,10 @@ def with_tags(
     columns = [field(k) for k in keys]
     repeated = key_counts(df, keys).where(F.col("key_count") > 1)
     seen = lookup(df, repeated, [(k, k) for k in keys], _COUNT, split_hot=split_hot)
-    tags = F.when(any_null(columns) | field(_COUNT), _not_unique()).otherwise(failed_tests(rules))
+    seen = _marked(seen, rules)
+    tags = F.when(any_null(columns) | field(_COUNT), _not_unique()).otherwise(
+        _failed(rules, _NARROW)
+    )
     return seen.select(*[field(c) for c in df.columns], tags.alias(TAG))
 
 
@@ -155,17 +162,43 @@ def _not_unique() -> Column:
     return F.array(F.lit(NOT_UNIQUE))
 
 
-def _mask(rules: Sequence[Rule]) -> Column:
-    bits = [F.when(rule.fails, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, rule in enumerate(rules)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+def _masks(rules: Sequence[Rule], width: int) -> dict[str, Column]:
+    """Failed tests of a row as bits, one bigint for every ``width`` rules."""
+    masks = {}
+    for start in range(0, len(rules), width):
+        bits = [
+            f"IF({rule.condition}, {1 << i}L, 0L)"
+            for i, rule in enumerate(rules[start : start + width])
+        ]
+        masks[f"{_MASK}{start // width}"] = F.expr(" | ".join(bits))
+    return masks
+
+
+def _marked(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    return df.withColumns(_masks(rules, _NARROW)) if rules else df
 
 
-def _decode(words: Sequence[Sequence[Rule]]) -> Column:
+def _bit_set(mask: Column):
+    return lambda _, place: F.getbit(mask, place) == 1
+
+
+def _failed(rules: Sequence[Rule], width: int) -> Column:
+    """Names of the failed tests, in rule order and each once, from the mask columns."""
+    if not rules:
+        return F.array().cast("array<string>")
+    words = [rules[i : i + width] for i in range(0, len(rules), width)]
+    masks = [field(f"{_MASK}{w}") for w in range(len(words))]
+    if len(rules) <= _INLINE:
+        results = [
+            F.when(F.getbit(masks[0], F.lit(i)) == 1, F.lit(rule.name)).otherwise(F.lit(PASS))
+            for i, rule in enumerate(rules)
+        ]
+        return F.array_except(F.array(*results), F.array(F.lit(PASS)))
+    passed = reduce(lambda a, b: a & b, [mask == 0 for mask in masks])
     names = [
-        F.when(
-            field(f"__mask_{w}").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.lit(rule.name)
-        ).otherwise(F.lit(PASS))
-        for w, word in enumerate(words)
-        for i, rule in enumerate(word)
-    ] or [F.lit(PASS)]
-    return F.array_except(F.array(*names), F.array(F.lit(PASS)))
+        F.filter(F.lit([rule.name for rule in word]), _bit_set(mask))
+        for word, mask in zip(words, masks)
+    ]
+    return F.when(passed, F.array().cast("array<string>")).otherwise(
+        F.array_distinct(F.concat(*names))
+    )

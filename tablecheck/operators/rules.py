@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.functions.names import field, same_text, split_key
+from tablecheck.functions.names import field, quote, same_text, split_key
 from tablecheck.operators.rowchange import update_where
 
 PASS = "PASS"
@@ -22,16 +22,17 @@ class Rule(NamedTuple):
     length: int | None = None
 
     @property
-    def fails(self) -> Column:
-        """True for a row that fails; NULL passes a length test."""
+    def condition(self) -> str:
+        """Expression that is true for a row that fails; NULL passes a length test."""
+        column = quote(self.column)
         if self.length is None:
-            return field(self.column).isNull()
-        return F.length(field(self.column).cast("string")) != F.lit(int(self.length))
+            return f"{column} IS NULL"
+        return f"length(CAST({column} AS STRING)) != {int(self.length)}"
 
     @property
     def result(self) -> Column:
         """The test's name for a failing row, else ``PASS``."""
-        return F.when(self.fails, F.lit(self.name)).otherwise(F.lit(PASS))
+        return F.when(F.expr(self.condition), F.lit(self.name)).otherwise(F.lit(PASS))
 
 
 def null_rules(columns_df: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from tablecheck.operators import layout, quality, registry, rowchange, rules
 from tablecheck.sources import dictionary as shapes
 from tablecheck.sources import folders, landing
 from tablecheck.sources.scratch import scratch_path
-from tablecheck.sources.tables import add_columns, load
+from tablecheck.sources.tables import add_columns, load, local_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -904,7 +904,7 @@ def missing_markers_customer(spark, sf_dir):
 """)
 def rules_from_dictionary(spark, sf_dir):
     found = landed(spark, sf_dir, DICTIONARY_TABLES)
-    empty = spark.createDataFrame([], shapes.COLUMN_DICTIONARY)
+    empty = local_rows(spark, [], shapes.COLUMN_DICTIONARY)
     columns = add_columns(landing.sync_columns(empty, found), shapes.COLUMN_RULES)
     # bigint columns found free of NULLs are to stay so
     keys = found.where((F.col("null_count") == 0) & (F.col("dataType") == "bigint"))
@@ -1083,7 +1083,7 @@ def reorder_alphabetically(spark, sf_dir):
 """)
 def apply_layout(spark, sf_dir):
     orders = read(spark, sf_dir, "orders")
-    empty = spark.createDataFrame([], shapes.COLUMN_DICTIONARY)
+    empty = local_rows(spark, [], shapes.COLUMN_DICTIONARY)
     found = landing.land_columns(orders, "lake", "orders", measure=False)
     columns = landing.sync_columns(empty, found)
     columns = layout.reorder_alphabetically(columns, "lake")

@@ -47,6 +47,22 @@ TABLE_DICTIONARY = T.StructType(
     ]
 )
 
+LANDED_COLUMNS = T.StructType(
+    [
+        T.StructField("column_id", _STRING),
+        T.StructField("table_id", _STRING),
+        T.StructField("database", _STRING),
+        T.StructField("table", _STRING),
+        T.StructField("columnName", _STRING),
+        T.StructField("description", _STRING),
+        T.StructField("dataType", _STRING),
+        T.StructField("nullable", _BOOL),
+        T.StructField("isPartitioned", _BOOL),
+        T.StructField("isBucket", _BOOL),
+        T.StructField("ordinalPosition", T.IntegerType()),
+    ]
+)
+
 # Columns the quality run adds to the two dictionaries.
 COLUMN_RULES = {"null_test": "boolean", "length_test": "int"}
 TABLE_KEY = {"Key": "string"}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecheck.sources.dictionary import LEDGER
+from tablecheck.sources.tables import local_rows
 
 
 def new_folders(spark: SparkSession, path: str, ledger: DataFrame | None) -> DataFrame:
@@ -43,9 +44,8 @@ def land_new_folders(
     """
     found = [row["folder"] for row in new_folders(spark, path, ledger).collect()]
     if not found:
-        return spark.createDataFrame(
-            [], T.StructType([*(schema.fields if schema else []), *LEDGER.fields])
-        )
+        fields = schema.fields if schema else []
+        return local_rows(spark, [], T.StructType([*fields, *LEDGER.fields]))
     reader = spark.read.format(fmt).option("basePath", path).options(**options)
     if schema is not None:
         reader = reader.schema(schema)

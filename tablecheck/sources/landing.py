@@ -7,6 +7,7 @@ whatever is measured is measured by Spark over the data.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecheck.functions.missing import normalize_missing
-from tablecheck.functions.names import column_id, field, table_id
+from tablecheck.functions.names import field, quote, table_id
 from tablecheck.functions.properties import parse_properties
 from tablecheck.operators.rowchange import sync
-from tablecheck.sources.tables import quoted, table_detail
+from tablecheck.sources.dictionary import LANDED_COLUMNS
+from tablecheck.sources.tables import local_rows, quoted, table_detail
 
 # Names of the properties that file crawlers set on a table.
 PROPERTY_NAMES = {
@@ -31,6 +33,8 @@ PROPERTY_NAMES = {
     "typeData": "typeOfData",
 }
 
+_MEASURED = ("objectCount", "recordCount", "sizeKey")
+
 # Texts that count as missing in landed table facts.
 _NONE, _ANY_NONE = ("None",), ("None", "none")
 
@@ -49,48 +53,33 @@ def land_columns(
     ``measure=True`` adds ``null_count``, counted for all columns in one pass
     over the data, because files declare every column nullable.
     """
-    rows = []
-    for ordinal, f in enumerate(df.schema, start=1):
-        facts = [
-            F.lit(f.name),
-            F.lit(f.metadata.get("comment")).cast("string"),
-            F.lit(f.dataType.simpleString()),
-            F.lit((nullable or {}).get(f.name, f.nullable)),
-            F.lit(f.name in partition_by),
-            F.lit(f.name in bucket_by),
-            F.lit(ordinal),
-        ]
-        if measure:
-            facts.append(F.col(f"__nulls_{ordinal}"))
-        rows.append(F.struct(*[value.alias(name) for name, value in zip(_COLUMN_FACTS, facts)]))
-    if measure:
-        base = df.agg(
-            *[
-                F.count_if(field(f.name).isNull()).alias(f"__nulls_{i}")
-                for i, f in enumerate(df.schema, start=1)
-            ]
-        )
-    else:
-        base = df.sparkSession.range(1)
-    return base.select(F.inline(F.array(*rows))).select(
-        column_id(F.lit(database), F.lit(table), F.col("columnName")).alias("column_id"),
-        table_id(F.lit(database), F.lit(table)).alias("table_id"),
-        F.lit(database).alias("database"),
-        F.lit(table).alias("table"),
-        "*",
+    rows = [
+        {
+            "column_id": ".".join([database, table, f.name]),
+            "table_id": f"{database}.{table}",
+            "database": database,
+            "table": table,
+            "columnName": f.name,
+            "description": f.metadata.get("comment"),
+            "dataType": f.dataType.simpleString(),
+            "nullable": (nullable or {}).get(f.name, f.nullable),
+            "isPartitioned": f.name in partition_by,
+            "isBucket": f.name in bucket_by,
+            "ordinalPosition": ordinal,
+        }
+        for ordinal, f in enumerate(df.schema, start=1)
+    ]
+    if not measure:
+        return local_rows(df.sparkSession, rows, LANDED_COLUMNS)
+    facts = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(LANDED_COLUMNS))
+    counted = df.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        F.array(*[F.count(quote(name)) for name in df.columns]).alias("__filled"),
+    )
+    filled = F.col("__filled")[F.col("ordinalPosition") - 1]
+    return counted.select("*", F.inline(facts)).select(
+        *LANDED_COLUMNS.names, (F.col("__rows") - filled).alias("null_count")
     )
-
-
-_COLUMN_FACTS = (
-    "columnName",
-    "description",
-    "dataType",
-    "nullable",
-    "isPartitioned",
-    "isBucket",
-    "ordinalPosition",
-    "null_count",
-)
 
 
 def land_database_columns(
@@ -127,7 +116,62 @@ def land_tables(
     over the file names alone, so no data column is read. Views have no files and
     land with zero counts.
     """
-    return _union([_land_table(spark, d, t, given) for (d, t), given in tables.items()])
+    described, measured = [], []
+    for (database, table), given in tables.items():
+        detail: dict[str, str] = {}
+        if given is None:
+            detail = table_detail(spark, f"{database}.{table}")
+            df = spark.table(quoted(f"{database}.{table}"))
+        elif isinstance(given, str):
+            detail = {"Provider": "parquet", "Location": given}
+            df = spark.read.parquet(given)
+        else:
+            df = given
+        view = detail.get("Type") == "VIEW"
+        described.append(
+            {
+                "database": database,
+                "table": table,
+                "properties": detail.get("Table Properties"),
+                "provider": detail.get("Provider"),
+                "location": detail.get("Location"),
+                "is_view": view,
+                "description": detail.get("Comment"),
+            }
+        )
+        if not view:
+            measured.append(
+                measure_files(df).select(
+                    F.lit(database).alias("database"), F.lit(table).alias("table"), "*"
+                )
+            )
+    facts = local_rows(
+        spark,
+        described,
+        "database string, table string, properties string, provider string, "
+        "location string, is_view boolean, description string",
+    ).withColumn("known", parse_properties("properties"))
+    if measured:
+        facts = facts.join(_union(measured), ["database", "table"], "left")
+    else:
+        facts = facts.selectExpr("*", *[f"0L AS {c}" for c in _MEASURED])
+    return facts.selectExpr(
+        "database",
+        "table",
+        *[f"known['{PROPERTY_NAMES[n]}'] AS {n}" for n in ("updateCrawler", "areColumnsQuoted")],
+        "coalesce(CAST(try_divide(sizeKey, recordCount) AS BIGINT), 0L) AS avgRecordSize",
+        f"coalesce(known['{PROPERTY_NAMES['classification']}'], provider) AS classification",
+        *[
+            f"known['{PROPERTY_NAMES[n]}'] AS {n}"
+            for n in ("columnsOrdered", "compressionType", "delimiter")
+        ],
+        *[f"coalesce({c}, 0L) AS {c}" for c in _MEASURED],
+        f"coalesce(try_cast(known['{PROPERTY_NAMES['skipLine']}'] AS BIGINT), 0L) AS skipLine",
+        f"known['{PROPERTY_NAMES['typeData']}'] AS typeData",
+        "location",
+        "is_view",
+        "description",
+    )
 
 
 def land_database_tables(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
@@ -138,10 +182,14 @@ def land_database_tables(spark: SparkSession, databases: Sequence[str]) -> DataF
 def land_create_statements(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
     """``database, table, createStatement`` of every non-temporary table."""
     rows = [
-        (d, t, spark.sql(f"SHOW CREATE TABLE {quoted(f'{d}.{t}')}").first()[0])
+        {
+            "database": d,
+            "table": t,
+            "createStatement": spark.sql(f"SHOW CREATE TABLE {quoted(f'{d}.{t}')}").first()[0],
+        }
         for d, t in list_tables(spark, databases)
     ]
-    return spark.createDataFrame(rows, "database string, table string, createStatement string")
+    return local_rows(spark, rows, "database string, table string, createStatement string")
 
 
 def list_tables(spark: SparkSession, databases: Sequence[str]) -> list[tuple[str, str]]:
@@ -203,7 +251,12 @@ def stage_table_metadata(tables: DataFrame, creates: DataFrame) -> DataFrame:
 def sync_columns(
     dictionary: DataFrame, landed: DataFrame, scoped: bool = True, **options
 ) -> DataFrame:
-    """Bring the column dictionary in line with landed columns."""
+    """Bring the column dictionary in line with landed columns.
+
+    Both sides are bounded by what the catalog lists and hold a column once, so
+    no split of frequent keys is planned unless asked for.
+    """
+    options = {"split_hot": False, **options}
     return sync(
         dictionary,
         landed,
@@ -244,6 +297,7 @@ def sync_tables(
     A known table keeps its description and header lines unless ``refresh`` names them.
     """
     names = [*_REFRESHED, *refresh]
+    options = {"split_hot": False, **options}  # bounded by the catalog, as above
     return sync(
         dictionary,
         staged,
@@ -272,59 +326,6 @@ _REFRESHED = (
 )
 
 
-def _land_table(
-    spark: SparkSession, database: str, table: str, given: DataFrame | str | None
-) -> DataFrame:
-    detail: dict[str, str] = {}
-    description = None
-    if given is None:
-        name = quoted(f"{database}.{table}")
-        detail = table_detail(spark, name)
-        description = detail.get("Comment")
-        df = spark.table(name)
-    elif isinstance(given, str):
-        df = spark.read.parquet(given)
-        detail = {"Provider": "parquet", "Location": given}
-    else:
-        df = given
-    view = detail.get("Type") == "VIEW"
-    if view:
-        counted = spark.range(1).select(
-            *[F.lit(0).cast("bigint").alias(c) for c in ("recordCount", "objectCount", "sizeKey")]
-        )
-    else:
-        counted = measure_files(df)
-    known = parse_properties(F.lit(detail.get("Table Properties")).cast("string"))
-    properties = {name: known[key].alias(name) for name, key in PROPERTY_NAMES.items()}
-
-    def text(value):
-        return F.lit(value).cast("string")
-
-    return counted.select(
-        F.lit(database).alias("database"),
-        F.lit(table).alias("table"),
-        properties["updateCrawler"],
-        properties["areColumnsQuoted"],
-        F.coalesce(
-            F.try_divide("sizeKey", "recordCount").cast("bigint"), F.lit(0).cast("bigint")
-        ).alias("avgRecordSize"),
-        F.coalesce(properties["classification"], text(detail.get("Provider"))).alias(
-            "classification"
-        ),
-        properties["columnsOrdered"],
-        properties["compressionType"],
-        properties["delimiter"],
-        "objectCount",
-        "recordCount",
-        "sizeKey",
-        F.coalesce(known[PROPERTY_NAMES["skipLine"]].try_cast("bigint"), F.lit(0)).alias("skipLine"),
-        properties["typeData"],
-        text(detail.get("Location")).alias("location"),
-        F.lit(view).alias("is_view"),
-        text(description).alias("description"),
-    )
-
-
 def measure_files(df: DataFrame) -> DataFrame:
     """One row with the record count, file count and total file size of a file relation.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ def ensure_table(
     name = quoted(name)
     if spark.catalog.tableExists(name):
         return False
-    empty = spark.createDataFrame([], schema)
+    empty = local_rows(spark, [], schema)
     _writer(empty, partition_by, bucket_by, location).saveAsTable(name)
     if properties:
         pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
@@ -46,6 +47,19 @@ def ensure_table(
     return True
 
 
+def local_rows(
+    spark: SparkSession, rows: Sequence[Mapping[str, object]], schema: T.StructType | str
+) -> DataFrame:
+    """A few rows the driver knows, as a relation; missing entries are NULL.
+
+    The rows are a constant in the plan, so Spark knows the relation is small.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    values = F.from_json(F.lit(json.dumps(list(rows))), T.ArrayType(schema))
+    return spark.range(1).select(F.inline(values))
+
+
 def add_columns(df: DataFrame, columns: Mapping[str, str], after: str | None = None) -> DataFrame:
     """Add NULL columns at the end or behind ``after``; those present are kept as they are."""
     known = {c.lower() for c in df.columns}
