@@ -9,7 +9,7 @@ from tablecheck.functions.names import field
 
 
 def parse_properties(text: str | Column) -> Column:
-    """``[k=v,k=v]`` to ``map<string,string>``.
+    """``[k=v, k=v]`` to ``map<string,string>``.
 
     A comma that is followed by another comma is a value, so
     ``delimiter=,,quote=x`` yields a delimiter of ``,``. Values keep any further
@@ -17,4 +17,4 @@ def parse_properties(text: str | Column) -> Column:
     """
     col = field(text) if isinstance(text, str) else text
     bare = F.regexp_replace(col, r"^\[|\]$", "")
-    return F.when(bare != "", F.str_to_map(bare, F.lit(",(?!,)"), F.lit("=")))
+    return F.when(bare != "", F.str_to_map(bare, F.lit(r",(?!,)\s*"), F.lit("=")))

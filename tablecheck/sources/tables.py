@@ -41,9 +41,7 @@ def ensure_table(
         return False
     empty = local_rows(spark, [], schema)
     _writer(empty, partition_by, bucket_by, location).saveAsTable(name)
-    if properties:
-        pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+    _set_properties(spark, name, properties or {})
     return True
 
 
@@ -83,8 +81,9 @@ def replace_table(df: DataFrame, name: str) -> None:
     The new content is written beside the table, which may be one of its inputs,
     and the two are then swapped by rename. Partitioning, buckets and properties
     are kept. The swap is two renames and not atomic: a reader in between finds no
-    table, and after a failure in between the former content is in
-    ``<name>__old``, from where ``recover_table`` brings it back.
+    table, and after a failure in between ``recover_table`` brings the former
+    content back. A table at a location of its own cannot be renamed there, so its
+    files are written once more from the staged copy.
 
     The data is not shuffled for the write. Each task writes its own part of
     every bucket or partition, so a bucket with many rows is written by many tasks.
@@ -93,28 +92,37 @@ def replace_table(df: DataFrame, name: str) -> None:
     recover_table(spark, name)
     partition_by, bucket_by = table_layout(spark, name)
     properties = table_properties(spark, name)
-    stage, old = quoted(f"{name}__stage"), quoted(f"{name}__old")
-    name = quoted(name)
+    detail = table_detail(spark, name)
+    stage, old, name = _beside(name)
     spark.sql(f"DROP TABLE IF EXISTS {stage}")
     _writer(df, partition_by, bucket_by).saveAsTable(stage)
-    if properties:
-        pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {stage} SET TBLPROPERTIES ({pairs})")
+    if detail.get("Type") == "EXTERNAL":
+        staged = _writer(spark.table(stage), partition_by, bucket_by, detail["Location"])
+        staged.mode("overwrite").saveAsTable(name)
+        _set_properties(spark, name, properties)
+        spark.sql(f"DROP TABLE {stage}")
+        return
+    _set_properties(spark, stage, properties)
     _rename(spark, name, old)
     _rename(spark, stage, name)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    spark.sql(f"DROP TABLE {old}")
 
 
 def recover_table(spark: SparkSession, name: str) -> bool:
-    """Undo or finish a swap that was cut off; returns whether the old content came back."""
-    name, old = quoted(name), quoted(f"{name}__old")
-    if not spark.catalog.tableExists(old):
-        return False
+    """Undo or finish a swap that was cut off; returns whether a missing table came back.
+
+    The former content comes back if it is there, else the staged content, which
+    is registered only once it is complete.
+    """
+    stage, old, name = _beside(name)
     if spark.catalog.tableExists(name):
-        spark.sql(f"DROP TABLE {old}")
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
         return False
-    _rename(spark, old, name)
-    return True
+    for kept in (old, stage):
+        if spark.catalog.tableExists(kept):
+            _rename(spark, kept, name)
+            return True
+    return False
 
 
 def table_layout(
@@ -146,6 +154,17 @@ def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in rows}
 
 
+def _beside(name: str) -> tuple[str, str, str]:
+    """Quoted names of the staged, the former and the table itself."""
+    return quoted(f"{name}__stage"), quoted(f"{name}__old"), quoted(name)
+
+
+def _set_properties(spark: SparkSession, name: str, properties: Mapping[str, str]) -> None:
+    if properties:
+        pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+
+
 def _rename(spark: SparkSession, name: str, new_name: str) -> None:
     spark.sql(f"ALTER TABLE {name} RENAME TO {new_name}")
     if any(c.isPartition for c in spark.catalog.listColumns(new_name)):
