@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecheck.functions.names import any_null, field
+from tablecheck.operators import skew
 from tablecheck.operators.rowchange import anti, lookup, merge, update_where
 from tablecheck.operators.rules import PASS, Rule
+from tablecheck.operators.skew import SplitHot
 
 TAG = "data_quality_tag"
 NOT_UNIQUE = "key_not_unique"
@@ -67,7 +69,7 @@ def with_tags(
     rules: Sequence[Rule],
     keys: Sequence[str],
     *,
-    split_hot: bool | None = None,
+    split_hot: SplitHot = None,
 ) -> DataFrame:
     """The table itself with a tag column.
 
@@ -96,7 +98,7 @@ def seed_quality(
     quality: DataFrame,
     keys: Sequence[str],
     *,
-    split_hot: bool | None = None,
+    split_hot: SplitHot = None,
 ) -> DataFrame:
     """Add the fact's rows whose key the quality table lacks, not tested yet.
 
@@ -120,7 +122,7 @@ def apply_tags(
     keys: Sequence[str],
     *,
     source_unique: bool = False,
-    split_hot: bool | None = None,
+    split_hot: SplitHot = None,
 ) -> DataFrame:
     """Write tags to the quality rows of equal key.
 
@@ -145,12 +147,19 @@ def refresh_quality(
     rules: Sequence[Rule],
     keys: Sequence[str],
     *,
-    split_hot: bool | None = None,
+    split_hot: SplitHot = None,
 ) -> DataFrame:
-    """Seed, then tag: the quality table after one run over the fact."""
-    seeded = seed_quality(fact, quality, keys, split_hot=split_hot)
-    tags = tag_keys(fact, rules, keys)
-    return apply_tags(seeded, tags, keys, source_unique=True, split_hot=split_hot)
+    """Seed, then tag: the quality table after one run over the fact.
+
+    Frequent keys are looked for and split off once, for both steps.
+    """
+    parts = []
+    for f, q, hot in skew.split(fact, quality, [(k, k) for k in keys], split_hot, both=True):
+        how = skew.ALL_HOT if hot else False
+        seeded = seed_quality(f, q, keys, split_hot=how)
+        tags = tag_keys(f, rules, keys)
+        parts.append(apply_tags(seeded, tags, keys, source_unique=True, split_hot=how))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _full_keys(columns: Sequence[Column]) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablecheck.operators.quality import NOT_UNIQUE
 from tablecheck.operators.rowchange import sync
+from tablecheck.operators.skew import SplitHot
 
 _COLUMNS = ("database", "table", "column_name", "test_name")
 
@@ -22,7 +23,7 @@ def triage_rules(null_df: DataFrame, length_df: DataFrame) -> DataFrame:
 
 
 def sync_registry(
-    registry: DataFrame, triage: DataFrame, *, split_hot: bool | None = None
+    registry: DataFrame, triage: DataFrame, *, split_hot: SplitHot = None
 ) -> DataFrame:
     """Bring the registry in line with the known tests, by test name.
 

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +41,7 @@ def merge(
     not_matched: Values | str | None = None,
     *,
     source_unique: bool = False,
-    split_hot: bool | None = None,
+    split_hot: skew.SplitHot = None,
 ) -> DataFrame:
     """Update target rows that have a source row, insert source rows that have none.
 
@@ -54,7 +53,7 @@ def merge(
     Two source rows for one updated target row are an error at run time;
     ``source_unique=True`` skips that check where the caller knows the keys to be
     unique. ``split_hot`` forces or forbids the split of frequent keys, which is
-    otherwise decided by size (see ``skew``).
+    otherwise decided by size (see ``skew``). Looking for them starts Spark jobs.
     """
     pairs = _pairs(on)
     inserts = _inserts(target, source, not_matched)
@@ -94,7 +93,7 @@ def soft_delete(
     scope: Keys | None = None,
     flag: str = "is_deleted",
     *,
-    split_hot: bool | None = None,
+    split_hot: skew.SplitHot = None,
 ) -> DataFrame:
     """Set ``flag`` on target rows whose key the source no longer has.
 
@@ -106,7 +105,7 @@ def soft_delete(
     seen = lookup(target, source, pairs, _IN_S, split_hot=split_hot)
     gone = ~field(_IN_S) & ~any_null([field(t) for t, _ in pairs])
     if scope is not None:
-        seen = lookup(seen, source, _pairs(scope), _SCOPED, split_hot=split_hot)
+        seen = lookup(seen, source, _pairs(scope), _SCOPED, split_hot=_other_keys(split_hot))
         gone = gone & field(_SCOPED)
     return update_where(seen, gone, {flag: True}).select(*[field(c) for c in target.columns])
 
@@ -121,7 +120,7 @@ def sync(
     flag: str = "is_deleted",
     *,
     source_unique: bool = False,
-    split_hot: bool | None = None,
+    split_hot: skew.SplitHot = None,
 ) -> DataFrame:
     """Upsert, soft delete and reactivate in one join.
 
@@ -134,8 +133,11 @@ def sync(
     inserts = _inserts(target, source, not_matched, extra=off)
     gone = ~any_null([field(t, "t") for t, _ in pairs])
     known = target
+    found = split_hot
+    if split_hot != skew.ALL_HOT:
+        found = skew.find_hot(target, source, pairs, split_hot, both=not source_unique)
     if scope is not None:
-        known = lookup(target, source, _pairs(scope), _SCOPED, split_hot=split_hot)
+        known = lookup(target, source, _pairs(scope), _SCOPED, split_hot=_other_keys(split_hot))
         gone = gone & field(_SCOPED, "t")
     kept = [
         (F.when(gone, F.lit(True)).otherwise(field(c, "t")) if c == flag else field(c, "t"))
@@ -148,7 +150,7 @@ def sync(
         updates,
         inserts,
         guard=not source_unique,
-        split_hot=split_hot,
+        split_hot=found,
         kept=kept,
         schema=target.schema,
     )
@@ -160,24 +162,21 @@ def lookup(
     on: Sequence[tuple[str, str]],
     flag: str,
     *,
-    split_hot: bool | None = None,
+    split_hot: skew.SplitHot = None,
 ) -> DataFrame:
     """Add a boolean column: does the right side hold the row's key?"""
     names = [r for _, r in on]
     keys = right.select(*[field(r) for r in names]).distinct()
     keys = keys.where(~any_null([field(r) for r in names]))
 
-    def join(a: DataFrame, b: DataFrame) -> DataFrame:
-        b = b.select("*", F.lit(True).alias(flag)).alias("s")
-        joined = a.alias("t").join(b, _condition(on), "left")
-        return joined.select("t.*", F.coalesce(field(flag, "s"), F.lit(False)).alias(flag))
-
-    parts = _split(left, keys, on, split_hot, source_counts=False)
-    done = join(parts.cold[0], parts.cold[1])
-    if parts.hot:
-        # unique keys, so no more rows than hot keys
-        done = done.unionByName(join(parts.hot[0], F.broadcast(parts.hot[1])))
-    return done
+    parts = []
+    for a, b, hot in skew.split(left, keys, on, split_hot, both=False):
+        b = b.select("*", F.lit(True).alias(flag))
+        # unique keys, so no more rows than frequent keys
+        b = F.broadcast(b) if hot else b
+        joined = a.alias("t").join(b.alias("s"), _condition(on), "left")
+        parts.append(joined.select("t.*", F.coalesce(field(flag, "s"), F.lit(False)).alias(flag)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def anti(
@@ -186,7 +185,7 @@ def anti(
     on: Sequence[tuple[str, str]],
     *,
     null_safe: bool = False,
-    split_hot: bool | None = None,
+    split_hot: skew.SplitHot = None,
 ) -> DataFrame:
     """Rows of the left side whose key the right side does not hold.
 
@@ -195,52 +194,14 @@ def anti(
     """
     keys = right.select(*[field(r) for _, r in on]).distinct()
     condition = _condition(on, null_safe)
-    parts = _split(left, keys, on, split_hot, null_safe, source_counts=False)
-
-    def join(a: DataFrame, b: DataFrame) -> DataFrame:
-        return a.alias("t").join(b.alias("s"), condition, "left_anti")
-
-    done = join(*parts.cold)
-    if parts.hot:
-        a, b = parts.hot
-        if not null_safe:
-            b = b.where(~any_null([field(r) for _, r in on]))
-        # unique keys, so no more rows than hot keys
-        done = done.unionByName(join(a, F.broadcast(b)))
-    return done
-
-
-class _Parts(NamedTuple):
-    cold: tuple[DataFrame, DataFrame]
-    hot: tuple[DataFrame, DataFrame] | None
-
-
-def _split(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[tuple[str, str]],
-    split_hot: bool | None,
-    null_safe: bool = False,
-    source_counts: bool = True,
-) -> _Parts:
-    """Both sides in two parts: ordinary keys, and keys too frequent for a task."""
-    if split_hot is None:
-        split_hot = skew.needs_split(left, right)
-    if not split_hot:
-        return _Parts((left, right), None)
-    types = skew.key_types(left, right, on)
-    lkey = skew.key_hash([a for a, _ in on], types, null_safe)
-    rkey = skew.key_hash([b for _, b in on], types, null_safe)
-    hot = set(skew.hot_hashes(left, lkey))
-    if source_counts:
-        hot |= set(skew.hot_hashes(right, rkey))
-    if not hot:
-        return _Parts((left, right), None)
-    found = sorted(hot)
-    return _Parts(
-        (left.where(~lkey.isin(found)), right.where(~rkey.isin(found))),
-        (left.where(lkey.isin(found)), right.where(rkey.isin(found))),
-    )
+    parts = []
+    for a, b, hot in skew.split(left, keys, on, split_hot, both=False):
+        if hot:
+            if not null_safe:
+                b = b.where(~any_null([field(r) for _, r in on]))
+            b = F.broadcast(b)  # unique keys, so no more rows than frequent keys
+        parts.append(a.alias("t").join(b.alias("s"), condition, "left_anti"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _change(
@@ -251,7 +212,7 @@ def _change(
     inserts: list[Column] | None,
     *,
     guard: bool,
-    split_hot: bool | None,
+    split_hot: skew.SplitHot,
     kept: list[Column] | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
@@ -276,33 +237,36 @@ def _change(
             out.append(value.alias(name))
         return joined.select(*out)
 
-    parts = _split(target, source, pairs, split_hot)
-    t, s = parts.cold
-    if guard:
-        # same hash partitioning and order as the join, so no exchange of its own
-        s = s.withColumn(_COPIES, F.count(F.lit(1)).over(Window.partitionBy(*source_keys)))
-    done = rows(t, s, "left" if inserts is None else "full_outer")
-    if not parts.hot:
-        return done
-
-    t, s = parts.hot
-    keys = t.select(*[field(a) for a, _ in pairs]).distinct()
-    keys = F.broadcast(keys.where(~any_null([field(a) for a, _ in pairs]))).alias("t")
-    # At most one source row per key may match, and the guard stops the run on
-    # the second one, so this side has no more rows than there are hot keys.
-    matching = s.alias("s").join(keys, condition, "left_semi")
-    if guard:
-        copies = matching.groupBy(*source_keys).agg(F.count(F.lit(1)).alias(_COPIES))
-        copies = F.broadcast(copies).alias("c")
-        same = [field(b, "s") == field(b, "c") for _, b in pairs]
-        matching = matching.alias("s").join(copies, reduce(lambda a, b: a & b, same))
-        matching = matching.select("s.*", field(_COPIES, "c"))
-        matching = matching.where(_one_source_row(always=True))
-    done = done.unionByName(rows(t, F.broadcast(matching), "left"))
-    if inserts is not None:
+    def ordinary(t: DataFrame, s: DataFrame) -> DataFrame:
+        if guard:
+            # same hash partitioning and order as the join, so no exchange of its own
+            s = s.withColumn(_COPIES, F.count(F.lit(1)).over(Window.partitionBy(*source_keys)))
+        return rows(t, s, "left" if inserts is None else "full_outer")
+
+    def frequent(t: DataFrame, s: DataFrame) -> DataFrame:
+        keys = t.select(*[field(a) for a, _ in pairs]).distinct()
+        keys = F.broadcast(keys.where(~any_null([field(a) for a, _ in pairs]))).alias("t")
+        # At most one source row per key may match, and the guard stops the run on
+        # the second one, so this side has no more rows than there are frequent keys.
+        matching = s.alias("s").join(keys, condition, "left_semi")
+        if guard:
+            copies = matching.groupBy(*source_keys).agg(F.count(F.lit(1)).alias(_COPIES))
+            same = [field(b, "s") == field(b, "c") for _, b in pairs]
+            matching = matching.alias("s").join(
+                F.broadcast(copies).alias("c"), reduce(lambda a, b: a & b, same)
+            )
+            matching = matching.select("s.*", field(_COPIES, "c"))
+            matching = matching.where(_one_source_row(always=True))
+        done = rows(t, F.broadcast(matching), "left")
+        if inserts is None:
+            return done
         new = s.alias("s").join(keys, condition, "left_anti")
-        done = done.unionByName(new.alias("s").select(*inserts))
-    return done
+        return done.unionByName(new.alias("s").select(*inserts))
+
+    parts = skew.split(target, source, pairs, split_hot, both=guard)
+    return reduce(
+        DataFrame.unionByName, [(frequent if hot else ordinary)(t, s) for t, s, hot in parts]
+    )
 
 
 def _one_source_row(always: bool = False) -> Column:
@@ -333,6 +297,11 @@ def _pairs(on: Keys) -> list[tuple[str, str]]:
     return [(name, name) for name in on]
 
 
+def _other_keys(split_hot: skew.SplitHot) -> skew.SplitHot:
+    """The option for other columns: hashes found for the key do not apply to them."""
+    return split_hot if isinstance(split_hot, bool) else None
+
+
 def _value(value: Column | str) -> Column:
     return field(value, "s") if isinstance(value, str) else value
 

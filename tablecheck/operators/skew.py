@@ -11,20 +11,23 @@ advisory partition; below that no key can make an oversized task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablecheck.functions.names import any_null, field
+from tablecheck.functions.names import field
+
+# Whether to split off frequent keys: decide by size, yes, no, or these hashes.
+# ALL_HOT says that the sides hold frequent keys only.
+SplitHot = bool | str | Collection[int] | None
+ALL_HOT = "all"
 
 # Most keys that can be split off, and so the most rows of a side with unique
 # keys that the split broadcasts.
 HOT_LIMIT = 4096
 
-NULL_KEY = 0  # one shared hash for every key with a NULL part
-
 
 def key_types(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> list[T.DataType]:
     """Common type of each key pair, as Spark's set operations widen them."""
@@ -32,18 +35,36 @@ def key_types(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]])
     return [f.dataType for f in both.schema]
 
 
-def key_hash(names: Sequence[str], types: Sequence[T.DataType], null_safe: bool = False) -> Column:
-    """64-bit hash of a key. Equal keys get equal hashes on both sides."""
+def key_hash(names: Sequence[str], types: Sequence[T.DataType]) -> Column:
+    """64-bit hash of a key, NULL parts included. Equal keys get equal hashes on both sides."""
     parts = []
     for name, kind in zip(names, types):
         part = field(name).cast(kind)
         if isinstance(kind, (T.DoubleType, T.FloatType)):
             part = part + F.lit(0.0).cast(kind)  # -0.0 equals 0.0
         parts.append(part)
-    hashed = F.xxhash64(*parts)
-    if null_safe:
-        return hashed
-    return F.when(any_null([field(n) for n in names]), F.lit(NULL_KEY).cast("bigint")).otherwise(hashed)
+    return F.xxhash64(*parts)
+
+
+def find_hot(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    split_hot: SplitHot,
+    both: bool,
+) -> list[int]:
+    """Hashes of the frequent keys of the left side or, with ``both``, of either side."""
+    if split_hot is None:
+        split_hot = needs_split(left, right)
+    if not isinstance(split_hot, bool):
+        return sorted(split_hot)
+    if not split_hot:
+        return []
+    types = key_types(left, right, on)
+    found = set(hot_hashes(left, key_hash([a for a, _ in on], types)))
+    if both:
+        found |= set(hot_hashes(right, key_hash([b for _, b in on], types)))
+    return sorted(found)
 
 
 def hot_hashes(df: DataFrame, key: Column) -> list[int]:
@@ -63,6 +84,31 @@ def hot_hashes(df: DataFrame, key: Column) -> list[int]:
     return sorted(r["h"] for r in counted if r["h"] is not None and r["count"] * limit > total)
 
 
+def split(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[str, str]],
+    split_hot: SplitHot,
+    both: bool,
+) -> list[tuple[DataFrame, DataFrame, bool]]:
+    """Parts of the two sides that hold the same keys, each marked frequent or not.
+
+    ``both`` says that the right side may repeat keys too.
+    """
+    if split_hot == ALL_HOT:
+        return [(left, right, True)]
+    found = find_hot(left, right, on, split_hot, both)
+    if not found:
+        return [(left, right, False)]
+    types = key_types(left, right, on)
+    lhot = key_hash([a for a, _ in on], types).isin(found)
+    rhot = key_hash([b for _, b in on], types).isin(found)
+    return [
+        (left.where(~lhot), right.where(~rhot), False),
+        (left.where(lhot), right.where(rhot), True),
+    ]
+
+
 def needs_split(*sides: DataFrame) -> bool:
     """True when a side may be larger than one shuffle partition should be."""
     spark = sides[0].sparkSession

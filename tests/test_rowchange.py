@@ -157,6 +157,12 @@ def test_sync(spark, dictionary, split):
 def test_sync_equals_upsert_then_soft_delete(spark, dictionary):
     seen = spark.createDataFrame([("d1", "a", 10), ("d2", "q", 7)], "db string, t string, keep int")
     one = rowchange.sync(dictionary, seen, ["db", "t"], {"keep": "keep"}, scope=["db"])
+    types = skew.key_types(dictionary, seen, [("db", "db"), ("t", "t")])
+    found = skew.hot_hashes(dictionary, skew.key_hash(["db", "t"], types))
+    given_hashes = rowchange.sync(
+        dictionary, seen, ["db", "t"], {"keep": "keep"}, scope=["db"], split_hot=[*found, 1]
+    )
+    assert rows(given_hashes) == rows(one)
     two = rowchange.soft_delete(
         rowchange.merge(
             dictionary,
@@ -175,7 +181,7 @@ def test_sync_equals_upsert_then_soft_delete(spark, dictionary):
 keys = st.one_of(st.none(), st.integers(0, 4))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(st.tuples(keys, st.sampled_from("ab"), st.integers(0, 3)), max_size=12),
     st.dictionaries(st.integers(0, 8), st.sampled_from("xy"), max_size=6),
@@ -211,7 +217,8 @@ def test_hot_keys_are_found_exactly(spark):
 
 
 def test_keys_of_different_types_meet_in_the_split(spark):
-    t = spark.range(3000).selectExpr("CAST(CASE WHEN id < 1000 THEN -0.0 ELSE id END AS DOUBLE) AS k", "'t' AS v", "1 AS n")
+    key = "CAST(CASE WHEN id < 1000 THEN -0.0D ELSE id END AS DOUBLE) AS k"
+    t = spark.range(3000).selectExpr(key, "'t' AS v", "1 AS n")
     s = spark.createDataFrame([(0, "s"), (2000, "s")], "k int, v string")
     merged = rowchange.merge(t, s, ["k"], {"v": "v"}, split_hot=True)
     assert merged.where("v = 's'").count() == 1001
