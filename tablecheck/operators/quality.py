@@ -19,6 +19,7 @@ from tablecheck.operators import skew
 from tablecheck.operators.rowchange import anti, lookup, merge, update_where
 from tablecheck.operators.rules import PASS, Rule
 from tablecheck.operators.skew import SplitHot
+from tablecheck.sources.scratch import stored
 
 TAG = "data_quality_tag"
 NOT_UNIQUE = "key_not_unique"
@@ -75,10 +76,14 @@ def with_tags(
 
     Keys are counted first, with partial sums before the shuffle, and only
     repeated keys are joined back. A window over the key would put all rows of a
-    frequent key into one task.
+    frequent key into one task. For a large table the repeated keys are stored
+    first: where they turn out few enough, Spark broadcasts them and the table
+    itself is not shuffled.
     """
     columns = [field(k) for k in keys]
     repeated = key_counts(df, keys).where(F.col("key_count") > 1)
+    if split_hot is None and skew.is_large(df):
+        repeated = stored(repeated.select(*columns), "repeated-keys")
     seen = lookup(df, repeated, [(k, k) for k in keys], _COUNT, split_hot=split_hot)
     seen = _marked(seen, rules)
     tags = F.when(any_null(columns) | field(_COUNT), _not_unique()).otherwise(

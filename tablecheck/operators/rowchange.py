@@ -52,7 +52,8 @@ def merge(
 
     Two source rows for one updated target row are an error at run time;
     ``source_unique=True`` skips that check where the caller knows the keys to be
-    unique. ``split_hot`` forces or forbids the split of frequent keys, which is
+    unique. A source that Spark can broadcast leaves a large target unshuffled.
+    ``split_hot`` forces or forbids the split of frequent keys, which is
     otherwise decided by size (see ``skew``). Looking for them starts Spark jobs.
     """
     pairs = _pairs(on)
@@ -134,7 +135,8 @@ def sync(
     gone = ~any_null([field(t, "t") for t, _ in pairs])
     known = target
     found = split_hot
-    if split_hot != skew.ALL_HOT:
+    small = split_hot is None and skew.is_large(target) and skew.is_broadcast(source)
+    if not small and split_hot != skew.ALL_HOT:
         found = skew.find_hot(target, source, pairs, split_hot, both=not source_unique)
     if scope is not None:
         known = lookup(target, source, _pairs(scope), _SCOPED, split_hot=_other_keys(split_hot))
@@ -243,11 +245,11 @@ def _change(
             s = s.withColumn(_COPIES, F.count(F.lit(1)).over(Window.partitionBy(*source_keys)))
         return rows(t, s, "left" if inserts is None else "full_outer")
 
-    def frequent(t: DataFrame, s: DataFrame) -> DataFrame:
-        keys = t.select(*[field(a) for a, _ in pairs]).distinct()
-        keys = F.broadcast(keys.where(~any_null([field(a) for a, _ in pairs]))).alias("t")
+    def broadcast_source(t: DataFrame, s: DataFrame, keys: DataFrame) -> DataFrame:
+        """The change without a shuffle of the target; ``keys`` are its own, distinct."""
+        keys = F.broadcast(keys).alias("t")
         # At most one source row per key may match, and the guard stops the run on
-        # the second one, so this side has no more rows than there are frequent keys.
+        # the second one, so this side has no more rows than there are such keys.
         matching = s.alias("s").join(keys, condition, "left_semi")
         if guard:
             copies = matching.groupBy(*source_keys).agg(F.count(F.lit(1)).alias(_COPIES))
@@ -263,10 +265,24 @@ def _change(
         new = s.alias("s").join(keys, condition, "left_anti")
         return done.unionByName(new.alias("s").select(*inserts))
 
-    parts = skew.split(target, source, pairs, split_hot, both=guard)
-    return reduce(
-        DataFrame.unionByName, [(frequent if hot else ordinary)(t, s) for t, s, hot in parts]
+    target_keys = [field(a) for a, _ in pairs]
+
+    def change(t: DataFrame, s: DataFrame, hot: bool) -> DataFrame:
+        if not hot:
+            return ordinary(t, s)
+        keys = t.select(*target_keys).distinct()
+        return broadcast_source(t, s, keys.where(~any_null(target_keys)))
+
+    if inserts is not None and split_hot is None:
+        if skew.is_large(target) and skew.is_broadcast(source):
+            # a small source: find its keys in the target, leave the target in place
+            keys = target.select(*target_keys).alias("t")
+            keys = keys.join(F.broadcast(source).alias("s"), condition, "left_semi").distinct()
+            return broadcast_source(target, source, keys)
+    parts = skew.split(
+        target, source, pairs, split_hot, both=guard, keeps_left=inserts is None
     )
+    return reduce(DataFrame.unionByName, [change(*part) for part in parts])
 
 
 def _one_source_row(always: bool = False) -> Column:

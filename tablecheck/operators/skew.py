@@ -6,7 +6,8 @@ share and join those against the few matching rows of the other side, which fit
 in a broadcast: no more than ``HOT_LIMIT`` keys can be that frequent.
 
 Detection reads the key columns only. It runs when a side is larger than one
-advisory partition; below that no key can make an oversized task.
+advisory partition; below that no key can make an oversized task. It does not run
+either where Spark will broadcast the right side, because then nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ def find_hot(
 ) -> list[int]:
     """Hashes of the frequent keys of the left side or, with ``both``, of either side."""
     if split_hot is None:
-        split_hot = needs_split(left, right)
+        split_hot = is_large(left, right)
     if not isinstance(split_hot, bool):
         return sorted(split_hot)
     if not split_hot:
@@ -90,13 +91,18 @@ def split(
     on: Sequence[tuple[str, str]],
     split_hot: SplitHot,
     both: bool,
+    keeps_left: bool = True,
 ) -> list[tuple[DataFrame, DataFrame, bool]]:
     """Parts of the two sides that hold the same keys, each marked frequent or not.
 
+    ``keeps_left`` says that the join can broadcast its right side: it adds no
+    rows that only the right side has.
     ``both`` says that the right side may repeat keys too.
     """
     if split_hot == ALL_HOT:
         return [(left, right, True)]
+    if split_hot is None and keeps_left and is_broadcast(right):
+        return [(left, right, False)]
     found = find_hot(left, right, on, split_hot, both)
     if not found:
         return [(left, right, False)]
@@ -109,13 +115,19 @@ def split(
     ]
 
 
-def needs_split(*sides: DataFrame) -> bool:
+def is_large(*sides: DataFrame) -> bool:
     """True when a side may be larger than one shuffle partition should be."""
     spark = sides[0].sparkSession
     limit = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
     return any(_estimate(df) > limit for df in sides)
 
 
+def is_broadcast(df: DataFrame) -> bool:
+    """True when Spark's own size estimate lets it broadcast the relation."""
+    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return _estimate(df) <= limit
+
+
 def _estimate(df: DataFrame) -> float:
     try:
         return float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -18,3 +18,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="tablecheck-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The relation written to the shared folder and read back, so its size is known."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -68,6 +68,21 @@ def test_with_tags(fact, split):
         assert row[quality.TAG] == EXPECTED[(row["id"],)]
 
 
+def test_with_tags_large_table_is_not_shuffled(spark, fact, tmp_path):
+    path = str(tmp_path / "fact")
+    fact.write.parquet(path)
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1b")
+    try:
+        tagged = quality.with_tags(spark.read.parquet(path), RULES, ["id"])
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert [r[quality.TAG] == EXPECTED[(r["id"],)] for r in tagged.collect()] == [True] * 8
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_tag_rows_ignores_keys(fact):
     rows = quality.tag_rows(fact, RULES, ["id"]).where("id = 7").collect()
     assert sorted(r[quality.TAG] for r in rows) == [["db.t.c.is_null"], ["db.t.d.is_not_length_3"]]

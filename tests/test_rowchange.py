@@ -243,6 +243,41 @@ def test_hot_branch_is_broadcast_and_cold_branch_shuffled(spark, tmp_path):
 
 def test_size_decides_on_the_split(spark):
     small = spark.range(10)
-    assert not skew.needs_split(small, small)
-    assert skew.needs_split(small, spark.range(1 << 30))
+    assert not skew.is_large(small, small)
+    assert skew.is_large(small, spark.range(1 << 30))
+    assert skew.is_broadcast(small) and not skew.is_broadcast(spark.range(1 << 30))
     assert skew._bytes("64MB") == skew._bytes("64m") == skew._bytes(str(64 << 20)) == 64 << 20
+
+
+@pytest.fixture
+def everything_large(spark):
+    """Plan as for large tables, with small ones."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1b")
+    yield
+    spark.conf.set(name, before)
+
+
+def stored_rows(spark, tmp_path, name, rows_, schema):
+    path = str(tmp_path / name)
+    spark.createDataFrame(rows_, schema).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_small_source_leaves_the_target_in_place(spark, everything_large, tmp_path):
+    t = stored_rows(spark, tmp_path, "t", [(1, "a", 1), (2, "b", 2), (2, "c", 3), (None, "z", 4)], T_SCHEMA)
+    s = stored_rows(spark, tmp_path, "s", [(2, "B"), (3, "C"), (3, "C"), (None, "Z")], S_SCHEMA)
+    assert skew.is_large(t) and skew.is_broadcast(s)
+    merged = upsert(t, s)
+    assert rows(merged) == rows(upsert(t, s, split_hot=False))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+    with pytest.raises(Exception, match="more than one source row"):
+        upsert(t, stored_rows(spark, tmp_path, "s2", [(2, "x"), (2, "y")], S_SCHEMA)).count()
+    flagged = t.withColumn("is_deleted", F.lit(False))
+    one, two = (
+        rowchange.sync(flagged, s.distinct(), ["k"], {"v": "v"}, split_hot=how)
+        for how in (None, False)
+    )
+    assert rows(one) == rows(two)
