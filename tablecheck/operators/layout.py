@@ -37,16 +37,58 @@ def reorder_alphabetically(columns_df: DataFrame, database: str) -> DataFrame:
     )
 
 
-def is_view(tables_df: DataFrame, database: str, table: str) -> bool:
-    """Whether the dictionary knows the table as a view; unknown is an error."""
-    found = tables_df.where(
-        same_text("database", F.lit(database))
-        & same_text("table", F.lit(table))
-        & (F.col("is_deleted") == False)  # noqa: E712
-    ).select("is_view").take(1)
-    if not found:
-        raise KeyError(f"{database}.{table} is not in the table dictionary")
-    return bool(found[0]["is_view"])
+class Layout:
+    """The dictionary's word on the tables of one database, or on one of them.
+
+    Holds dictionary rows on the driver: no more than the catalog lists there
+    for the same tables.
+    """
+
+    def __init__(
+        self,
+        columns_df: DataFrame,
+        tables_df: DataFrame,
+        database: str,
+        table: str | None = None,
+    ) -> None:
+        chosen = (F.col("is_deleted") == False) & same_text("database", F.lit(database))  # noqa: E712
+        if table is not None:
+            chosen = chosen & same_text("table", F.lit(table))
+        self.database = database
+        self._views = {
+            row["table"].lower(): bool(row["is_view"])
+            for row in tables_df.where(chosen).select("table", "is_view").collect()
+        }
+        self._columns: dict[str, list] = {}
+        rows = columns_df.where(chosen).orderBy("table", "ordinal_position", "column_name")
+        for row in rows.select("table", "column_name", "data_type", "description").collect():
+            self._columns.setdefault(row["table"].lower(), []).append(row)
+
+    def is_view(self, table: str) -> bool:
+        """Whether the dictionary knows the table as a view; unknown is an error."""
+        try:
+            return self._views[table.lower()]
+        except KeyError:
+            raise KeyError(f"{self.database}.{table} is not in the table dictionary") from None
+
+    def apply(self, df: DataFrame, table: str) -> DataFrame:
+        """The table's columns in order, with types and comments; a view as it is."""
+        if self.is_view(table):
+            return df
+        rows = self._columns.get(table.lower())
+        if not rows:
+            raise KeyError(f"{self.database}.{table} has no columns in the dictionary")
+        return df.select(
+            *[
+                field(row["column_name"])
+                .cast(row["data_type"])
+                .alias(
+                    row["column_name"],
+                    metadata={"comment": row["description"]} if row["description"] else {},
+                )
+                for row in rows
+            ]
+        )
 
 
 def apply_layout(
@@ -57,28 +99,4 @@ def apply_layout(
     Columns the dictionary marks deleted are left out. A view is returned as it
     is. Selection is by name, so data keeps its meaning.
     """
-    if is_view(tables_df, database, table):
-        return df
-    rows = (
-        columns_df.where(
-            (F.col("is_deleted") == False)  # noqa: E712
-            & same_text("database", F.lit(database))
-            & same_text("table", F.lit(table))
-        )
-        .orderBy("ordinal_position", "column_name")
-        .select("column_name", "data_type", "description")
-        .collect()
-    )
-    if not rows:
-        raise KeyError(f"{database}.{table} has no columns in the dictionary")
-    return df.select(
-        *[
-            field(row["column_name"])
-            .cast(row["data_type"])
-            .alias(
-                row["column_name"],
-                metadata={"comment": row["description"]} if row["description"] else {},
-            )
-            for row in rows
-        ]
-    )
+    return Layout(columns_df, tables_df, database, table).apply(df, table)

@@ -71,15 +71,16 @@ def apply_layout_all(
     A table that is laid out already is not rewritten, and views are skipped.
     Partition columns stay last, where file tables keep them.
     """
-    columns = load(spark, f"{dictionary}.column")
-    tables = load(spark, f"{dictionary}.table")
+    laid = layout.Layout(
+        load(spark, f"{dictionary}.column"), load(spark, f"{dictionary}.table"), database
+    )
     rewritten = []
     for _, table in landing.list_tables(spark, [database]):
-        if layout.is_view(tables, database, table):
+        if laid.is_view(table):
             continue
         name = f"{database}.{table}"
         now = load(spark, name)
-        laid_out = layout.apply_layout(now, columns, tables, database, table)
+        laid_out = laid.apply(now, table)
         partition_by, _ = table_layout(spark, name)
         if _described(laid_out, partition_by) != _described(now, partition_by):
             replace_table(laid_out, name)

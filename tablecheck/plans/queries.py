@@ -83,7 +83,7 @@ EVENT_FAILED_SQL = """concat_ws(',',
 def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select(
         "user_id",
-        F.date_format("ts", "yyyy-MM-dd HH").alias("hour"),
+        F.substring(F.col("ts").cast("string"), 1, 13).alias("hour"),
         F.nullif("event_type", F.lit("click")).alias("event_type"),
     )
 
@@ -463,7 +463,7 @@ def merge_upsert_hot_keys(spark, sf_dir):
 @query("""
     SELECT d.doc_id,
            CASE WHEN l.doc_id IS NULL THEN d.n_chars ELSE l.quality END AS quality,
-           CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END AS toxic,
+           CAST(CASE WHEN l.doc_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS toxic,
            CASE WHEN l.doc_id IS NULL THEN '-' ELSE 'checked' END AS note
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """)
@@ -1038,7 +1038,9 @@ def add_columns_orders(spark, sf_dir):
 """)
 def land_new_folders(spark, sf_dir):
     # one folder per day; the days with more events than the average were landed before
-    events = read(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    events = read(spark, sf_dir, "events").withColumn(
+        "day", F.substring(F.col("ts").cast("string"), 1, 10)
+    )
     path = scratch_path(spark, "events-by-day")
     events.write.partitionBy("day").parquet(path)
     days = events.groupBy("day").agg(F.count(F.lit(1)).alias("n"))

@@ -112,11 +112,12 @@ def land_tables(
     """Facts of each table: measured record count, file count and size, and properties.
 
     ``tables`` maps (database, table) to the data, to a path, or to ``None`` for
-    the catalog table of that name. Counts come from one aggregation per table
-    over the file names alone, so no data column is read. Views have no files and
-    land with zero counts.
+    the catalog table of that name. Counts come from one aggregation of all tables
+    over their file names, so no data column is read and the number of shuffles
+    does not grow with the number of tables. Views have no files and land with
+    zero counts.
     """
-    described, measured = [], []
+    described, scans = [], []
     for (database, table), given in tables.items():
         detail: dict[str, str] = {}
         if given is None:
@@ -124,12 +125,14 @@ def land_tables(
             df = spark.table(quoted(f"{database}.{table}"))
         elif isinstance(given, str):
             detail = {"Provider": "parquet", "Location": given}
-            df = spark.read.parquet(given)
+            # only the files are counted, so no schema has to be inferred
+            df = spark.read.schema(T.StructType([])).parquet(given)
         else:
             df = given
         view = detail.get("Type") == "VIEW"
         described.append(
             {
+                "number": len(described),
                 "database": database,
                 "table": table,
                 "properties": detail.get("Table Properties"),
@@ -140,19 +143,21 @@ def land_tables(
             }
         )
         if not view:
-            measured.append(
-                measure_files(df).select(
-                    F.lit(database).alias("database"), F.lit(table).alias("table"), "*"
+            scans.append(
+                df.selectExpr(
+                    f"{len(described) - 1} AS number",
+                    "_metadata.file_path AS path",
+                    "_metadata.file_size AS size",
                 )
             )
     facts = local_rows(
         spark,
         described,
-        "database string, table string, properties string, provider string, "
+        "number int, database string, table string, properties string, provider string, "
         "location string, is_view boolean, description string",
     ).withColumn("known", parse_properties("properties"))
-    if measured:
-        facts = facts.join(_union(measured), ["database", "table"], "left")
+    if scans:
+        facts = facts.join(measure_files(_union(scans), ["number"]), "number", "left")
     else:
         facts = facts.selectExpr("*", *[f"0L AS {c}" for c in _MEASURED])
     return facts.selectExpr(
@@ -326,18 +331,17 @@ _REFRESHED = (
 )
 
 
-def measure_files(df: DataFrame) -> DataFrame:
-    """One row with the record count, file count and total file size of a file relation.
+def measure_files(scanned: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Record count, file count and total file size of each table.
 
+    ``scanned`` holds one row per record with its file's ``path`` and ``size``.
     Rows are summed per file before the shuffle. Files without rows are not seen.
     """
-    files = df.groupBy(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    return files.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("recordCount"),
+    files = scanned.groupBy(*by, "path", "size").agg(F.count(F.lit(1)).alias("n"))
+    return files.groupBy(*by).agg(
+        F.sum("n").alias("recordCount"),
         F.count(F.lit(1)).alias("objectCount"),
-        F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("sizeKey"),
+        F.sum("size").alias("sizeKey"),
     )
 
 
