@@ -9,14 +9,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
-from tablecheck.operators import layout, quality, registry, rules
+from tablecheck.functions.names import field
+from tablecheck.operators import layout, quality, registry, rules, skew
 from tablecheck.sources import dictionary as shapes
-from tablecheck.sources import landing
+from tablecheck.sources import folders, landing
 from tablecheck.sources.tables import (
     add_columns,
+    drop_partitions,
     ensure_table,
     load,
+    local_rows,
     quoted,
     replace_table,
     table_layout,
@@ -115,9 +119,13 @@ def run_quality(
     database: str,
     tables: Sequence[str],
     dictionary: str = DICTIONARY,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> None:
-    """Test every listed table and store the tags in its ``quality_<table>``."""
+    """Test every listed table and store the tags in its ``quality_<table>``.
+
+    Spark joins a bucketed table with one task per bucket. So unless ``buckets``
+    says otherwise, a table that has become large gets a bucket per shuffle task.
+    """
     column_rows = load(spark, f"{dictionary}.column")
     table_rows = load(spark, f"{dictionary}.table")
     nulls, lengths = rules.null_rules(column_rows), rules.length_rules(column_rows)
@@ -126,10 +134,15 @@ def run_quality(
         compiled = rules.compile_rules(nulls, lengths, database, table)
         fact = load(spark, f"{database}.{table}")
         name = f"{dictionary}.quality_{table}"
-        ensure_table(spark, name, quality.quality_schema(fact, keys), bucket_by=(buckets, keys))
+        number = buckets or (_tasks(spark) if skew.is_large(fact) else BUCKETS)
+        ensure_table(spark, name, quality.quality_schema(fact, keys), bucket_by=(number, keys))
+        _, stored = table_layout(spark, name)
+        if buckets is None and stored:
+            number = max(number, stored[0])  # never fewer than before
         replace_table(
             quality.refresh_quality(fact, load(spark, name), compiled, keys),
             name,
+            bucket_by=(number, keys),
         )
 
 
@@ -148,7 +161,7 @@ def run_pipeline(
     null_tests: Sequence[str] = (),
     length_tests: Mapping[str, int] | None = None,
     dictionary: str = DICTIONARY,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> None:
     """Land, lay out, test and register, for the tables that have a key in ``keys``."""
     run_landing(spark, databases, dictionary)
@@ -161,6 +174,47 @@ def run_pipeline(
     run_registry(spark, dictionary)
 
 
+def land_files(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    ledger: str,
+    fmt: str = "parquet",
+    **options: str,
+) -> int:
+    """Land the new folders below ``path`` in a table; returns how many there were.
+
+    The first folders give the table its schema, later ones never alter it. Rows
+    are stored in one partition per folder, and a folder enters the ledger after
+    its rows: after a run that was cut off the same folders land again, in place of
+    what it left, and no row lands twice.
+    """
+    ensure_table(spark, ledger, shapes.LEDGER)
+    found = folders.new_folders(spark, path, load(spark, ledger)).collect()
+    if not found:
+        return 0
+    schema = None
+    if spark.catalog.tableExists(quoted(table)):
+        fields = load(spark, table).schema.fields
+        schema = T.StructType([f for f in fields if f.name != "folder"])
+    landed = folders.land_new_folders(spark, path, load(spark, ledger), fmt, schema, **options)
+    if schema is None:
+        landed.write.partitionBy("folder").saveAsTable(quoted(table))
+    else:
+        # what a run that was cut off has left of these folders
+        drop_partitions(spark, table, [{"folder": row["folder"]} for row in found])
+        landed.select(*[field(f.name) for f in schema], "folder").write.mode("append").insertInto(
+            quoted(table)
+        )
+    names = local_rows(spark, [{"folder": row["folder"]} for row in found], shapes.LEDGER)
+    names.write.mode("append").insertInto(quoted(ledger))
+    return len(found)
+
+
+def _tasks(spark: SparkSession) -> int:
+    return max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _described(df, partition_by: Sequence[str]) -> list[tuple]:
     fields = [(f.name, f.dataType.simpleString(), f.metadata.get("comment")) for f in df.schema]
     last = [f for f in fields if f[0] in partition_by]

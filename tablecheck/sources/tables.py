@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablecheck.functions.names import field
+from tablecheck.functions.names import field, quote
 
 
 def load(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
@@ -75,12 +75,14 @@ def add_columns(df: DataFrame, columns: Mapping[str, str], after: str | None = N
     return df.select(*old[:place], *new, *old[place:])
 
 
-def replace_table(df: DataFrame, name: str) -> None:
+def replace_table(
+    df: DataFrame, name: str, bucket_by: tuple[int, Sequence[str]] | None = None
+) -> None:
     """Store ``df`` as the new content of an existing table.
 
     The new content is written beside the table, which may be one of its inputs,
     and the two are then swapped by rename. Partitioning, buckets and properties
-    are kept. The swap is two renames and not atomic: a reader in between finds no
+    are kept; ``bucket_by`` gives it other buckets. The swap is two renames and not atomic: a reader in between finds no
     table, and after a failure in between ``recover_table`` brings the former
     content back. A table at a location of its own cannot be renamed there, so its
     files are written once more from the staged copy.
@@ -90,7 +92,8 @@ def replace_table(df: DataFrame, name: str) -> None:
     """
     spark = df.sparkSession
     recover_table(spark, name)
-    partition_by, bucket_by = table_layout(spark, name)
+    partition_by, buckets_now = table_layout(spark, name)
+    bucket_by = bucket_by or buckets_now
     properties = table_properties(spark, name)
     detail = table_detail(spark, name)
     stage, old, name = _beside(name)
@@ -125,6 +128,18 @@ def recover_table(spark: SparkSession, name: str) -> bool:
     return False
 
 
+def drop_partitions(
+    spark: SparkSession, name: str, partitions: Sequence[Mapping[str, str]], batch: int = 200
+) -> None:
+    """Drop the partitions that exist, with their data."""
+    for start in range(0, len(partitions), batch):
+        specs = ", ".join(
+            "PARTITION (" + ", ".join(f"{quote(k)} = {_text(v)}" for k, v in spec.items()) + ")"
+            for spec in partitions[start : start + batch]
+        )
+        spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS {specs}")
+
+
 def table_layout(
     spark: SparkSession, name: str
 ) -> tuple[list[str], tuple[int, list[str]] | None]:

@@ -169,3 +169,63 @@ def test_runs_over_a_catalog(spark):
     gone = tables.load(spark, "run_dictionary.table").where("is_deleted").collect()
     assert [r.table for r in gone] == ["look"]
     assert tables.load(spark, "run_dictionary.column").where("is_deleted").count() == 1
+
+
+def test_land_files(spark, tmp_path):
+    spark.sql("DROP DATABASE IF EXISTS landing_lake CASCADE")
+    spark.sql("CREATE DATABASE landing_lake")
+    path = str(tmp_path / "in")
+    name, ledger = "landing_lake.usa", "landing_lake.ledger"
+
+    def put(day, ids, **more):
+        df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+        df.withColumns({k: F.lit(v) for k, v in more.items()}).write.parquet(f"{path}/day={day}")
+
+    def ids():
+        return sorted((r.id, str(r.day)) for r in tables.load(spark, name).collect())
+
+    put("2024-01-01", [1, 2])
+    assert batch.land_files(spark, path, name, ledger) == 1
+    assert batch.land_files(spark, path, name, ledger) == 0
+    put("2024-01-02", [3], extra="x")
+    put("2024-01-03", [4])
+    assert batch.land_files(spark, path, name, ledger) == 2
+    want = [(1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-02"), (4, "2024-01-03")]
+    assert ids() == want
+    assert tables.load(spark, name).columns == ["id", "day", "folder"]
+    # cut off before the ledger was written: landed again, no row twice
+    tables.replace_table(
+        tables.load(spark, ledger).where("folder NOT LIKE '%2024-01-03'"), ledger
+    )
+    assert batch.land_files(spark, path, name, ledger) == 1
+    assert ids() == want
+    assert tables.load(spark, ledger).count() == 3
+
+
+def test_large_quality_table_gets_a_bucket_per_task(spark):
+    for name in ("big_lake", "big_dictionary"):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    spark.sql("CREATE DATABASE big_lake")
+    spark.range(100).toDF("id").write.saveAsTable("big_lake.t")
+    batch.run_landing(spark, ["big_lake"], "big_dictionary")
+    batch.configure_rules(spark, {"t": "id"}, dictionary="big_dictionary")
+    batch.run_quality(spark, "big_lake", ["t"], "big_dictionary")
+    name = "big_dictionary.quality_t"
+    assert tables.table_layout(spark, name) == ([], (10, ["id"]))
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1b",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        batch.run_quality(spark, "big_lake", ["t"], "big_dictionary")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert tables.table_layout(spark, name) == ([], (16, ["id"]))
+    batch.run_quality(spark, "big_lake", ["t"], "big_dictionary")
+    assert tables.table_layout(spark, name) == ([], (16, ["id"]))
+    rows = tables.load(spark, name).collect()
+    assert len(rows) == 100 and all(r.data_quality_tag == [] for r in rows)
