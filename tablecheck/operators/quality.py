@@ -110,15 +110,7 @@ def seed_quality(
     Keys compare null-safe, so seeding again adds nothing. Every fact row of a
     new key is added, as many times as the key occurs.
     """
-    pairs = [(k, k) for k in keys]
-    new = anti(
-        fact.select(*[field(k) for k in keys]), quality, pairs, null_safe=True, split_hot=split_hot
-    )
-    types = {f.name: f.dataType for f in quality.schema}
-    columns = [
-        (field(c) if c in keys else F.lit(None)).cast(types[c]).alias(c) for c in quality.columns
-    ]
-    return quality.unionByName(new.select(*columns))
+    return reduce(DataFrame.unionByName, [quality, *_unseen(fact, quality, keys, split_hot)])
 
 
 def apply_tags(
@@ -161,12 +153,42 @@ def refresh_quality(
     parts = []
     for f, q, hot in skew.split(fact, quality, [(k, k) for k in keys], split_hot, both=True):
         how = skew.ALL_HOT if hot else False
-        seeded = seed_quality(f, q, keys, split_hot=how)
         tags = tag_keys(f, rules, keys)
-        parts.append(apply_tags(seeded, tags, keys, source_unique=True, split_hot=how))
+        new, new_without_key = _unseen(f, q, keys, how)
+        # Tagging known and new rows apart leaves both in their partitioning, and
+        # the aggregated tags are exchanged once for the two joins.
+        for rows in (q, new):
+            parts.append(apply_tags(rows, tags, keys, source_unique=True, split_hot=how))
+        parts.append(new_without_key.withColumn(TAG, _not_unique()))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _unseen(
+    fact: DataFrame, quality: DataFrame, keys: Sequence[str], split_hot: SplitHot
+) -> tuple[DataFrame, DataFrame]:
+    """Fact rows whose key the quality table lacks: those with a full key, and the others.
+
+    Full keys join on plain equality, which can use the quality table's buckets. A
+    single key column has one NULL at most to look up, whatever its number of rows.
+    """
+    pairs = [(k, k) for k in keys]
+    partial = any_null([field(k) for k in keys])
+    rows = fact.select(*[field(k) for k in keys])
+    full = anti(rows.where(~partial), quality.where(~partial), pairs, split_hot=split_hot)
+    lacking = anti(
+        rows.where(partial),
+        quality.where(partial),
+        pairs,
+        null_safe=True,
+        split_hot=skew.ALL_HOT if len(keys) == 1 else split_hot,
+    )
+    columns = [
+        (field(f.name) if f.name in keys else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in quality.schema
+    ]
+    return full.select(*columns), lacking.select(*columns)
+
+
 def _full_keys(columns: Sequence[Column]) -> Column:
     """Number of rows in which every key part is set."""
     return F.count(F.when(~any_null(columns), F.lit(1)))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tablecheck.operators import quality, rules
 from tablecheck.operators.rules import Rule
+from tablecheck.sources.tables import ensure_table, load
 
 RULES = [Rule("db.t.c.is_null", "c"), Rule("db.t.d.is_not_length_3", "d", 3)]
 
@@ -176,6 +177,51 @@ def test_refresh_and_later_runs(spark, fact, split):
     assert quality_rows(second) == want
 
 
+def test_refresh_uses_buckets_and_exchanges_tags_once(spark, fact, tmp_path):
+    path = str(tmp_path / "fact")
+    fact.write.parquet(path)
+    fact = spark.read.parquet(path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS refresh_plans")
+    name = "refresh_plans.quality_t"
+    ensure_table(spark, name, quality.quality_schema(fact, ["id"]), bucket_by=(8, ["id"]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        done = quality.refresh_quality(fact, load(spark, name), RULES, ["id"], split_hot=False)
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        # the fact's keys, and its aggregated tags for either join; none for the quality table
+        assert plan.count("Exchange hashpartitioning") == 3
+        done.collect()
+        assert "ReusedExchange" in done._jdf.queryExecution().executedPlan().toString()
+        assert quality_rows(done) == [(i, EXPECTED[(i,)]) for i in (1, 2, 3, 4, 5, 7, 7, None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP DATABASE refresh_plans CASCADE")
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_refresh_composite_key_with_null_parts(spark, split):
+    df = spark.createDataFrame(
+        [(1, None, "x"), (1, None, None), (None, 2, "x"), (3, 4, "x"), (3, 5, None)],
+        "a int, b bigint, c string",
+    )
+    known = spark.createDataFrame(
+        [(1, None, None), (9, 9, ["old"])], "a int, b bigint, data_quality_tag array<string>"
+    )
+    once = quality.refresh_quality(df, known, RULES[:1], ["a", "b"], split_hot=split)
+    bad = ["key_not_unique"]
+    want = [
+        (1, None, bad),
+        (None, 2, bad),
+        (3, 4, []),
+        (3, 5, ["db.t.c.is_null"]),
+        (9, 9, ["old"]),
+    ]
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(want, key=repr)
+    again = quality.refresh_quality(df, once, RULES[:1], ["a", "b"], split_hot=split)
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_apply_tags_needs_unique_tags(spark):
     known = spark.createDataFrame([(1, None)], "id int, data_quality_tag array<string>")
     twice = spark.createDataFrame([(1, []), (1, ["x"])], "id int, data_quality_tag array<string>")
