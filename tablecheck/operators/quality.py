@@ -110,6 +110,10 @@ def seed_quality(
     Keys compare null-safe, so seeding again adds nothing. Every fact row of a
     new key is added, as many times as the key occurs.
     """
+    if split_hot is None and not skew.is_large(fact, quality):
+        rows = fact.select(*[field(k) for k in keys])
+        new = anti(rows, quality, [(k, k) for k in keys], null_safe=True, split_hot=False)
+        return quality.unionByName(_untested(new, quality, keys))
     return reduce(DataFrame.unionByName, [quality, *_unseen(fact, quality, keys, split_hot)])
 
 
@@ -182,11 +186,17 @@ def _unseen(
         null_safe=True,
         split_hot=skew.ALL_HOT if len(keys) == 1 else split_hot,
     )
-    columns = [
-        (field(f.name) if f.name in keys else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in quality.schema
-    ]
-    return full.select(*columns), lacking.select(*columns)
+    return _untested(full, quality, keys), _untested(lacking, quality, keys)
+
+
+def _untested(rows: DataFrame, quality: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys as rows of the quality table, not tested yet."""
+    return rows.select(
+        *[
+            (field(f.name) if f.name in keys else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in quality.schema
+        ]
+    )
 
 
 def _full_keys(columns: Sequence[Column]) -> Column:
