@@ -8,20 +8,32 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the cluster's shared folder.
+def scratch_base(spark: SparkSession) -> str:
+    """The cluster's shared folder for intermediate files.
 
-    That is the folder ``spark.checkpoint.dir`` names. Only where it is unset, as
-    in a local session, a temporary folder of this machine is used.
+    That is the folder ``spark.checkpoint.dir`` names, or else the checkpoint folder
+    of the Spark context. Where neither is set, a local session gets a temporary
+    folder of this machine; any other raises, since executors would not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        base = spark.sparkContext.getCheckpointDir()
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tablecheck-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{scratch_base(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The relation written to the shared folder and read back, so its size is known."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
