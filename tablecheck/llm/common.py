@@ -5,14 +5,18 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tablecheck.functions.names import field
 from tablecheck.sources.scratch import stored
 
-__all__ = ["bytes_of", "id_remainder", "read", "rows_of", "ship", "stored", "text_of"]
+__all__ = ["bytes_of", "id_remainder", "mapped", "read", "rows_of", "ship", "stored", "text_of"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,3 +58,24 @@ def ship(spark: SparkSession) -> None:
                 bundle.write(path, os.path.relpath(path, os.path.dirname(root)))
     context.addPyFile(archive)
     context._tablecheck_shipped = True
+
+
+def mapped(
+    df: DataFrame, function: Callable[[], Callable[[dict], dict]], schema: str, rows: int = 512
+) -> DataFrame:
+    """Rows mapped in blocks of ``rows``, as columns of Python values.
+
+    ``function()`` is called once for each task and returns what maps a block.
+    """
+    struct = StructType.fromDDL(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, arrow = function(), to_arrow_schema(struct)
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                out = block(batch.slice(at, rows).to_pydict())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[f.name], f.type) for f in arrow], schema=arrow
+                )
+
+    return df.mapInArrow(run, struct)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import sharding
+from tablecheck.llm import packing, sharding
 from tablecheck.llm.common import read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op2_packing")
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    return packing.pack(packing.pieces(read(spark, sf_dir, "documents")))
