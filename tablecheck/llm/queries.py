@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import packing, sharding
-from tablecheck.llm.common import read, ship
+from tablecheck.llm import language, packing, quality, sharding
+from tablecheck.llm.common import id_remainder, read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,30 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     return packing.pack(packing.pieces(read(spark, sf_dir, "documents")))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, learned from four fifths of the labels."""
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.scores(docs, model).select(
+        "doc_id",
+        (id_remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by text, declared language and source."""
+    docs = read(spark, sf_dir, "documents")
+    return language.identify(language.document_rows(docs), language.fit_text(docs), ["doc_id"])
+
+
+@query("language_pages")
+def language_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page, by text, markup and address."""
+    model = language.fit_text(read(spark, sf_dir, "documents"))
+    return language.identify(language.page_rows(read(spark, sf_dir, "pages")), model, ["page_id"])
