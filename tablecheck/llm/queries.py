@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import language, packing, quality, sharding
+from tablecheck.llm import jaccard, language, packing, quality, sharding
 from tablecheck.llm.common import id_remainder, read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def language_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every page, by text, markup and address."""
     model = language.fit_text(read(spark, sf_dir, "documents"))
     return language.identify(language.page_rows(read(spark, sf_dir, "pages")), model, ["page_id"])
+
+
+@query("op6_jaccard")
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles have a similarity of 0.85 or more."""
+    return jaccard.link_components(read(spark, sf_dir, "documents"), size=4, threshold=85)
