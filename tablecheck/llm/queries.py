@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import jaccard, language, packing, quality, sharding
+from tablecheck.llm import fingerprints, jaccard, language, packing, quality, sharding
 from tablecheck.llm.common import id_remainder, read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,17 @@ def language_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingles have a similarity of 0.85 or more."""
     return jaccard.link_components(read(spark, sf_dir, "documents"), size=4, threshold=85)
+
+
+@query("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of every document, of its edited text, and its likeness to both."""
+    return fingerprints.with_neighbours(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        fingerprints.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        fingerprints.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+    )
