@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import fingerprints, jaccard, language, packing, quality, sharding
+from tablecheck.llm import fingerprints, jaccard, language, packing, quality, sharding, topk
 from tablecheck.llm.common import id_remainder, read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,27 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         fingerprints.likeness("fingerprint", "next_fingerprint").alias("near_next"),
     )
+
+
+@query(
+    "op3_topk",
+    """
+    WITH usable AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    ), scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+             list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r
+      FROM scored
+    )
+    SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
+    """,
+)
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best others for every vector whose id is divisible by 50."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
