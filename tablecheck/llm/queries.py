@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import fingerprints, jaccard, language, packing, quality, sharding, topk
+from tablecheck.llm import fingerprints, jaccard, language, packing, quality, sharding, topk, warc
 from tablecheck.llm.common import id_remainder, read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,36 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best others for every vector whose id is divisible by 50."""
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query(
+    "op8_warc",
+    """
+    WITH hashed AS (
+      SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex
+      FROM pages WHERE page_id IS NOT NULL
+    ), last AS (
+      SELECT *, max(page_id) OVER (PARTITION BY payload) AS last_id FROM hashed
+    )
+    SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+      list_aggregate(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (('0x' || substr(hex, (i // 4 * 5 + 1)::INT, 5))::BIGINT
+                >> (15 - 5 * (i % 4))::INT & 31)::INT + 1, 1)),
+        'string_agg', '') AS payload_digest,
+      CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+    FROM last
+    """,
+)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written as WARC records and read back from their frames."""
+    index = warc.write(read(spark, sf_dir, "pages"))
+    records = warc.referred(warc.read_back(spark, index))
+    return records.select(
+        "page_id",
+        F.when(F.col("intact"), F.col("payload_bytes")).alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
