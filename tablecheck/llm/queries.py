@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import fingerprints, jaccard, language, packing, quality, sharding, topk, warc
+from tablecheck.llm import fingerprints, jaccard, language, packing, quality, sentencepieces, sharding, topk, warc
 from tablecheck.llm.common import id_remainder, read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,17 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         "refers_to",
     )
+
+
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, encoded with a tenth of the merges dropped, and decoded again."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    both = sentencepieces.decode(sentencepieces.encode(docs, rate=0.1, seed=1))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        sentencepieces.ids_crc32(F.col("ids")).alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
