@@ -23,6 +23,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -273,8 +274,6 @@ def keep_good(
 
 
 def _scorer(model: ByteConvNet | float):
-    import pandas as pd
-
     def score(texts: pd.Series) -> pd.Series:
         if isinstance(model, float):
             return pd.Series(np.full(len(texts), model))
