@@ -12,11 +12,13 @@ Empty segments agree for no reason; a set with at most ``spare`` of them leaves
 (one that agrees and is not empty remains), any other emits them too. So every linked pair
 shares a key.
 
-Sets that share a key are compared with one leader of the key first, exactly. Links make
-components, and a key whose members are in one component is done. Further rounds take
-other leaders; what then still spans components is compared pair by pair. Copies travel as
-one set. A frequent key becomes one row for each task before any shuffle, and pairs inside
-a component are never listed.
+Each key has a leader. Members whose whole sketches differ from their leader's in no more
+bits than linked sets differ in shingles are verified by their sets, first with the leader
+they share most keys with, then with those of other components. Links make components.
+What then spans components is compared by sketches, in blocks of a leader's members, and
+what passes is verified too. So every pair that could be linked is verified or already
+connected, while pairs inside a component are never listed. Copies travel as one set, and
+a frequent key becomes one row for each task before any shuffle.
 
 Edge cases: a set is empty without words (null or empty text) and linked with nothing; with
 fewer words than a shingle takes, the whole sequence is the one shingle; rows that repeat
@@ -26,6 +28,7 @@ a null component and link nothing; an empty table gives no rows; other columns a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,7 +45,8 @@ BAND_RATIO = 1.25
 SKETCH_BITS = 20
 KEPT_WORDS = 500_000
 KEYS_AT_ONCE = 400_000
-LEADER_ROUNDS = 3
+BLOCK = 512
+BROADCAST_IDS = 1_000_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
@@ -137,33 +141,32 @@ def link_components(
         F.col("doc_id").alias("u"), F.col("first_id").alias("v")
     )
     shared = _shared_keys(docs.where("doc_id IS NOT NULL"), copies, size, threshold)
-    ids = shared.select(F.explode(F.array("doc", "leader")).alias("doc_id")).distinct()
-    wanted = stored(_listed(docs.join(ids, "doc_id", "left_semi"), size), "jaccard-wanted")
-
-    seen = stored(shared.select("leader", "doc").distinct().select(*_pair("leader", "doc")),
-                  "jaccard-pairs")
-    links = stored(_linked(seen, wanted, threshold), "jaccard-links")
-    member_keys = shared.select("key", "doc").union(shared.select("key", "leader")).distinct()
-    for number in range(1, LEADER_ROUNDS + 1):
-        split = _spanning(member_keys, components(links))
-        cross = split.groupBy("key").agg(F.count("*").alias("n")).agg(
-            F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0)).alias("pairs"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        ).first()
-        if not cross["rows"]:
-            break
-        everything = number == LEADER_ROUNDS or cross["pairs"] <= 4 * cross["rows"]
-        tried = _all_cross(split) if everything else _led(split, number)
-        fresh = stored(
-            tried.join(seen, ["a", "b"], "left_anti"), f"jaccard-pairs-{number}"
-        )
-        links = stored(
-            links.union(_linked(fresh, wanted, threshold)), f"jaccard-links-{number}"
-        )
-        if everything:
-            break
-        seen = seen.union(fresh)
-        member_keys = split.select("key", "doc")
+    ids = stored(
+        shared.select(F.explode(F.array("doc", "leader")).alias("doc_id")).distinct(),
+        "jaccard-ids",
+    )
+    few = ids.count() <= BROADCAST_IDS
+    chosen = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    wanted = stored(_listed(chosen, size), "jaccard-wanted")
+
+    led = stored(
+        shared.groupBy("leader", "doc")
+        .agg(F.count("*").alias("keys"))
+        .select(*_pair("leader", "doc"), "leader", "doc", "keys"),
+        "jaccard-led",
+    )
+    near = stored(_near(led, wanted, threshold), "jaccard-near")
+    best = near.groupBy("doc").agg(F.max_by("leader", "keys").alias("leader"))
+    links = stored(
+        _linked(best.select(*_pair("leader", "doc")).distinct(), wanted, threshold),
+        "jaccard-links",
+    )
+    labels = components(links)
+    others = _across(near.select("a", "b").distinct(), labels)
+    links = stored(links.union(_linked(others, wanted, threshold)), "jaccard-links-led")
+    labels = stored(components(links), "jaccard-labels")
+    rest = stored(_compared(shared, led, labels, wanted, threshold), "jaccard-rest")
+    links = links.union(_linked(rest.distinct(), wanted, threshold))
     linked = components(links.union(copies.select("u", "v")))
     return members.join(linked, members["doc_id"] == linked["node"], "left").select(
         "doc_id",
@@ -202,14 +205,39 @@ def _measured(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _listed(docs: DataFrame, size: int) -> DataFrame:
+    """Rows (doc, set, sketch): shingle hashes, and a parity sketch of four bits for each.
+
+    A sketch has a power of two of 64-bit words, so it folds to any shorter one.
+    """
+
     def task():
         def block(columns: dict) -> dict:
-            found = [shingles(text, size).view(np.int64) for text in columns["text"]]
-            return {"doc": columns["doc_id"], "set": found}
+            found = [shingles(text, size) for text in columns["text"]]
+            return {
+                "doc": columns["doc_id"],
+                "set": [x.view(np.int64) for x in found],
+                "sketch": [parity_sketch(x).tobytes() for x in found],
+            }
 
         return block
 
-    return mapped(docs, task, "doc long, set array<long>")
+    return mapped(docs, task, "doc long, set array<long>, sketch binary")
+
+
+def parity_sketch(found: np.ndarray) -> np.ndarray:
+    words = 1 << max(0, math.ceil(math.log2(max(1, len(found) / 16))))
+    bit = mixed(found ^ _ODD[1])
+    sketch = np.zeros(words, np.uint64)
+    place = (bit & np.uint64(words - 1)).astype(np.int64)
+    np.bitwise_xor.at(sketch, place, np.uint64(1) << (bit >> np.uint64(58)))
+    return sketch
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    while sketch.shape[-1] > words:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
+    return sketch
 
 
 def _shared_keys(docs: DataFrame, copies: DataFrame, size: int, threshold: int) -> DataFrame:
@@ -293,42 +321,158 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def _spanning(member_keys: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (key, doc, component) of the keys whose members are in several components."""
-    labelled = member_keys.join(labels, member_keys["doc"] == labels["node"], "left").select(
-        "key", "doc", F.coalesce("component", "doc").alias("component")
+def _near(led: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs whose sketches differ in no more bits than linked sets may in shingles."""
+    left = sets.select(F.col("doc").alias("a"), F.size("set").alias("size_a"), "sketch")
+    right = sets.select(
+        F.col("doc").alias("b"), F.size("set").alias("size_b"), F.col("sketch").alias("other")
     )
-    spanning = (
-        labelled.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-        .select("key")
-    )
-    return stored(labelled.join(spanning, "key", "left_semi"), "jaccard-spanning")
+
+    def task():
+        def block(columns: dict) -> dict:
+            fits = []
+            for x, y, total in zip(columns.pop("sketch"), columns.pop("other"),
+                                   columns.pop("total")):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                words = min(len(x), len(y))
+                bits = np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()
+                fits.append(int(bits) <= total * (100 - threshold) // (100 + threshold))
+            return columns | {"fits": fits}
+
+        return block
+
+    joined = led.join(left, "a").join(right, "b")
+    return mapped(
+        joined.select("a", "b", "leader", "doc", "keys", "sketch", "other",
+                      (F.col("size_a") + F.col("size_b")).alias("total")),
+        task,
+        "a long, b long, leader long, doc long, keys long, fits boolean",
+    ).where("fits").drop("fits")
 
 
-def _led(split: DataFrame, number: int) -> DataFrame:
-    """Each member of a key with the round's leader, where their components differ."""
-    order = F.xxhash64("doc", F.lit(number))
-    leaders = split.groupBy("key").agg(F.min_by("doc", order).alias("leader"))
-    lead = split.select(F.col("doc").alias("leader"), F.col("component").alias("lead")).distinct()
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose components differ."""
+    of_a = labels.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
     return (
-        split.join(leaders.join(lead, "leader"), "key")
-        .where("component <> lead")
-        .select(*_pair("leader", "doc"))
-        .distinct()
+        pairs.join(of_a, "a", "left")
+        .join(of_b, "b", "left")
+        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+        .select("a", "b")
     )
 
 
-def _all_cross(split: DataFrame) -> DataFrame:
-    """All pairs of a key whose components differ."""
-    other = split.select("key", F.col("doc").alias("other"), F.col("component").alias("its"))
+def _compared(
+    shared: DataFrame, led: DataFrame, labels: DataFrame, sets: DataFrame, threshold: int
+) -> DataFrame:
+    """Pairs (a, b) of members of a key whose components differ and sketches are near.
+
+    Members that share several keys with a leader are compared once, in the leader's
+    group; members that share one are compared with the others of that key. Groups are
+    cut into blocks, and a task takes two blocks at a time; it returns what may be linked.
+    """
+    marked = shared.join(led.select("leader", "doc", "keys"), ["leader", "doc"])
+    often = led.where("keys > 1").select(
+        F.lit(0).alias("kind"), F.col("leader").alias("group"), "doc", F.lit(False).alias("once")
+    )
+    once = marked.where("keys = 1").select("key").distinct()
+    by_key = marked.join(once, "key", "left_semi").select(
+        F.lit(1).alias("kind"),
+        F.col("key").alias("group"),
+        "doc",
+        (F.col("keys") == 1).alias("once"),
+    )
+    groups = often.union(by_key)
+    labelled = groups.join(labels, groups["doc"] == labels["node"], "left").select(
+        "kind", "group", "doc", "once", F.coalesce("component", "doc").alias("component")
+    )
+    sizes = (
+        labelled.groupBy("kind", "group")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        )
+        .where("low <> high")
+        .select("kind", "group", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    own = F.pmod(F.xxhash64("doc", F.lit(5)), F.col("blocks")).cast("int")
+    dealt = (
+        labelled.join(sizes, ["kind", "group"])
+        .withColumn("own", own)
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "kind",
+            "group",
+            F.least("own", "with").alias("i"),
+            F.greatest("own", "with").alias("j"),
+            "own",
+            "doc",
+            "once",
+            "component",
+        )
+        .join(sets.select("doc", F.size("set").alias("size"), "sketch"), "doc")
+    )
+    where = ["kind", "group", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            columns = batch.to_pydict()
+            for row in zip(*[columns[name] for name in names]):
+                if row[:4] != key:
+                    found += _near_members(rows, threshold)
+                    key, rows = row[:4], []
+                rows.append(row)
+            if found:
+                yield _pairs_batch(found)
+        if found := _near_members(rows, threshold):
+            yield _pairs_batch(found)
+
+    names = [*where, "own", "doc", "once", "component", "size", "sketch"]
     return (
-        split.join(other, "key")
-        .where((F.col("doc") < F.col("other")) & (F.col("component") != F.col("its")))
-        .select(F.col("doc").alias("a"), F.col("other").alias("b"))
-        .distinct()
+        dealt.select(*names)
+        .repartition(*where)
+        .sortWithinPartitions(*where)
+        .mapInArrow(run, "a long, b long")
+    )
+
+
+def _pairs_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
+    )
+
+
+def _near_members(rows: list[tuple], threshold: int) -> list[tuple[int, int]]:
+    """Pairs of two blocks (or of one with itself) that pass the sketches' bound."""
+    if len(rows) < 2:
+        return []
+    own, doc, once, component, size = (
+        np.array([row[n] for row in rows]) for n in (4, 5, 6, 7, 8)
     )
+    kind, _, i, j = rows[0][:4]
+    sketches = [np.frombuffer(row[9], np.uint64) for row in rows]
+    words = min(map(len, sketches))
+    table = np.stack([folded(x, words) for x in sketches])
+    found = []
+    for at in range(len(rows)):
+        others = np.arange(at + 1, len(rows))
+        keep = component[others] != component[at]
+        if i != j:
+            keep &= own[others] != own[at]
+        if kind == 1:
+            keep &= once[others] | once[at]
+        others = others[keep]
+        if len(others):
+            bits = np.bitwise_count(table[others] ^ table[at]).sum(axis=1, dtype=np.int64)
+            limit = (size[others] + size[at]) * (100 - threshold) // (100 + threshold)
+            found += [
+                (int(min(doc[at], d)), int(max(doc[at], d))) for d in doc[others[bits <= limit]]
+            ]
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
