@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import fingerprints, jaccard, language, packing, quality, sentencepieces, sharding, topk, warc
+from tablecheck.llm import fingerprints, jaccard, language, lm, packing, quality, sentencepieces, sharding, topk, warc
 from tablecheck.llm.common import id_remainder, read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,9 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
     )
+
+
+@query("op4_lm")
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 chance of every document, learned from nine tenths of them."""
+    return lm.score(read(spark, sf_dir, "documents"))
