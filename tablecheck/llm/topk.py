@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 from tablecheck.functions.names import field
 from tablecheck.llm.common import mapped, rows_of, stored
 
-PIVOTS = 32
+PIVOTS = 16
 ROWS_PER_TREE = 8192
-PAGE = 64
+PAGE = 512
 FANOUT = 12
 LONGEST = (1 << 63) - 1
 
@@ -48,7 +48,9 @@ class Tree:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.vectors = ids, vectors
-        #: a page: centre, rows or None, distances of rows or children, radii, children
+        self.largest = float(np.abs(vectors).max(initial=0))
+        #: a page: centre, (ids, vectors) or None, distances of those or of children to the
+        #: centre, the largest of them, radii and children
         self.pages: list[tuple] = []
         order = np.lexsort((ids,))
         self.root, _ = self._page(order, vectors[order[0]], np.random.default_rng(len(ids)))
@@ -58,7 +60,8 @@ class Tree:
         radius = float(away.max())
         if len(rows) <= PAGE or radius == 0:
             number = len(self.pages)
-            self.pages.append((centre, rows, away, None, None))
+            held = (self.ids[rows], np.ascontiguousarray(self.vectors[rows]))
+            self.pages.append((centre, held, away, radius, None, None))
             return number, radius
         seeds = rows[rng.choice(len(rows), FANOUT, replace=False)]
         seeds[0] = rows[away.argmax()]
@@ -70,12 +73,14 @@ class Tree:
         number = len(self.pages)
         between = np.array([np.sqrt(((c - centre) ** 2).sum()) for c, _, _ in made])
         radii = np.array([r for _, _, r in made])
-        self.pages.append((centre, None, between, radii, [child for _, child, _ in made]))
+        children = [child for _, child, _ in made]
+        self.pages.append((centre, None, between, float(between.max()), radii, children))
         return number, radius
 
     def search(self, query_id: int, query: np.ndarray, k: int, least: tuple) -> list[tuple]:
         """The k best (score, -id) at least as good as ``least``, best first."""
         length = float(np.sqrt((query**2).sum()))
+        exact = self.largest * float(np.abs(query).max(initial=0)) * len(query) < 2**53
         best: list[tuple] = []  # a heap, the worst first
         floor = least
         product = self.pages[self.root][0] @ query
@@ -84,9 +89,9 @@ class Tree:
             bound, number, product = heapq.heappop(waiting)
             if -bound < floor[0]:
                 break
-            centre, rows, away, radii, children = self.pages[number]
-            slack = 1e-9 * (abs(product) + length * (1 + float(away.max(initial=0)))) + 1e-6
-            if rows is None:
+            centre, held, away, widest, radii, children = self.pages[number]
+            slack = 1e-9 * (abs(product) + length * (1 + widest)) + 1e-6
+            if held is None:
                 by_parent = product + length * (away + radii) + slack
                 for i in np.flatnonzero(by_parent >= floor[0]):
                     its = float(self.pages[children[i]][0] @ query)
@@ -94,14 +99,19 @@ class Tree:
                     if reach >= floor[0]:
                         heapq.heappush(waiting, (-reach, children[i], its))
                 continue
-            rows = rows[product + length * away + slack >= floor[0]]
-            rows = rows[self.ids[rows] != query_id]
-            scores = exact_products(self.vectors[rows], query)
-            if len(rows) > k:  # whatever is below the k-th here is below the k-th overall
-                kept = np.lexsort((self.ids[rows], -scores))[:k]
-                rows, scores = rows[kept], scores[kept]
-            for row, score in zip(rows, scores):
-                entry = (int(score), -int(self.ids[row]))
+            ids, vectors = held
+            near = product + length * away + slack >= floor[0]
+            if not near.all():
+                ids, vectors = ids[near], vectors[near]
+            scores = vectors @ query if exact else exact_products(vectors, query)
+            good = np.flatnonzero(scores >= floor[0])
+            if len(good) > 4 * k:  # what is below the k-th here is below the k-th of all
+                good = good[ids[good] != query_id]
+                good = good[np.lexsort((ids[good], -scores[good]))[:k]]
+            for i in good:
+                if ids[i] == query_id:
+                    continue
+                entry = (int(scores[i]), -int(ids[i]))
                 if entry >= floor:
                     heapq.heappush(best, entry)
                     if len(best) > k:
@@ -112,12 +122,7 @@ class Tree:
 
 
 def exact_products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Integer inner products; in floats only where every partial sum is exact."""
-    if not vectors.size:
-        return np.zeros(len(vectors), np.int64)
-    limit = float(np.abs(vectors).max()) * float(np.abs(query).max()) * vectors.shape[1]
-    if limit < 2**53:
-        return (vectors @ query).astype(np.int64)
+    """Integer inner products too large for sums of floats to be exact."""
     whole = [int(x) for x in query]
     sums = [sum(int(x) * y for x, y in zip(row, whole)) for row in vectors]
     return np.array([max(-LONGEST, min(LONGEST, s)) for s in sums], np.int64)
