@@ -185,8 +185,8 @@ def keep_one(
     Rows with a null id stay.
     """
     found = link_components(df, size, threshold, id_col, text_col)
-    later = found.where("component_id <> doc_id").select(F.col("doc_id").alias("__later"))
-    return df.join(later, field(id_col).cast("long") == F.col("__later"), "left_anti")
+    later = found.where("component_id <> doc_id").select(F.col("doc_id").alias("later"))
+    return df.join(later, field(id_col).cast("long") == later["later"], "left_anti")
 
 
 def _measured(docs: DataFrame, size: int) -> DataFrame:

@@ -262,13 +262,13 @@ def keep_known(df: DataFrame, least: float = 0.5) -> DataFrame:
 
     A row is told apart by id and text, so equal rows stay or go together.
     """
-    marked = df.withColumn("__key", F.xxhash64(text_of("text"), F.lit(7)))
-    rows = document_rows(df).withColumn("__key", F.xxhash64(text_of("text"), F.lit(7)))
-    found = identify(rows, fit_text(df), ["doc_id", "__key"], least)
+    text_key = F.xxhash64(text_of("text"), F.lit(7))
+    rows = document_rows(df).withColumn("text_key", F.xxhash64("text", F.lit(7)))
+    found = identify(rows, fit_text(df), ["doc_id", "text_key"], least)
     keys = found.where("accepted").select(
-        F.col("doc_id").alias("__id"), F.col("__key").alias("__text")
-    ).distinct()
-    match = field("doc_id").cast("long").eqNullSafe(F.col("__id")) & (
-        F.col("__key") == F.col("__text")
+        F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_text")
     )
-    return marked.join(keys, match, "left_semi").drop("__key")
+    match = field("doc_id").cast("long").eqNullSafe(keys["kept_id"]) & (
+        text_key == keys["kept_text"]
+    )
+    return df.join(keys.distinct(), match, "left_semi")

@@ -1,0 +1,170 @@
+"""Every operator over edge rows and over an empty table."""
+
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tablecheck.llm import (
+    fingerprints,
+    jaccard,
+    language,
+    lm,
+    packing,
+    quality,
+    sentencepieces,
+    sharding,
+    topk,
+    warc,
+)
+
+from .conftest import LONG, TEXTS
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = [(1, 1, 0), (4, 0, 0), (5, 1, 0), (7, None, 0), (8, 1, 0), (9, 0, 0), (None, 1, 0)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_sentencepieces(edges, nothing):
+    both = sentencepieces.decode(sentencepieces.encode(edges, to="ids"), "ids", "decoded")
+    rows = both.select("text", "decoded", "size").collect()
+    assert len(rows) == len(TEXTS)
+    assert all(row["text"] == row["decoded"] and row["size"] == "x" for row in rows)
+    assert sentencepieces.encode(nothing).count() == 0
+
+
+def test_packing(edges, nothing):
+    rows = packing.pack(packing.pieces(edges)).collect()
+    lengths = {row["doc_id"]: 0 for row in rows}
+    for row in rows:
+        lengths[row["doc_id"]] += row["length"]
+    assert lengths[1] == lengths[2] == lengths[3] == 1  # the end id
+    assert lengths[7] > 2 * packing.CAPACITY
+    assert sum(row["doc_id"] == 6 for row in rows) == 2  # repeated rows are packed each
+    assert packing.pack(packing.pieces(nothing)).count() == 0
+
+
+def test_topk(spark):
+    big, inf, nan = 3.0e38, float("inf"), float("nan")
+    rows = [
+        (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [None, 1.0]), (4, [inf, 0.0]),
+        (5, [nan, 0.0]), (6, []), (7, [1.0]), (8, [-0.001, 5.0]), (50, [big, big]), (9, [1.0, 0.0]),
+        (None, [1.0, 1.0]), (0, [1.0, 0.0]),
+    ]
+    df = spark.createDataFrame(
+        [(i, v, 7) for i, v in rows], "vec_id long, embedding array<double>, score int"
+    )
+    found = topk.top_k(df, F.col("vec_id") % 50 == 0).collect()
+    by = {}
+    for row in found:
+        by.setdefault(row["query_id"], []).append((row["rank"], row["vec_id"], row["score"]))
+    first = sorted(by[0])
+    assert first[0][1] == 50 and [x[1] for x in first[2:8:2]] == [1, 7, 9][: len(first[2:8:2])]
+    assert {x[1] for x in by[50]} <= {0, 1, 7, 8, 9, 6}
+    assert by[50][0][2] == topk.LONGEST  # cut to 64 bits
+    assert topk.top_k(df.where("false"), F.lit(True)).count() == 0
+
+
+def test_lm(edges, nothing):
+    rows = lm.score(edges).collect()
+    assert len(rows) == len(set(TEXTS))
+    assert all(np.isfinite(row["score"]) and row["score"] <= 0 for row in rows)
+    assert {row["n_tokens"] for row in rows if row["doc_id"] in (1, 2, 3)} == {1}
+    assert lm.score(nothing).count() == 0
+
+
+def test_language(edges, nothing):
+    found = language.identify(
+        language.document_rows(edges), language.fit_text(edges), ["doc_id"]
+    ).collect()
+    assert len(found) == len(TEXTS)
+    assert {row["lang"] for row in found if row["doc_id"] in (1, 2, 3)} == {language.UNKNOWN}
+    model = language.fit_text(nothing)
+    assert model.languages == [language.UNKNOWN]
+    assert language.identify(language.document_rows(nothing), model, ["doc_id"]).count() == 0
+    assert language.keep_known(edges).columns == edges.columns
+
+
+def test_jaccard(edges, nothing):
+    rows = jaccard.link_components(edges, 4, 85).collect()
+    assert len(rows) == len(TEXTS)
+    by = {row["doc_id"]: row for row in rows if row["doc_id"] is not None}
+    assert by[1]["n_shingles"] == by[2]["n_shingles"] == by[3]["n_shingles"] == 0
+    assert by[2]["component_id"] == 2 and by[3]["component_id"] == 3
+    assert by[5]["component_id"] == by[6]["component_id"] == 5
+    assert by[4]["n_shingles"] == 1
+    assert all(row["component_id"] is None for row in rows if row["doc_id"] is None)
+    assert jaccard.link_components(nothing, 4, 85).count() == 0
+    kept = jaccard.keep_one(edges, 4, 85)
+    assert kept.columns == edges.columns and kept.count() == len(TEXTS) - 2
+
+
+def test_fingerprints(edges, nothing):
+    rows = fingerprints.with_neighbours(edges).collect()
+    assert len(rows) == len(set((i, t or "") for i, t in TEXTS))
+    blank = {row["fingerprint"] for row in rows if not row["text"].strip()}
+    assert len(blank) == 1
+    by = {row["doc_id"]: row for row in rows if row["doc_id"] is not None}
+    assert by[5]["fingerprint"] == by[6]["fingerprint"]
+    assert by[5]["edited"] == "a b c d " + "a b c d"[:7]
+    assert by[7]["edited"][:1000] == LONG[:1000]
+    assert by[10]["edited"].endswith("")  # then the first, with a null id
+    assert fingerprints.with_neighbours(nothing).count() == 0
+
+
+def test_warc(spark):
+    rows = [
+        (1, "http://a/", "same"), (2, None, "same"), (3, "http://a/\r\nX: y", None), (4, "u", ""),
+        (4, "u", ""), (None, "u", "z"), (5, "u", "é" * 900_000), (6, "u", "one"), (6, "v", "two"),
+    ]
+    pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, bundle int")
+    found = {r["page_id"]: r for r in warc.referred(warc.read_back(spark, warc.write(pages))).collect()}
+    assert sorted(found) == [1, 2, 3, 4, 5, 6]
+    assert all(r["intact"] for r in found.values())
+    assert found[1]["record_type"] == "revisit" and found[1]["refers_to"] == 2
+    assert found[3]["record_type"] == "revisit" and found[3]["refers_to"] == 4
+    assert found[5]["payload_bytes"] == 1_800_000
+    assert warc.read_back(spark, warc.write(pages.where("false"))).count() == 0
+
+
+def test_quality(edges, nothing, labels):
+    model = quality.fit(edges, labels, sample=10)
+    rows = quality.scores(edges, model).collect()
+    assert len(rows) == len(TEXTS) and all(0 <= row["score"] <= 1 for row in rows)
+    assert quality.fit(edges, labels.where("false")) == 0.5
+    assert quality.scores(edges, 0.5).where("score <> 0.5").count() == 0
+    assert quality.scores(nothing, model).count() == 0
+    kept = quality.keep_good(edges, labels, 0.0)
+    assert kept.columns == edges.columns and kept.count() == len(TEXTS)
+
+
+def test_sharding(edges, nothing):
+    rows = sharding.shard_by_size(edges, 3).collect()
+    assert len(rows) == len(TEXTS)
+    slots, homes = {}, {}
+    for row in rows:
+        slots.setdefault(row["shard"], []).append(row["slot"])
+        homes.setdefault(row["text_crc32"], set()).add(row["shard"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(h) == 1 for h in homes.values())
+    by = {row["doc_id"]: row for row in rows}
+    assert (by[1]["size"], by[1]["text_crc32"]) == (1, 0)
+    assert by[7]["text_crc32"] == zlib.crc32(LONG.encode())
+    assert sharding.shard_by_size(nothing, 3).count() == 0
+
+
+def test_pipeline_stages_keep_columns(spark, edges, labels, tmp_path):
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality", "language", "near_copies", "packing"]
+    for docs in (edges, edges.where("false")):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, str(tmp_path))
+            if name != "packing":
+                assert out.columns == docs.columns
+                docs = out
+        out.count()
