@@ -371,16 +371,20 @@ def _compared(
     group; members that share one are compared with the others of that key. Groups are
     cut into blocks, and a task takes two blocks at a time; it returns what may be linked.
     """
-    marked = shared.join(led.select("leader", "doc", "keys"), ["leader", "doc"])
     often = led.where("keys > 1").select(
         F.lit(0).alias("kind"), F.col("leader").alias("group"), "doc", F.lit(False).alias("once")
     )
-    once = marked.where("keys = 1").select("key").distinct()
-    by_key = marked.join(once, "key", "left_semi").select(
-        F.lit(1).alias("kind"),
-        F.col("key").alias("group"),
-        "doc",
-        (F.col("keys") == 1).alias("once"),
+    singles = led.where("keys = 1").select("leader", "doc", F.lit(True).alias("once"))
+    their_keys = shared.join(singles, ["leader", "doc"]).select("key").distinct()
+    by_key = (
+        shared.join(their_keys, "key", "left_semi")
+        .join(singles, ["leader", "doc"], "left")
+        .select(
+            F.lit(1).alias("kind"),
+            F.col("key").alias("group"),
+            "doc",
+            F.coalesce("once", F.lit(False)).alias("once"),
+        )
     )
     groups = often.union(by_key)
     labelled = groups.join(labels, groups["doc"] == labels["node"], "left").select(
