@@ -13,8 +13,16 @@ def parse_properties(text: str | Column) -> Column:
 
     A comma that is followed by another comma is a value, so
     ``delimiter=,,quote=x`` yields a delimiter of ``,``. Values keep any further
-    ``=``. Empty text and NULL give NULL.
+    ``=``. Of a name that is repeated the last value counts. Empty text and NULL give
+    NULL.
     """
     col = field(text) if isinstance(text, str) else text
     bare = F.regexp_replace(col, r"^\[|\]$", "")
-    return F.when(bare != "", F.str_to_map(bare, F.lit(r",(?!,)\s*"), F.lit("=")))
+    pairs = F.transform(F.split(bare, r",(?!,)\s*"), lambda pair: F.split(pair, "=", 2))
+    names = F.transform(pairs, lambda pair: pair[0])
+    last = F.filter(
+        pairs,
+        lambda pair, i: F.array_position(F.reverse(names), pair[0]) == F.size(names) - i,
+    )
+    entries = F.transform(last, lambda pair: F.struct(pair[0], F.get(pair, F.lit(1))))
+    return F.when(bare != "", F.map_from_entries(entries))

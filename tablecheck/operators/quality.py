@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tablecheck.functions.names import any_null, field
 from tablecheck.operators import skew
 from tablecheck.operators.rowchange import anti, lookup, merge, update_where
-from tablecheck.operators.rules import PASS, Rule
+from tablecheck.operators.rules import Rule
 from tablecheck.operators.skew import SplitHot
 from tablecheck.sources.scratch import stored
 
@@ -33,9 +33,13 @@ _COUNT = "__key_count"
 
 # Up to so many rules the names are built by one conditional per rule, inside
 # generated code. More would make a method too large for the JVM to compile, so
-# the names are then picked from a constant array by their bit.
+# the names are then picked from a constant array by their bit. Both give the same.
 _INLINE = 16
 
+# Rows of a new key that one task adds; a key with more is dealt to several.
+_REPEATED_AT_ONCE = 100_000
+_ROWS = "__rows"
+
 
 def tag_rows(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
     """Key columns and failed tests of every row; a projection, no shuffle."""
@@ -59,7 +63,7 @@ def tag_keys(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataF
     exact because they are read only where the key has a single row.
     """
     columns = [field(k) for k in keys]
-    masks = [F.max(mask).alias(name) for name, mask in _masks(rules, _WIDE).items()]
+    masks = [F.max(mask).alias(name) for name, mask in _masks(rules, _WIDE, df).items()]
     grouped = df.groupBy(*columns).agg(_full_keys(columns).alias(_COUNT), *masks)
     tags = F.when(field(_COUNT) == 1, _failed(rules, _WIDE)).otherwise(_not_unique())
     return grouped.select(*columns, tags.alias(TAG))
@@ -143,28 +147,64 @@ def apply_tags(
 
 
 def refresh_quality(
-    fact: DataFrame,
-    quality: DataFrame,
-    rules: Sequence[Rule],
-    keys: Sequence[str],
-    *,
-    split_hot: SplitHot = None,
+    fact: DataFrame, quality: DataFrame, rules: Sequence[Rule], keys: Sequence[str]
 ) -> DataFrame:
     """Seed, then tag: the quality table after one run over the fact.
 
-    Frequent keys are looked for and split off once, for both steps.
+    The fact is read and shuffled once, as one aggregation to (key, rows, failed tests)
+    whose map side shrinks a frequent key to a row for each task. Known rows take their
+    tags from it in a left join; they are hashed for it beside their key, so a bucketed
+    table is not read bucket by bucket, and Spark can split a frequent key, as the
+    aggregated side holds every key once. New keys are what the quality table lacks;
+    their rows are repeated from the count, those of a frequent key by several tasks.
     """
-    parts = []
-    for f, q, hot in skew.split(fact, quality, [(k, k) for k in keys], split_hot, both=True):
-        how = skew.ALL_HOT if hot else False
-        tags = tag_keys(f, rules, keys)
-        new, new_without_key = _unseen(f, q, keys, how)
-        # Tagging known and new rows apart leaves both in their partitioning, and
-        # the aggregated tags are exchanged once for the two joins.
-        for rows in (q, new):
-            parts.append(apply_tags(rows, tags, keys, source_unique=True, split_hot=how))
-        parts.append(new_without_key.withColumn(TAG, _not_unique()))
-    return reduce(DataFrame.unionByName, parts)
+    columns = [field(k) for k in keys]
+    partial = any_null(columns)
+    masks = [F.max(mask).alias(name) for name, mask in _masks(rules, _WIDE, fact).items()]
+    grouped = fact.groupBy(*columns).agg(F.count(F.lit(1)).alias(_ROWS), *masks)
+    tags = F.when(~partial & (field(_ROWS) == 1), _failed(rules, _WIDE)).otherwise(_not_unique())
+    tagged = grouped.select(*columns, _ROWS, tags.alias(TAG))
+
+    known = quality.withColumn("__h", F.xxhash64(*columns)).alias("q")
+    found = tagged.withColumn("__h", F.xxhash64(*columns)).alias("f")
+    # null-safe, so that no filter goes down one of the two uses of the aggregation
+    same = reduce(lambda a, b: a & b, [field(k, "q").eqNullSafe(field(k, "f")) for k in keys])
+    same = (field("__h", "q") == field("__h", "f")) & same
+    kept = F.coalesce(field(TAG, "f"), field(TAG, "q"))
+    written = known.join(found, same, "left").select(
+        *[
+            F.when(any_null([field(k, "q") for k in keys]), _not_unique()).otherwise(kept).alias(TAG)
+            if f.name == TAG
+            else field(f.name, "q").alias(f.name)
+            for f in quality.schema
+        ]
+    )
+    lacking = anti(tagged, quality, [(k, k) for k in keys], null_safe=True, split_hot=False)
+    return written.unionByName(_repeated(lacking, quality, keys))
+
+
+def _repeated(lacking: DataFrame, quality: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each new key as often as it occurs, as rows of the quality table."""
+    few = lacking.where(field(_ROWS) <= _REPEATED_AT_ONCE)
+    pieces = F.sequence(F.lit(0), F.floor((field(_ROWS) - 1) / _REPEATED_AT_ONCE))
+    many = (
+        lacking.where(field(_ROWS) > _REPEATED_AT_ONCE)
+        .withColumn("__piece", F.explode(pieces))
+        .withColumn(
+            _ROWS,
+            F.least(field(_ROWS) - F.col("__piece") * _REPEATED_AT_ONCE, F.lit(_REPEATED_AT_ONCE)),
+        )
+    )
+    tasks = int(lacking.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = many.repartition(tasks, *[field(k) for k in keys], "__piece").drop("__piece")
+    rows = few.unionByName(many)
+    rows = rows.withColumn("__n", F.explode(F.sequence(F.lit(1), field(_ROWS).cast("int"))))
+    return rows.select(
+        *[
+            (field(f.name) if f.name in (*keys, TAG) else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in quality.schema
+        ]
+    )
 
 
 def _unseen(
@@ -208,12 +248,12 @@ def _not_unique() -> Column:
     return F.array(F.lit(NOT_UNIQUE))
 
 
-def _masks(rules: Sequence[Rule], width: int) -> dict[str, Column]:
+def _masks(rules: Sequence[Rule], width: int, df: DataFrame) -> dict[str, Column]:
     """Failed tests of a row as bits, one bigint for every ``width`` rules."""
     masks = {}
     for start in range(0, len(rules), width):
         bits = [
-            f"IF({rule.condition}, {1 << i}L, 0L)"
+            f"IF({rule.condition_on(df.schema)}, {1 << i}L, 0L)"
             for i, rule in enumerate(rules[start : start + width])
         ]
         masks[f"{_MASK}{start // width}"] = F.expr(" | ".join(bits))
@@ -221,7 +261,7 @@ def _masks(rules: Sequence[Rule], width: int) -> dict[str, Column]:
 
 
 def _marked(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    return df.withColumns(_masks(rules, _NARROW)) if rules else df
+    return df.withColumns(_masks(rules, _NARROW, df)) if rules else df
 
 
 def _bit_set(mask: Column):
@@ -236,10 +276,10 @@ def _failed(rules: Sequence[Rule], width: int) -> Column:
     masks = [field(f"{_MASK}{w}") for w in range(len(words))]
     if len(rules) <= _INLINE:
         results = [
-            F.when(F.getbit(masks[0], F.lit(i)) == 1, F.lit(rule.name)).otherwise(F.lit(PASS))
+            F.when(F.getbit(masks[0], F.lit(i)) == 1, F.lit(rule.name))
             for i, rule in enumerate(rules)
         ]
-        return F.array_except(F.array(*results), F.array(F.lit(PASS)))
+        return F.array_distinct(F.array_compact(F.array(*results)))
     passed = reduce(lambda a, b: a & b, [mask == 0 for mask in masks])
     names = [
         F.filter(F.lit([rule.name for rule in word]), _bit_set(mask))

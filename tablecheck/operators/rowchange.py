@@ -106,7 +106,7 @@ def soft_delete(
     seen = lookup(target, source, pairs, _IN_S, split_hot=split_hot)
     gone = ~field(_IN_S) & ~any_null([field(t) for t, _ in pairs])
     if scope is not None:
-        seen = lookup(seen, source, _pairs(scope), _SCOPED, split_hot=_other_keys(split_hot))
+        seen = _in_scope(seen, source, scope, split_hot)
         gone = gone & field(_SCOPED)
     return update_where(seen, gone, {flag: True}).select(*[field(c) for c in target.columns])
 
@@ -135,11 +135,11 @@ def sync(
     gone = ~any_null([field(t, "t") for t, _ in pairs])
     known = target
     found = split_hot
-    small = split_hot is None and skew.is_large(target) and skew.is_broadcast(source)
+    small = split_hot is None and skew.is_large(target) and skew.is_few(source)
     if not small and split_hot != skew.ALL_HOT:
         found = skew.find_hot(target, source, pairs, split_hot, both=not source_unique)
     if scope is not None:
-        known = lookup(target, source, _pairs(scope), _SCOPED, split_hot=_other_keys(split_hot))
+        known = _in_scope(target, source, scope, split_hot)
         gone = gone & field(_SCOPED, "t")
     kept = [
         (F.when(gone, F.lit(True)).otherwise(field(c, "t")) if c == flag else field(c, "t"))
@@ -158,6 +158,24 @@ def sync(
     )
 
 
+def _in_scope(
+    rows: DataFrame, source: DataFrame, scope: Keys, split_hot: skew.SplitHot
+) -> DataFrame:
+    """Mark the rows whose scope the source holds.
+
+    Scopes are few as a rule; those that are, by count, are broadcast, and the rows
+    are shuffled for the keys alone.
+    """
+    pairs = _pairs(scope)
+    scopes = source.select(*[field(s) for _, s in pairs]).distinct()
+    scopes = scopes.where(~any_null([field(s) for _, s in pairs]))
+    if split_hot is None and skew.is_few(scopes):
+        marked = F.broadcast(scopes.withColumn(_SCOPED, F.lit(True))).alias("s")
+        joined = rows.alias("t").join(marked, _condition(pairs), "left")
+        return joined.select("t.*", F.coalesce(field(_SCOPED, "s"), F.lit(False)).alias(_SCOPED))
+    return lookup(rows, source, pairs, _SCOPED, split_hot=_other_keys(split_hot))
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -274,10 +292,11 @@ def _change(
         return broadcast_source(t, s, keys.where(~any_null(target_keys)))
 
     if inserts is not None and split_hot is None:
-        if skew.is_large(target) and skew.is_broadcast(source):
+        if skew.is_large(target) and skew.is_few(source):
             # a small source: find its keys in the target, leave the target in place
             keys = target.select(*target_keys).alias("t")
-            keys = keys.join(F.broadcast(source).alias("s"), condition, "left_semi").distinct()
+            known = source.select(*source_keys).distinct()
+            keys = keys.join(F.broadcast(known).alias("s"), condition, "left_semi").distinct()
             return broadcast_source(target, source, keys)
     parts = skew.split(
         target, source, pairs, split_hot, both=guard, keeps_left=inserts is None

@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablecheck.functions.names import field, quote, same_text, split_key
 from tablecheck.operators.rowchange import update_where
@@ -29,6 +30,15 @@ class Rule(NamedTuple):
             return f"{column} IS NULL"
         return f"length(CAST({column} AS STRING)) != {int(self.length)}"
 
+    def condition_on(self, schema: T.StructType) -> str:
+        """The condition for a table of this schema: binary columns count bytes."""
+        kinds = {f.name.lower(): f.dataType for f in schema}
+        if self.length is not None and isinstance(
+            kinds.get(self.column.lower()), T.BinaryType
+        ):
+            return f"length({quote(self.column)}) != {int(self.length)}"
+        return self.condition
+
     @property
     def result(self) -> Column:
         """The test's name for a failing row, else ``PASS``."""

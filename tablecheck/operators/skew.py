@@ -3,11 +3,12 @@
 A join of two large sides sends all rows of a key to one task. The row-change
 operators therefore split off the keys that hold more than an average task's
 share and join those against the few matching rows of the other side, which fit
-in a broadcast: no more than ``HOT_LIMIT`` keys can be that frequent.
+in a broadcast: no more keys than there are shuffle tasks can be that frequent.
 
-Detection reads the key columns only. It runs when a side is larger than one
-advisory partition; below that no key can make an oversized task. It does not run
-either where Spark will broadcast the right side, because then nothing is shuffled.
+Detection reads the key columns only. It runs when a side has more than
+``LARGE_ROWS`` rows, counted and not estimated: a frequent key compresses best, so
+the size of files says nothing about it. It does not run where the right side has
+``FEW_ROWS`` rows at most, because those are broadcast and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from tablecheck.functions.names import field
 SplitHot = bool | str | Collection[int] | None
 ALL_HOT = "all"
 
-# Most keys that can be split off, and so the most rows of a side with unique
-# keys that the split broadcasts.
-HOT_LIMIT = 4096
+# A side of more rows may hold a key that overloads a task.
+LARGE_ROWS = 1_000_000
+# A side of so many rows is broadcast.
+FEW_ROWS = 100_000
 
 
 def key_types(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> list[T.DataType]:
@@ -75,7 +77,7 @@ def hot_hashes(df: DataFrame, key: Column) -> list[int]:
     counters give a superset of bounded size, an exact count then confirms it.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    limit = min(max(tasks, 2), HOT_LIMIT)
+    limit = max(tasks, 2)
     keys = df.select(key.alias("h"))
     candidates = keys.freqItems(["h"], 1.0 / limit).first()[0]
     if not candidates:
@@ -101,7 +103,7 @@ def split(
     """
     if split_hot == ALL_HOT:
         return [(left, right, True)]
-    if split_hot is None and keeps_left and is_broadcast(right):
+    if split_hot is None and keeps_left and is_few(right):
         return [(left, right, False)]
     found = find_hot(left, right, on, split_hot, both)
     if not found:
@@ -116,30 +118,10 @@ def split(
 
 
 def is_large(*sides: DataFrame) -> bool:
-    """True when a side may be larger than one shuffle partition should be."""
-    spark = sides[0].sparkSession
-    limit = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
-    return any(_estimate(df) > limit for df in sides)
+    """True when a side has more rows than any key of it could hold without harm."""
+    return any(df.select(F.lit(1)).count() > LARGE_ROWS for df in sides)
 
 
-def is_broadcast(df: DataFrame) -> bool:
-    """True when Spark's own size estimate lets it broadcast the relation."""
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return _estimate(df) <= limit
-
-
-def _estimate(df: DataFrame) -> float:
-    try:
-        return float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # no driver-side plan to ask, as on a remote session
-        return float("inf")
-
-
-def _bytes(text: str) -> int:
-    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    text = text.lower().strip()
-    if len(text) > 1 and text[-1] == "b" and text[-2] in units:
-        text = text[:-1]
-    if text[-1] in units:
-        return int(float(text[:-1]) * units[text[-1]])
-    return int(text)
+def is_few(df: DataFrame) -> bool:
+    """True when the relation has few enough rows to be broadcast."""
+    return df.select(F.lit(1)).count() <= FEW_ROWS

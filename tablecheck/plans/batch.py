@@ -6,13 +6,14 @@ An exception stops the run.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tablecheck.functions.names import field
-from tablecheck.operators import layout, quality, registry, rules, skew
+from tablecheck.operators import layout, quality, registry, rules
 from tablecheck.sources import dictionary as shapes
 from tablecheck.sources import folders, landing
 from tablecheck.sources.tables import (
@@ -28,6 +29,7 @@ from tablecheck.sources.tables import (
 
 DICTIONARY = "dictionary_quality"
 BUCKETS = 10
+ROWS_PER_BUCKET = 5_000_000
 
 
 def create_dictionary(spark: SparkSession, dictionary: str = DICTIONARY) -> None:
@@ -123,8 +125,8 @@ def run_quality(
 ) -> None:
     """Test every listed table and store the tags in its ``quality_<table>``.
 
-    Spark joins a bucketed table with one task per bucket. So unless ``buckets``
-    says otherwise, a table that has become large gets a bucket per shuffle task.
+    Unless ``buckets`` says otherwise, there is a bucket for every ``ROWS_PER_BUCKET``
+    rows of the fact, as counted, ``BUCKETS`` at least, and never fewer than before.
     """
     column_rows = load(spark, f"{dictionary}.column")
     table_rows = load(spark, f"{dictionary}.table")
@@ -134,7 +136,7 @@ def run_quality(
         compiled = rules.compile_rules(nulls, lengths, database, table)
         fact = load(spark, f"{database}.{table}")
         name = f"{dictionary}.quality_{table}"
-        number = buckets or (_tasks(spark) if skew.is_large(fact) else BUCKETS)
+        number = buckets or max(BUCKETS, math.ceil(fact.count() / ROWS_PER_BUCKET))
         ensure_table(spark, name, quality.quality_schema(fact, keys), bucket_by=(number, keys))
         _, stored = table_layout(spark, name)
         if buckets is None and stored:
@@ -163,7 +165,14 @@ def run_pipeline(
     dictionary: str = DICTIONARY,
     buckets: int | None = None,
 ) -> None:
-    """Land, lay out, test and register, for the tables that have a key in ``keys``."""
+    """Land, lay out, test and register, for the tables that have a key in ``keys``.
+
+    A key names its table alone, and so does a quality table; a table of that name in
+    two of the databases is an error.
+    """
+    names = [t for _, t in landing.list_tables(spark, databases) if t in keys]
+    if len(names) > len(set(names)):
+        raise ValueError("tables with a key must have different names")
     run_landing(spark, databases, dictionary)
     for database in databases:
         run_layout(spark, database, dictionary)
@@ -199,22 +208,19 @@ def land_files(
         schema = T.StructType([f for f in fields if f.name != "folder"])
     landed = folders.land_new_folders(spark, path, load(spark, ledger), fmt, schema, **options)
     if schema is None:
-        landed.write.partitionBy("folder").saveAsTable(quoted(table))
-    else:
-        # what a run that was cut off has left of these folders
-        drop_partitions(spark, table, [{"folder": row["folder"]} for row in found])
-        landed.select(*[field(f.name) for f in schema], "folder").write.mode("append").insertInto(
-            quoted(table)
-        )
+        # the table stands before its first rows, so a run that is cut off can go on
+        ensure_table(spark, table, landed.schema, partition_by=["folder"])
+        schema = T.StructType([f for f in landed.schema if f.name != "folder"])
+    # what a run that was cut off has left of these folders
+    drop_partitions(spark, table, [{"folder": row["folder"]} for row in found])
+    landed.select(*[field(f.name) for f in schema], "folder").write.mode("append").insertInto(
+        quoted(table)
+    )
     names = local_rows(spark, [{"folder": row["folder"]} for row in found], shapes.LEDGER)
     names.write.mode("append").insertInto(quoted(ledger))
     return len(found)
 
 
-def _tasks(spark: SparkSession) -> int:
-    return max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def _described(df, partition_by: Sequence[str]) -> list[tuple]:
     fields = [(f.name, f.dataType.simpleString(), f.metadata.get("comment")) for f in df.schema]
     last = [f for f in fields if f[0] in partition_by]

@@ -51,6 +51,6 @@ def land_new_folders(
         reader = reader.schema(schema)
     elif fmt == "csv":
         reader = reader.option("inferSchema", "true")
-    return reader.load(found).select(
-        "*", F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
-    )
+    # the listing gives plain paths, this column encoded ones; plus signs stay plus signs
+    path_of = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    return reader.load(found).select("*", F.regexp_replace(path_of, "/[^/]*$", "").alias("folder"))

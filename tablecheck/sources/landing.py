@@ -224,7 +224,7 @@ def stage_table_metadata(tables: DataFrame, creates: DataFrame) -> DataFrame:
     )
 
     def flag(name: str):
-        text = F.col(name).cast("string")
+        text = F.coalesce(F.col(name).cast("string"), F.lit("None"))
         return F.when(text.isin(*_ANY_NONE), F.lit(False)).otherwise(text.try_cast("boolean"))
 
     def number(name: str):

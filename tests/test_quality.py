@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tablecheck.operators import quality, rules
 from tablecheck.operators.rules import Rule
-from tablecheck.sources.tables import ensure_table, load
+from tablecheck.sources.tables import ensure_table, load, replace_table
 
 RULES = [Rule("db.t.c.is_null", "c"), Rule("db.t.d.is_not_length_3", "d", 3)]
 
@@ -165,40 +165,72 @@ def test_seed_twice(spark, fact, split):
 @pytest.mark.parametrize("split", [False, True])
 def test_refresh_and_later_runs(spark, fact, split):
     empty = spark.createDataFrame([], quality.quality_schema(fact, ["id"]))
-    first = quality.refresh_quality(fact, empty, RULES, ["id"], split_hot=split)
+    first = quality.refresh_quality(fact, empty, RULES, ["id"])
     want = [(i, EXPECTED[(i,)]) for i in (1, 2, 3, 4, 5, 7, 7, None)]
     assert quality_rows(first) == want
     # new fact rows are seeded and tagged, removed ones keep their tags
     later = fact.where("id <> 1").union(
         spark.createDataFrame([(9, None, "abc")], "id bigint, c string, d string")
     )
-    second = quality.refresh_quality(later, first, RULES, ["id"], split_hot=split)
+    second = quality.refresh_quality(later, first, RULES, ["id"])
     want = want[:-1] + [(9, ["db.t.c.is_null"]), (None, ["key_not_unique"])]
     assert quality_rows(second) == want
 
 
-def test_refresh_uses_buckets_and_exchanges_tags_once(spark, fact, tmp_path):
+@pytest.mark.parametrize("runs", [1, 2])
+def test_refresh_reads_the_fact_once_and_spreads_a_hot_key(spark, tmp_path, runs):
     path = str(tmp_path / "fact")
-    fact.write.parquet(path)
+    hot = "CASE WHEN id % 3 = 0 THEN -1L ELSE id END AS id"
+    spark.range(60_000).selectExpr(hot, "'a' AS code", "NULL AS visible").write.parquet(path)
     fact = spark.read.parquet(path)
     spark.sql("CREATE DATABASE IF NOT EXISTS refresh_plans")
     name = "refresh_plans.quality_t"
     ensure_table(spark, name, quality.quality_schema(fact, ["id"]), bucket_by=(8, ["id"]))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    rules = [Rule("d.t.code.is_not_length_3", "code", 3)]
     try:
-        done = quality.refresh_quality(fact, load(spark, name), RULES, ["id"], split_hot=False)
-        plan = done._jdf.queryExecution().executedPlan().toString()
-        # the fact's keys, and its aggregated tags for either join; none for the quality table
-        assert plan.count("Exchange hashpartitioning") == 3
-        done.collect()
-        assert "ReusedExchange" in done._jdf.queryExecution().executedPlan().toString()
-        assert quality_rows(done) == [(i, EXPECTED[(i,)]) for i in (1, 2, 3, 4, 5, 7, 7, None)]
+        for _ in range(runs):
+            done = quality.refresh_quality(fact, load(spark, name), rules, ["id"])
+            done.collect()
+            plan = done._jdf.queryExecution().executedPlan().toString()
+            final = plan.split("== Initial Plan ==")[0]
+            assert final.count(f"{path}]") <= final.count("ReusedExchange") + 1
+            assert final.count("Bucketed: true") <= 1  # its distinct keys, not its rows
+            replace_table(done, name, bucket_by=(8, ["id"]))
+        got = load(spark, name).groupBy("id").count().where("count > 1").collect()
+        assert [(r["id"], r["count"]) for r in got] == [(-1, 20_000)]
+        assert load(spark, name).count() == 60_000
+        failed = F.array_contains("data_quality_tag", "d.t.code.is_not_length_3")
+        assert load(spark, name).where(failed).count() == 40_000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.sql("DROP DATABASE refresh_plans CASCADE")
 
 
+def test_rows_of_a_frequent_new_key_are_added_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(quality, "_REPEATED_AT_ONCE", 7)
+    fact = spark.createDataFrame([(1,)] * 50 + [(2,)], "id int")
+    empty = spark.createDataFrame([], quality.quality_schema(fact, ["id"]))
+    done = quality.refresh_quality(fact, empty, [], ["id"])
+    assert {r["id"]: r["count"] for r in done.groupBy("id").count().collect()} == {1: 50, 2: 1}
+
+
+def test_length_of_binary_counts_bytes(spark):
+    df = spark.createDataFrame([(1, bytearray("é".encode()))], "id int, b binary")
+    rules = [Rule("d.t.b.is_not_length_2", "b", 2)]
+    assert quality.tag_rows(df, rules, ["id"]).first()["data_quality_tag"] == []
+
+
+@pytest.mark.parametrize("count", [2, 20])
+def test_a_rule_may_be_called_pass(spark, count):
+    df = spark.createDataFrame([(1, None)], "id int, v string")
+    rules = [Rule("PASS" if i == 0 else f"r{i}", "v") for i in range(count)]
+    tags = quality.tag_rows(df, rules, ["id"]).first()["data_quality_tag"]
+    assert tags == [rule.name for rule in rules]
+
+
+
 @pytest.mark.parametrize("split", [False, True])
 def test_refresh_composite_key_with_null_parts(spark, split):
     df = spark.createDataFrame(
@@ -208,7 +240,7 @@ def test_refresh_composite_key_with_null_parts(spark, split):
     known = spark.createDataFrame(
         [(1, None, None), (9, 9, ["old"])], "a int, b bigint, data_quality_tag array<string>"
     )
-    once = quality.refresh_quality(df, known, RULES[:1], ["a", "b"], split_hot=split)
+    once = quality.refresh_quality(df, known, RULES[:1], ["a", "b"])
     bad = ["key_not_unique"]
     want = [
         (1, None, bad),
@@ -218,7 +250,7 @@ def test_refresh_composite_key_with_null_parts(spark, split):
         (9, 9, ["old"]),
     ]
     assert sorted(map(tuple, once.collect()), key=repr) == sorted(want, key=repr)
-    again = quality.refresh_quality(df, once, RULES[:1], ["a", "b"], split_hot=split)
+    again = quality.refresh_quality(df, once, RULES[:1], ["a", "b"])
     assert sorted(map(tuple, again.collect()), key=repr) == sorted(want, key=repr)
 
 

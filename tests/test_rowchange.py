@@ -241,22 +241,33 @@ def test_hot_branch_is_broadcast_and_cold_branch_shuffled(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_size_decides_on_the_split(spark):
+def test_rows_decide_on_the_split(spark, tmp_path):
     small = spark.range(10)
-    assert not skew.is_large(small, small)
-    assert skew.is_large(small, spark.range(1 << 30))
-    assert skew.is_broadcast(small) and not skew.is_broadcast(spark.range(1 << 30))
-    assert skew._bytes("64MB") == skew._bytes("64m") == skew._bytes(str(64 << 20)) == 64 << 20
+    assert not skew.is_large(small, small) and skew.is_few(small)
+    path = str(tmp_path / "one-key")
+    spark.range(30_000_000).selectExpr("7L AS k").write.parquet(path)
+    tiny_file = spark.read.parquet(path)
+    assert skew.is_large(tiny_file) and not skew.is_few(tiny_file)
+    other = spark.range(200_000).selectExpr("id AS k")
+    parts = skew.split(tiny_file, other, [("k", "k")], None, both=False)
+    assert [hot for _, _, hot in parts] == [False, True]
+    assert parts[0][0].count() == 0 and parts[1][1].count() == 1
+
+
+def test_more_tasks_find_rarer_keys(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 10_000)
+    try:
+        df = spark.range(60_000).selectExpr("IF(id < 10, -1, id) AS k")
+        assert len(skew.hot_hashes(df, skew.key_hash(["k"], [df.schema["k"].dataType]))) == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 @pytest.fixture
-def everything_large(spark):
+def everything_large(monkeypatch):
     """Plan as for large tables, with small ones."""
-    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "1b")
-    yield
-    spark.conf.set(name, before)
+    monkeypatch.setattr(skew, "LARGE_ROWS", 0)
 
 
 def stored_rows(spark, tmp_path, name, rows_, schema):
@@ -268,7 +279,7 @@ def stored_rows(spark, tmp_path, name, rows_, schema):
 def test_small_source_leaves_the_target_in_place(spark, everything_large, tmp_path):
     t = stored_rows(spark, tmp_path, "t", [(1, "a", 1), (2, "b", 2), (2, "c", 3), (None, "z", 4)], T_SCHEMA)
     s = stored_rows(spark, tmp_path, "s", [(2, "B"), (3, "C"), (3, "C"), (None, "Z")], S_SCHEMA)
-    assert skew.is_large(t) and skew.is_broadcast(s)
+    assert skew.is_large(t) and skew.is_few(s)
     merged = upsert(t, s)
     assert rows(merged) == rows(upsert(t, s, split_hot=False))
     plan = merged._jdf.queryExecution().executedPlan().toString()

@@ -209,7 +209,7 @@ def facts_row(spark, **given):
     [
         ("None", False, None),
         ("none", False, None),
-        (None, None, None),
+        (None, False, None),
         ("true", True, "true"),
         ("maybe", None, "maybe"),
     ],
@@ -373,3 +373,8 @@ def test_scratch_path_follows_the_session(spark):
     assert path != scratch_path(spark, "x")
     if before:
         assert path.startswith(before)
+
+
+def test_repeated_property_keeps_its_last_value(spark):
+    row = spark.range(1).select(parse_properties(F.lit("[note=p, q, q, a=1, a=2]")).alias("m")).first()
+    assert row["m"] == {"note": "p", "q": None, "a": "2"}
