@@ -43,8 +43,8 @@ from tablecheck.llm.common import mapped, rows_of, stored, text_of
 
 BAND_RATIO = 1.25
 SKETCH_BITS = 20
-KEPT_WORDS = 500_000
-KEYS_AT_ONCE = 400_000
+KEPT_WORDS = 300_000
+KEYS_AT_ONCE = 300_000
 BLOCK = 512
 BROADCAST_IDS = 1_000_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
