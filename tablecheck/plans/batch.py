@@ -20,10 +20,12 @@ from tablecheck.sources.tables import (
     add_columns,
     drop_partitions,
     ensure_table,
+    is_foreign,
     load,
     local_rows,
     quoted,
     replace_table,
+    table_detail,
     table_layout,
 )
 
@@ -74,7 +76,8 @@ def apply_layout_all(
 ) -> list[str]:
     """Store every table of the database in dictionary order; returns those rewritten.
 
-    A table that is laid out already is not rewritten, and views are skipped.
+    A table that is laid out already is not rewritten; views are skipped, and so are
+    files of other formats at a location of their own.
     Partition columns stay last, where file tables keep them.
     """
     laid = layout.Layout(
@@ -85,6 +88,8 @@ def apply_layout_all(
         if laid.is_view(table):
             continue
         name = f"{database}.{table}"
+        if is_foreign(table_detail(spark, name)):
+            continue
         now = load(spark, name)
         laid_out = laid.apply(now, table)
         partition_by, _ = table_layout(spark, name)

@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from tablecheck.functions.names import field, quote
 
 
+# Property of a staged copy whose table is at a location of its own.
+_LOCATION = "tablecheck.location"
+
+
 def load(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
     """A catalog table by name, or files by path (anything holding a slash)."""
     if "/" in name_or_path:
@@ -81,11 +85,13 @@ def replace_table(
     """Store ``df`` as the new content of an existing table.
 
     The new content is written beside the table, which may be one of its inputs,
-    and the two are then swapped by rename. Partitioning, buckets and properties
-    are kept; ``bucket_by`` gives it other buckets. The swap is two renames and not atomic: a reader in between finds no
-    table, and after a failure in between ``recover_table`` brings the former
-    content back. A table at a location of its own cannot be renamed there, so its
-    files are written once more from the staged copy.
+    and the two are then swapped by rename. Provider, partitioning, buckets, comment and
+    properties are kept; ``bucket_by`` gives it other buckets. The swap is two renames
+    and not atomic: a reader in between finds no table, and after a failure in between
+    ``recover_table`` brings the former content back. A table at a location of its own
+    cannot be renamed there, so its files are written once more from the staged copy,
+    which knows the location, should that be cut off. Files of another format at a
+    location of their own belong to someone else: replacing them is an error.
 
     The data is not shuffled for the write. Each task writes its own part of
     every bucket or partition, so a bucket with many rows is written by many tasks.
@@ -96,16 +102,18 @@ def replace_table(
     bucket_by = bucket_by or buckets_now
     properties = table_properties(spark, name)
     detail = table_detail(spark, name)
+    if is_foreign(detail):
+        raise ValueError(f"{name} holds files of another format at a location of its own")
+    fmt = detail.get("Provider", "parquet").lower()
+    comment = detail.get("Comment")
     stage, old, name = _beside(name)
     spark.sql(f"DROP TABLE IF EXISTS {stage}")
-    _writer(df, partition_by, bucket_by).saveAsTable(stage)
+    _writer(df, partition_by, bucket_by, fmt=fmt).saveAsTable(stage)
+    _describe(spark, stage, properties, comment)
     if detail.get("Type") == "EXTERNAL":
-        staged = _writer(spark.table(stage), partition_by, bucket_by, detail["Location"])
-        staged.mode("overwrite").saveAsTable(name)
-        _set_properties(spark, name, properties)
-        spark.sql(f"DROP TABLE {stage}")
+        _set_properties(spark, stage, {_LOCATION: detail["Location"]})
+        _restore(spark, stage, name, partition_by, bucket_by)
         return
-    _set_properties(spark, stage, properties)
     _rename(spark, name, old)
     _rename(spark, stage, name)
     spark.sql(f"DROP TABLE {old}")
@@ -123,11 +131,38 @@ def recover_table(spark: SparkSession, name: str) -> bool:
         return False
     for kept in (old, stage):
         if spark.catalog.tableExists(kept):
-            _rename(spark, kept, name)
+            if _LOCATION in table_properties(spark, kept):
+                _restore(spark, kept, name, *table_layout(spark, kept))
+            else:
+                _rename(spark, kept, name)
             return True
     return False
 
 
+def is_foreign(detail: Mapping[str, str]) -> bool:
+    """Whether a table of these details is files of another format at their own location."""
+    return detail.get("Type") == "EXTERNAL" and detail.get("Provider", "").lower() != "parquet"
+
+
+def _restore(spark: SparkSession, stage: str, name: str, partition_by, bucket_by) -> None:
+    """Write the staged copy to the location that it knows, and drop it."""
+    properties = table_properties(spark, stage)
+    location = properties.pop(_LOCATION)
+    comment = table_detail(spark, stage).get("Comment")
+    staged = _writer(spark.table(stage), partition_by, bucket_by, location)
+    staged.mode("overwrite").saveAsTable(name)
+    _describe(spark, name, properties, comment)
+    spark.sql(f"DROP TABLE {stage}")
+
+
+def _describe(
+    spark: SparkSession, name: str, properties: Mapping[str, str], comment: str | None
+) -> None:
+    _set_properties(spark, name, properties)
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {name} IS {_text(comment)}")
+
+
 def drop_partitions(
     spark: SparkSession, name: str, partitions: Sequence[Mapping[str, str]], batch: int = 200
 ) -> None:
@@ -187,8 +222,8 @@ def _rename(spark: SparkSession, name: str, new_name: str) -> None:
         spark.sql(f"MSCK REPAIR TABLE {new_name} SYNC PARTITIONS")
 
 
-def _writer(df, partition_by, bucket_by, location=None):
-    writer = df.write.format("parquet")
+def _writer(df, partition_by, bucket_by, location=None, fmt="parquet"):
+    writer = df.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:

@@ -378,3 +378,56 @@ def test_scratch_path_follows_the_session(spark):
 def test_repeated_property_keeps_its_last_value(spark):
     row = spark.range(1).select(parse_properties(F.lit("[note=p, q, q, a=1, a=2]")).alias("m")).first()
     assert row["m"] == {"note": "p", "q": None, "a": "2"}
+
+
+@pytest.fixture
+def shelf(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shelf")
+    yield "shelf"
+    spark.sql("DROP DATABASE shelf CASCADE")
+
+
+@pytest.mark.parametrize("fmt", ["json", "orc", "csv", "parquet"])
+def test_replacing_keeps_provider_and_comment(spark, shelf, fmt):
+    spark.range(3).selectExpr("id AS b", "'x' AS a").write.format(fmt).saveAsTable("shelf.t")
+    spark.sql("COMMENT ON TABLE shelf.t IS 'it''s kept'")
+    tables.replace_table(spark.table("shelf.t").select("a", "b"), "shelf.t")
+    detail = tables.table_detail(spark, "shelf.t")
+    assert detail["Provider"].lower() == fmt and detail["Comment"] == "it's kept"
+    assert spark.table("shelf.t").columns == ["a", "b"] and spark.table("shelf.t").count() == 3
+
+
+def test_foreign_files_are_left_alone(spark, shelf, tmp_path):
+    path = str(tmp_path / "landed")
+    spark.range(3).selectExpr("id AS b", "'x' AS a").write.option("header", True).csv(path)
+    spark.sql(f"CREATE TABLE shelf.c (b BIGINT, a STRING) USING csv OPTIONS (header true) LOCATION '{path}'")
+    before = sorted(os.listdir(path))
+    with pytest.raises(ValueError, match="another format"):
+        tables.replace_table(spark.table("shelf.c").select("a", "b"), "shelf.c")
+    assert sorted(os.listdir(path)) == before and spark.table("shelf.c").count() == 3
+
+
+def test_a_cut_rewrite_at_a_location_is_finished_there(spark, shelf, tmp_path):
+    path = str(tmp_path / "own")
+    spark.range(3).write.option("path", path).saveAsTable("shelf.e")
+    spark.range(5).write.saveAsTable("shelf.e__stage")
+    tables._set_properties(spark, "shelf.e__stage", {tables._LOCATION: f"file:{path}"})
+    spark.sql("DROP TABLE shelf.e")
+    assert tables.recover_table(spark, "shelf.e")
+    assert spark.table("shelf.e").count() == 5
+    detail = tables.table_detail(spark, "shelf.e")
+    assert detail["Type"] == "EXTERNAL" and detail["Location"].endswith("/own")
+    assert tables._LOCATION not in tables.table_properties(spark, "shelf.e")
+
+
+@pytest.mark.parametrize("day", ["a b", "a%b", "10:30", "ümlaut", "a+b"])
+def test_odd_folder_names_land_once(spark, shelf, tmp_path, day):
+    from tablecheck.plans import batch
+
+    spark.range(5).write.parquet(str(tmp_path / f"lake/run {day}"))
+    assert batch.land_files(spark, str(tmp_path / "lake"), "shelf.l", "shelf.ledger") == 1
+    # the rows were stored, the ledger was not
+    spark.sql("TRUNCATE TABLE shelf.ledger")
+    assert batch.land_files(spark, str(tmp_path / "lake"), "shelf.l", "shelf.ledger") == 1
+    assert spark.table("shelf.l").count() == 5
+    assert batch.land_files(spark, str(tmp_path / "lake"), "shelf.l", "shelf.ledger") == 0
