@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.functions.names import field
@@ -37,6 +37,7 @@ BUCKETS = 1 << 15
 INDEPENDENT = 1 / 3  # triples overlap; each adds about one new byte
 HOST_STRENGTH, DOMAIN_STRENGTH, CUE_STRENGTH = 8.0, 20.0, 4.0
 UNKNOWN = "und"
+CUES = ("host", "domain", "declared", "suffix")
 _TAGS = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;"
 _DECLARED = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})"
 
@@ -134,94 +135,82 @@ def identify(
     schema = rows.select(*keys, "declared", "suffix", "host", "domain").schema
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
-    def task():
+    def likely():
         def block(columns: dict) -> dict:
-            texts = columns.pop("text")
-            seen = model.likelihoods(texts)
-            return columns | {"likelihood": [row.tolist() for row in seen]}
+            seen = model.likelihoods(columns.pop("text"))
+            shares = _softmax(seen * INDEPENDENT)
+            return columns | {"likelihood": list(seen), "text_share": list(shares)}
 
         return block
 
     scored = stored(
-        mapped(rows.select(*schema.names, text_of("text").alias("text")), task,
-               ddl + ", likelihood array<double>").withColumn(
-            "text_share", _softmax(F.transform("likelihood", lambda x: x * INDEPENDENT))
-        ),
+        mapped(rows.select(*schema.names, text_of("text").alias("text")), likely,
+               ddl + ", likelihood array<double>, text_share array<double>"),
         "language-text",
     )
-    shares = [F.sum(F.col("text_share")[i]) for i in range(len(names))]
-    sums = F.array(*shares)
-    overall = list(scored.agg(sums.alias("s")).first()["s"])
-    total = sum(x or 0 for x in overall)
-    prior = [((x or 0) + 1) / (total + len(names)) for x in overall]
-    everywhere = F.array(*[F.lit(x) for x in prior])
+    sums = F.array(*[F.sum(F.col("text_share")[i]) for i in range(len(names))])
+    overall = scored.agg(sums.alias("s")).first()["s"]
+    everywhere = np.array([x or 0.0 for x in overall])
     joined = scored
-    for cue in ("host", "domain", "declared", "suffix"):
+    for cue in CUES:
         found = scored.where(F.col(cue).isNotNull()).groupBy(cue).agg(sums.alias(f"{cue}_sum"))
         joined = joined.join(found, cue, "left")
-    joined = joined.withColumns(
-        {f"{cue}_sum": _without(f"{cue}_sum", len(names)) for cue in ("host", "domain")}
-    ).withColumn("domain_prior", _smoothed("domain_sum", everywhere, DOMAIN_STRENGTH))
-    fused = joined.withColumn(
-        "host_prior", _smoothed("host_sum", F.col("domain_prior"), HOST_STRENGTH)
-    ).withColumn(
-        "evidence",
-        F.transform(
-            F.sequence(F.lit(0), F.lit(len(names) - 1)),
-            lambda i: F.get("likelihood", i) * INDEPENDENT
-            + F.log(F.get("host_prior", i))
-            + _cue("declared_sum", i, overall, total)
-            + _cue("suffix_sum", i, overall, total),
-        ),
-    )
-    chances = fused.withColumn("chance", _softmax(F.col("evidence")))
-    best = F.array_position("chance", F.array_max("chance")).cast("int")
-    text_best = F.array_position("text_share", F.array_max("text_share")).cast("int")
-    labels = F.array(*[F.lit(x) for x in names])
-    blank = F.forall("likelihood", lambda x: x == 0)
-    return (
-        chances.withColumn("lang", F.when(blank, UNKNOWN).otherwise(F.element_at(labels, best)))
-        .withColumn(
-            "text_lang", F.when(blank, UNKNOWN).otherwise(F.element_at(labels, text_best))
-        )
-        .withColumn("probability", F.array_max("chance"))
-        .select(
-            *keys,
-            "lang",
-            "probability",
-            "text_lang",
-            ((F.col("lang") != UNKNOWN) & (F.col("probability") >= least)).alias("accepted"),
-        )
+
+    def fused():
+        prior = (everywhere + 1) / (everywhere.sum() + len(names))
+
+        def block(columns: dict) -> dict:
+            seen, shares = np.array(columns["likelihood"]), np.array(columns["text_share"])
+            of = {cue: _table(columns[f"{cue}_sum"], len(names)) for cue in CUES}
+            # a row does not vote for itself
+            domain = np.maximum(of["domain"] - shares, 0)
+            host = np.maximum(of["host"] - shares, 0)
+            domain = _smoothed(domain, prior, DOMAIN_STRENGTH)
+            evidence = seen * INDEPENDENT + np.log(_smoothed(host, domain, HOST_STRENGTH))
+            for cue in ("declared", "suffix"):
+                evidence += _cue(of[cue], everywhere)
+            chance = _softmax(evidence)
+            blank = (seen == 0).all(axis=1)
+            labels = np.array(names, dtype=object)
+            lang = np.where(blank, UNKNOWN, labels[chance.argmax(axis=1)])
+            probability = chance.max(axis=1)
+            return {key: columns[key] for key in keys} | {
+                "lang": lang,
+                "probability": probability,
+                "text_lang": np.where(blank, UNKNOWN, labels[shares.argmax(axis=1)]),
+                "accepted": (lang != UNKNOWN) & (probability >= least),
+            }
+
+        return block
+
+    kept = ["likelihood", "text_share", *[f"{cue}_sum" for cue in CUES]]
+    key_ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name in keys)
+    return mapped(
+        joined.select(*keys, *kept),
+        fused,
+        key_ddl + ", lang string, probability double, text_lang string, accepted boolean",
     )
 
 
-def _softmax(values: Column) -> Column:
-    powers = F.transform(values, lambda x: F.exp(x - F.array_max(values)))
-    return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+def _softmax(values: np.ndarray) -> np.ndarray:
+    powers = np.exp(values - values.max(axis=1, keepdims=True))
+    return powers / powers.sum(axis=1, keepdims=True)
 
 
-def _without(name: str, size: int) -> Column:
-    """A group's summed shares less the row's own; none where there is no group."""
-    shares = F.array(*[F.greatest(F.col(name)[i] - F.col("text_share")[i], F.lit(0.0))
-                       for i in range(size)])
-    return F.coalesce(F.when(F.col(name).isNotNull(), shares), F.array_repeat(F.lit(0.0), size))
+def _table(sums: list, size: int) -> np.ndarray:
+    """A group's summed shares for every row; none where there is no group."""
+    return np.array([[0.0] * size if x is None else x for x in sums]).reshape(-1, size)
 
 
-def _smoothed(name: str, towards: Column, strength: float) -> Column:
-    total = F.aggregate(F.col(name), F.lit(0.0), lambda a, b: a + b)
-    return F.transform(
-        F.arrays_zip(F.col(name).alias("seen"), towards.alias("prior")),
-        lambda x: (x["seen"] + strength * x["prior"]) / (total + strength),
-    )
+def _smoothed(seen: np.ndarray, towards: np.ndarray, strength: float) -> np.ndarray:
+    return (seen + strength * towards) / (seen.sum(axis=1, keepdims=True) + strength)
 
 
-def _cue(name: str, i: Column, overall: list, total: float) -> Column:
-    """log of how much likelier the cue is in language ``i`` than anywhere."""
-    cue_total = F.aggregate(F.col(name), F.lit(0.0), lambda a, b: a + b)
-    rate = cue_total / max(total, 1.0)
-    everywhere = F.get(F.array(*[F.lit(float(x or 0)) for x in overall]), i)
-    chance = (F.get(F.col(name), i) + CUE_STRENGTH * rate) / (everywhere + CUE_STRENGTH)
-    return F.coalesce(F.log(chance / rate), F.lit(0.0))
+def _cue(seen: np.ndarray, everywhere: np.ndarray) -> np.ndarray:
+    """log of how much likelier a row's cue is in each language than anywhere."""
+    rate = seen.sum(axis=1, keepdims=True) / max(everywhere.sum(), 1.0)
+    chance = (seen + CUE_STRENGTH * rate) / (everywhere + CUE_STRENGTH)
+    return np.where(rate > 0, np.log(np.maximum(chance, 1e-30) / np.maximum(rate, 1e-30)), 0.0)
 
 
 def document_rows(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
