@@ -8,6 +8,7 @@ values as ``-``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ from tablecheck.functions import (
     table_id,
 )
 from tablecheck.operators import layout, quality, registry, rowchange, rules
+from tablecheck.plans import batch
 from tablecheck.sources import dictionary as shapes
 from tablecheck.sources import folders, landing
 from tablecheck.sources.scratch import scratch_path
@@ -1097,3 +1099,70 @@ def apply_layout(spark, sf_dir):
         orders, columns, facts.withColumn("is_deleted", F.lit(False)), "lake", "orders"
     )
     return laid_out.withColumn("names", F.lit(",".join(laid_out.columns)))
+
+
+# ---------------------------------------------------------------- whole runs over catalog tables
+
+
+@query("""
+    SELECT 'events' AS "table", event_id AS key,
+           CASE WHEN length(event_type) <> 5
+                THEN 'lake.events.event_type.is_not_length_5' ELSE '' END AS tags
+    FROM events
+    UNION ALL
+    SELECT 'orders', o_orderkey,
+           CASE WHEN length(o_orderpriority) <> 8
+                THEN 'lake.orders.o_orderpriority.is_not_length_8' ELSE '' END
+    FROM orders
+""")
+def quality_from_dictionary(spark, sf_dir):
+    # landed, laid out, set up, compiled, tagged and stored bucketed, then read back
+    lake, dictionary = _database(spark, "lake"), _database(spark, "dictionary")
+    for name in ("events", "orders"):
+        read(spark, sf_dir, name).write.saveAsTable(f"{lake}.{name}")
+    batch.run_pipeline(
+        spark,
+        [lake],
+        keys={"events": "event_id", "orders": "o_orderkey"},
+        null_tests=["event_id", "o_orderkey"],
+        length_tests={"event_type": 5, "o_orderpriority": 8},
+        dictionary=dictionary,
+    )
+    plain = F.replace(tags_text(), F.lit(f"{lake}."), F.lit("lake."))
+    parts = [
+        load(spark, f"{dictionary}.quality_{name}").select(
+            F.lit(name).alias("table"), F.col(key).alias("key"), plain.alias("tags")
+        )
+        for name, key in (("events", "event_id"), ("orders", "o_orderkey"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("""
+    SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day,
+           count(DISTINCT strftime(ts, '%Y-%m-%d')) OVER () AS folders
+    FROM events
+""")
+def land_files_twice(spark, sf_dir):
+    # half of the days land first, the others in a second run; a third finds none
+    lake = _database(spark, "landed")
+    events = read(spark, sf_dir, "events").withColumn(
+        "day", F.substring(F.col("ts").cast("string"), 1, 10)
+    )
+    early = F.pmod(F.xxhash64("day"), F.lit(2)) == 0
+    path = scratch_path(spark, "events landing")
+    for part in (events.where(early), events.where(~early), events.where("false")):
+        part.withColumn("stamp", F.concat(F.lit("day "), "day")).write.mode("append").partitionBy(
+            "stamp", "event_type"
+        ).parquet(path)
+        batch.land_files(spark, path, f"{lake}.events", f"{lake}.ledger")
+    rows = load(spark, f"{lake}.events")
+    days = rows.select(F.count_distinct("day").alias("n"))
+    return rows.select("event_id", "event_type", "day", days.scalar().alias("folders"))
+
+
+def _database(spark: SparkSession, label: str) -> str:
+    """A database of its own for one run."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    return name
