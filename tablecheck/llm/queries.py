@@ -78,7 +78,36 @@ def language_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(language.page_rows(read(spark, sf_dir, "pages")), model, ["page_id"])
 
 
-@query("op6_jaccard")
+@query(
+    "op6_jaccard",
+    r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+      FROM documents
+    ), sets AS (
+      SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+        ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1),
+          lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+      FROM words
+    ), members AS (
+      SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+    ), links AS (
+      SELECT a.doc_id AS u, b.doc_id AS v
+      FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n
+      HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ), reach AS (
+      SELECT u, v FROM links
+      UNION
+      SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+    )
+    SELECT doc_id, len(s)::BIGINT AS n_shingles,
+           least(doc_id, coalesce((SELECT min(v) FROM reach WHERE u = doc_id), doc_id)) AS component_id
+    FROM sets
+    """,
+)
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingles have a similarity of 0.85 or more."""
     return jaccard.link_components(read(spark, sf_dir, "documents"), size=4, threshold=85)
