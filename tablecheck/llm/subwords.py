@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 WORD_BPE = "word_bpe_49k.json"
 WORD_BPE_SIZE = 49_408
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 400_000
 LONGEST_KEPT = 48
 
 _RUNS = re.compile(rb"[a-z]+|[^a-z]+")
