@@ -202,7 +202,7 @@ def test_land_files(spark, tmp_path):
     assert tables.load(spark, ledger).count() == 3
 
 
-def test_large_quality_table_gets_a_bucket_per_task(spark):
+def test_large_quality_table_gets_buckets_by_its_rows(spark, monkeypatch):
     for name in ("big_lake", "big_dictionary"):
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     spark.sql("CREATE DATABASE big_lake")
@@ -212,20 +212,11 @@ def test_large_quality_table_gets_a_bucket_per_task(spark):
     batch.run_quality(spark, "big_lake", ["t"], "big_dictionary")
     name = "big_dictionary.quality_t"
     assert tables.table_layout(spark, name) == ([], (10, ["id"]))
-    settings = {
-        "spark.sql.shuffle.partitions": "16",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1b",
-    }
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
+    with monkeypatch.context() as rows:
+        rows.setattr(batch, "ROWS_PER_BUCKET", 6)
         batch.run_quality(spark, "big_lake", ["t"], "big_dictionary")
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-    assert tables.table_layout(spark, name) == ([], (16, ["id"]))
+    assert tables.table_layout(spark, name) == ([], (17, ["id"]))
     batch.run_quality(spark, "big_lake", ["t"], "big_dictionary")
-    assert tables.table_layout(spark, name) == ([], (16, ["id"]))
+    assert tables.table_layout(spark, name) == ([], (17, ["id"]))
     rows = tables.load(spark, name).collect()
     assert len(rows) == 100 and all(r.data_quality_tag == [] for r in rows)
