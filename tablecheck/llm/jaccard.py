@@ -161,12 +161,15 @@ def link_components(
         _linked(best.select(*_pair("leader", "doc")).distinct(), wanted, threshold),
         "jaccard-links",
     )
-    labels = components(links)
-    others = _across(near.select("a", "b").distinct(), labels)
-    links = stored(links.union(_linked(others, wanted, threshold)), "jaccard-links-led")
     labels = stored(components(links), "jaccard-labels")
+    others = _across(near.select("a", "b").distinct(), labels)
+    fresh = _linked(others, wanted, threshold)
+    # a node and its component stand for all links so far
+    so_far = labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    labels = stored(components(so_far.union(fresh)), "jaccard-labels-led")
     rest = stored(_compared(shared, led, labels, wanted, threshold), "jaccard-rest")
-    links = links.union(_linked(rest.distinct(), wanted, threshold))
+    so_far = labels.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    links = so_far.union(_linked(rest.distinct(), wanted, threshold))
     linked = components(links.union(copies.select("u", "v")))
     return members.join(linked, members["doc_id"] == linked["node"], "left").select(
         "doc_id",
