@@ -12,7 +12,7 @@ Empty segments agree for no reason; a set with at most ``spare`` of them leaves
 (one that agrees and is not empty remains), any other emits them too. So every linked pair
 shares a key.
 
-Each key has a leader. Members whose whole sketches differ from their leader's in no more
+Each key has one leader, its first document, whatever tasks its members come from. Members whose whole sketches differ from their leader's in no more
 bits than linked sets differ in shingles are verified by their sets, first with the leader
 they share most keys with, then with those of other components. Links make components.
 What then spans components is compared by sketches, in blocks of a leader's members, and
@@ -247,8 +247,7 @@ def _shared_keys(docs: DataFrame, copies: DataFrame, size: int, threshold: int)
     """Rows (key, doc, leader) for each key that several sets have; the leader is one too.
 
     A copy is replaced by the first of its kind. In a task, documents of equal sets count
-    once, and a key that several documents have becomes one row with its leader and rows
-    for the others that need no shuffle of their own.
+    once. All members of a key have the same leader, so any two of them meet in its group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,8 +287,7 @@ def _shared_keys(docs: DataFrame, copies: DataFrame, size: int, threshold: int)
     by_key = Window.partitionBy("key").orderBy("doc")
     first = F.first("doc").over(by_key.rowsBetween(Window.unboundedPreceding, 0))
     met = stored(
-        emitted.withColumn("single", F.col("doc") == F.col("leader"))
-        .withColumn("leader", F.when(F.col("single"), first).otherwise(F.col("leader")))
+        emitted.withColumn("leader", first)
         .where("doc <> leader")
         .select("key", "doc", "leader"),
         "jaccard-keys",

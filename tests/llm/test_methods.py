@@ -185,6 +185,44 @@ def test_components_are_those_of_all_pairs(spark, documents, size, threshold):
     assert got == brute_components(rows, size, threshold)
 
 
+def words_by_place(low, high, count, tag):
+    """Words whose hash, as a share of all hashes, is from low to high."""
+    found = (f"{tag}{n}" for n in itertools.count())
+    fits = (w for w in found if low <= int(jaccard.shingles(w, 1)[0]) / 2**64 < high)
+    return list(itertools.islice(fits, count))
+
+
+def test_links_between_blocks_with_other_leaders_are_found(spark):
+    # y and z share their keys with a and b only, which lead them in two tasks and link nothing
+    held = [w for n, high in enumerate((0.25, 0.5, 0.66)) for w in words_by_place(n / 4, high, 2, "k")]
+    close = words_by_place(0.76, 1, 3, "c")
+    far = [words_by_place(0.76, 1, n, tag) for tag, n in (("a", 4), ("b", 4), ("y", 1), ("z", 1))]
+    a, b, y, z = (held + far[0], held + far[1], held + close + far[2], held + close + far[3])
+    rows = [(1, " ".join(a)), (3, " ".join(y)), (2, " ".join(b)), (4, " ".join(z))]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    got = {r[0]: (r[1], r[2]) for r in jaccard.link_components(df, 1, 80).collect()}
+    assert got == brute_components(rows, 1, 80) and got[4][1] == 3
+
+
+def test_components_are_whole_over_many_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "KEYS_AT_ONCE", 1)
+    rng = random.Random(9)
+    families = []
+    for family in range(40):
+        words = [f"f{family}w{n}" for n in range(rng.choice([10, 14, 30, 60]))]
+        families.append([])
+        for _ in range(12):
+            copy = list(words)
+            for _ in range(rng.randrange(len(copy) // 3 + 1)):
+                copy[rng.randrange(len(copy))] = f"q{rng.randrange(10**6)}"
+            families[-1].append(" ".join(copy))
+    # one of each family in each task
+    rows = [(40 * n + f, families[f][n]) for n in range(12) for f in range(40)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 12), "doc_id long, text string")
+    got = {r[0]: (r[1], r[2]) for r in jaccard.link_components(df, 1, 80).collect()}
+    assert got == brute_components(rows, 1, 80)
+
+
 def test_long_chains_are_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(99, 98)], "u long, v long")
     found = dict(jaccard.components(links).collect())
