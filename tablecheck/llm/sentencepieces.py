@@ -2,11 +2,12 @@
 
 A text is encoded as the BPE model does: white space becomes a mark, and an agenda of
 candidate merges, the best score first and the leftmost of equals, is worked off. With
-dropout, a candidate that comes up is skipped if a hash keyed by seed, word, variant,
-place and merged piece falls below the rate. Each occurrence of a word takes one of
-``variants`` variants by a hash keyed by seed, row key and its number in the text, so equal
-words are cut in several ways, any run of a seed gives the same ids, and a worker can
-remember words (up to a fixed number). Rate 0 gives the library's own ids.
+dropout, every candidate that comes up in an occurrence of a word is skipped by itself with
+the chance ``rate``: the numbers of candidates between skips are drawn from a geometric
+distribution by hashes keyed by seed, row key and the occurrence's number in the text. So
+any occurrence may be cut in any way, and any run of a seed gives the same ids. A worker
+remembers words by what was skipped in them (up to a fixed number; one in ``variants`` of
+these without skips), which does not change the ids. Rate 0 gives the library's own ids.
 
 No piece joins across the beginning of white space or a line break (checked when the model
 is loaded), so words are encoded by themselves; characters without a piece become bytes.
@@ -21,8 +22,10 @@ gives no rows; other columns stay as they are (the new column replaces one of it
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import zlib
+from collections.abc import Collection
 
 import numpy as np
 import pandas as pd
@@ -39,7 +42,6 @@ MARK = "▁"
 KEPT_WORDS = 1_200_000
 LONGEST_KEPT = 48
 _WORDS = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-_MASK = (1 << 64) - 1
 
 
 class PieceBpe:
@@ -71,8 +73,9 @@ class PieceBpe:
     def _packed(ids: list[int]) -> bytes:
         return np.array(ids, "<u4").tobytes()
 
-    def segment(self, word: str, limit: int = 0, key: int = 0) -> list[int]:
-        """Ids of one word; merges whose keyed hash is below ``limit`` are skipped."""
+    def segment(self, word: str, skips: Collection[int] = ()) -> tuple[int, list[int]]:
+        """How many merges come up in one word, and its ids; those whose numbers are in
+        ``skips`` are skipped."""
         parts = list(word)
         last = len(parts)
         left, right = list(range(-1, last - 1)), list(range(1, last + 1))
@@ -83,17 +86,15 @@ class PieceBpe:
             if score is not None:
                 agenda.append((score, i, merged))
         heapq.heapify(agenda)
+        number = -1
         while agenda:
             _, i, merged = heapq.heappop(agenda)
             j = right[i]
             if j >= last or not parts[i] or parts[i] + parts[j] != merged:
                 continue
-            if limit:
-                mixed = (key ^ (i * 0x9E3779B97F4A7C15 + self.ids[merged])) & _MASK
-                mixed = (mixed ^ (mixed >> 32)) * 0xD6E8FEB86659FD93 & _MASK
-                mixed = (mixed ^ (mixed >> 32)) * 0xD6E8FEB86659FD93 & _MASK
-                if mixed ^ (mixed >> 32) < limit:
-                    continue
+            number += 1
+            if number in skips:
+                continue
             parts[i], parts[j] = merged, ""
             right[i] = after = right[j]
             if after < last:
@@ -114,7 +115,7 @@ class PieceBpe:
                     out.extend(self.byte_ids[b] for b in part.encode("utf-8", "replace"))
                 else:
                     out.append(found)
-        return out
+        return number + 1, out
 
     def decode(self, ids: np.ndarray) -> str:
         surface = self.surface
@@ -124,16 +125,16 @@ class PieceBpe:
 
 
 class Dropout:
-    """Encoder of one model, rate, seed and number of variants, with its memory."""
+    """Encoder of one model, rate, seed and share of memory, with its memory."""
 
     _known: dict[tuple, Dropout] = {}
 
     def __init__(self, path: str, rate: float, seed: int, variants: int) -> None:
         self.bpe = PieceBpe(path)
-        self.limit = int(rate * 2**64)
+        self.rate = rate
         self.seed = seed
-        self.variants = variants if self.limit else 1
-        self.kept = [_Words(self, v) for v in range(self.variants)]
+        self.plain = _Words(self.bpe, KEPT_WORDS // max(1, variants))
+        self.skipping = _Words(self.bpe, KEPT_WORDS - self.plain.most)
 
     @classmethod
     def of(cls, *settings) -> Dropout:
@@ -147,42 +148,73 @@ class Dropout:
         if not text:
             return b""
         out, number = [], 0
+        base = xxhash.xxh3_64_intdigest(row_key.to_bytes(8, "little", signed=True), self.seed)
         for n, stretch in enumerate(text.split(MARK)):  # literal marks between
             if n:
                 out.append(self.bpe.mark_bytes)
             words = _WORDS.findall((MARK if n == 0 else "") + stretch.replace(" ", MARK))
-            if self.variants == 1:
-                out.extend(map(self.kept[0].__getitem__, words))
-            else:
-                kept = self.kept
-                chosen = self._variants(row_key, number, len(words))
-                out.extend([kept[v][word] for v, word in zip(chosen, words)])
+            found = list(map(self.plain.__getitem__, words))
+            ids = [each for _, each in found]
+            if self.rate > 0 and words:
+                self._skip(words, found, ids, base, number)
+            out.extend(ids)
             number += len(words)
         return b"".join(out)
 
-    def _variants(self, row_key: int, first: int, count: int) -> list[int]:
+    def _skip(self, words: list, found: list, ids: list, base: int, number: int) -> None:
+        """Put the ids of words with skipped merges in their places."""
+        merges = np.fromiter((count for count, _ in found), np.int64, len(words))
+        places = np.arange(number, number + len(words))
+        next_skip = self._gaps(base, places, 0)
+        active = np.flatnonzero(next_skip < merges)
+        keys = []
+        for at, skip in zip(active.tolist(), next_skip[active].tolist()):
+            if len(words[at]) > LONGEST_KEPT:  # at once: no word has three times its candidates
+                every = np.arange(3 * len(words[at]))
+                gaps = self._gaps(base, np.full(len(every), number + at), every)
+                skips = set((np.cumsum(gaps + 1) - 1).tolist())
+                ids[at] = PieceBpe._packed(self.bpe.segment(words[at], skips)[1])
+            else:
+                keys.append((at, (words[at], skip)))
+        level = 1
+        while keys:
+            gaps = self._gaps(base, places[[at for at, _ in keys]], level).tolist()
+            again = []
+            for (at, key), gap in zip(keys, gaps):
+                count, ids[at] = self.skipping[key]
+                if key[-1] + 1 + gap < count:
+                    again.append((at, (*key, key[-1] + 1 + gap)))
+            keys, level = again, level + 1
+
+    def _gaps(self, base: int, occurrences: np.ndarray, skips: int | np.ndarray) -> np.ndarray:
+        """How many candidates come up before the next skip, for each occurrence."""
+        if self.rate >= 1:
+            return np.zeros(len(occurrences), np.int64)
         with np.errstate(over="ignore"):
-            base = xxhash.xxh3_64_intdigest(row_key.to_bytes(8, "little", signed=True), self.seed)
-            x = np.arange(first, first + count, dtype=np.uint64) + np.uint64(base)
+            x = occurrences.astype(np.uint64) + np.uint64(base)
+            x += np.asarray(skips, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
             x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            return ((x ^ (x >> np.uint64(31))) % np.uint64(self.variants)).tolist()
+            x ^= x >> np.uint64(31)
+        chance = ((x >> np.uint64(11)) + np.uint64(1)) * 2.0**-53
+        return np.minimum(np.log(chance) / math.log1p(-self.rate), 2.0**40).astype(np.int64)
 
 
 class _Words(dict):
-    def __init__(self, encoder: Dropout, variant: int) -> None:
+    """Merges that come up and ids of a word, or of (word, skipped merges)."""
+
+    def __init__(self, bpe: PieceBpe, most: int) -> None:
         super().__init__()
-        self.encoder, self.variant = encoder, variant
-
-    def __missing__(self, word: str) -> bytes:
-        encoder = self.encoder
-        data = word.encode("utf-8", "replace")
-        key = xxhash.xxh3_64_intdigest(data, (encoder.seed + 0x51ED27 * self.variant) & _MASK)
-        found = PieceBpe._packed(encoder.bpe.segment(word, encoder.limit, key))
-        if len(data) <= LONGEST_KEPT:
-            if len(self) >= KEPT_WORDS // encoder.variants:
+        self.bpe, self.most = bpe, most
+
+    def __missing__(self, key: str | tuple) -> tuple[int, bytes]:
+        word, skips = (key, ()) if isinstance(key, str) else (key[0], key[1:])
+        merges, ids = self.bpe.segment(word, skips)
+        found = merges, PieceBpe._packed(ids)
+        if len(word.encode("utf-8", "replace")) <= LONGEST_KEPT:
+            if len(self) >= self.most:
                 self.clear()
-            self[word] = found
+            self[key] = found
         return found
 
 

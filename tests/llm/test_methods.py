@@ -98,6 +98,41 @@ def test_sentencepieces_without_dropout_are_the_librarys(documents):
     assert dropping.encode(text, 3) != dropping.encode(text, 4)
 
 
+def test_one_candidate_is_dropped_at_the_given_rate():
+    path = public_tokenizers.path(sentencepieces.PIECE_BPE)
+    dropping = sentencepieces.Dropout(path, 0.1, 1, 4)
+    for word in "aIxbcdmn":  # each is one merge with its mark, so two ids if that is skipped
+        ids = [np.frombuffer(dropping.encode(f"{word} {word}", key), "<i4") for key in range(3000)]
+        assert sum(map(len, ids)) / len(ids) == pytest.approx(2 * 1.1, abs=0.03)
+
+
+def test_any_segmentation_has_the_chance_of_its_skips():
+    path = public_tokenizers.path(sentencepieces.PIECE_BPE)
+    dropping = sentencepieces.Dropout(path, 0.1, 1, 4)
+
+    def chances(word, skips=()):
+        merges, ids = dropping.bpe.segment(word, skips)
+        start = skips[-1] + 1 if skips else 0
+        yield tuple(ids), 0.9 ** (merges - start)
+        for n in range(start, merges):
+            yield from ((x, 0.9 ** (n - start) * 0.1 * p) for x, p in chances(word, (*skips, n)))
+
+    for word in ("of", "the", "people"):
+        want, got = Counter(), Counter()
+        for ids, chance in chances(sentencepieces.MARK + word):
+            want[ids] += chance
+        got.update(tuple(np.frombuffer(dropping.encode(word, key), "<i4")) for key in range(8000))
+        assert sum(want.values()) == pytest.approx(1) and set(got) <= set(want)
+        assert all(got[x] / 8000 == pytest.approx(want[x], abs=0.02) for x in want)
+
+
+def test_long_words_skip_as_short_ones_do(monkeypatch):
+    path = public_tokenizers.path(sentencepieces.PIECE_BPE)
+    long = sentencepieces.Dropout(path, 0.1, 1, 4).encode("wordsofmany" * 20, 7)
+    monkeypatch.setattr(sentencepieces, "LONGEST_KEPT", 10**6)
+    assert sentencepieces.Dropout(path, 0.1, 1, 4).encode("wordsofmany" * 20, 7) == long
+
+
 def test_packing_is_gapless_and_certified(spark):
     pdf = QUERIES["op2_packing"](spark, SF_DIR).toPandas().sort_values(["sequence_id", "offset"])
     filled = pdf.groupby("sequence_id")["length"]
