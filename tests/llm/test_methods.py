@@ -341,6 +341,22 @@ def test_attention_is_causal_and_scores_each_unit_once():
     assert not np.allclose(first[70:], second[70:], atol=1e-5)
 
 
+def test_all_texts_give_unit_counts_and_training_windows(spark):
+    from tablecheck.llm import attention
+
+    texts = ["some words of one text " * n for n in range(1, 60)] + ["zebra " * 9000]
+    rows = [(n, n * 7919, text) for n, text in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, row long, text string")
+    bpe = lm.WordBpe.of()
+    found = [lm.units_of(text, bpe)[0] for text in texts]
+    counts = lm._unit_counts(df)
+    assert (counts == np.bincount(np.concatenate(found), minlength=attention.UNITS)).all()
+    finer = attention.classes_of(counts, lm.PRECEDING)
+    gathered = lm._gathered(df, attention.classes_of(counts), finer)
+    windows = sum(attention.windows_of(len(x)) for x in found)
+    assert gathered.where(gathered["kind"] == lm.WINDOW).count() == windows
+
+
 def test_held_out_quality(spark, duck):
     pdf = QUERIES["op9_quality"](spark, "/root/testdata/sf0.01").toPandas()
     labels = pd.read_parquet("/root/testdata/sf0.01/labels.parquet")
