@@ -5,9 +5,11 @@ Pieces are dealt by hash to tasks, and each packs its own by best-fit decreasing
 feasible functions give a lower bound on the sequences that any packing needs, for each
 task's pieces and, from a histogram of lengths, for all of them. Sequences with gaps
 give their pieces back: those of several tasks meet in one, which packs them anew with
-its own bound, and so on with fewer tasks each round, until the count equals the bound
-of all pieces or one task has seen the rest. A task passes on its emptiest sequences,
-``PASSED_ON`` at most (a task that its bound certifies: as many), so no round is large.
+its own bound, and so on, until the count equals the bound of all pieces, one task has
+seen the rest, or exchanges between as many tasks no longer lower the count. A task that
+its bound certifies passes on its emptiest sequences, ``PASSED_ON`` at most, any other all
+with a real gap; there are as many tasks as these pieces need, about ``PIECES_PER_TASK``
+for each, so no task is large. A round that makes more sequences is not taken.
 
 Edge cases: a null or empty text is the end id alone; an empty table gives no rows;
 repeated rows are packed once each; null ids are kept; other columns are ignored.
@@ -33,6 +35,7 @@ CAPACITY = 4096
 PIECES_PER_TASK = 50_000
 TASKS_MET = 16
 PASSED_ON = 64
+EXCHANGES = 3
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -133,23 +136,32 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     tasks = max(1, math.ceil(int(histogram.sum()) / PIECES_PER_TASK))
     schema = parts.schema.add("sequence_id", "long").add("offset", "long").add("open", "boolean")
     waiting = parts.withColumn("task", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(tasks)))
-    done, made, level = [], 0, 0
+    done, made, level, exchanges = [], 0, 0, 0
+    before = fewest = None  # the open rows so far, and in how many sequences
     while True:
         last = tasks == 1
         packed = waiting.groupBy("task").applyInPandas(_packer(capacity, level, last), schema)
         result = stored(packed, f"pack-{level}")
-        closed, still_open = result.agg(
+        closed, still_open, rows = result.agg(
             F.count_distinct(F.when(~F.col("open"), F.col("sequence_id"))),
             F.count_distinct(F.when(F.col("open"), F.col("sequence_id"))),
+            F.count(F.when(F.col("open"), 1)),
         ).first()
-        if last or made + closed + still_open <= bound:
-            done.append(result)
-            made += closed + still_open
+        lower = fewest is None or closed + still_open < fewest
+        if lower or closed + still_open == fewest:
+            done.append(result.where(~F.col("open")))
+            made += closed
+            before, fewest, moving = result.where("open"), still_open, rows
+        needed = math.ceil(moving / PIECES_PER_TASK)
+        fewer = max(1, math.ceil(tasks / TASKS_MET), min(needed, tasks))
+        exchanges = 0 if fewer < tasks else exchanges + 1
+        stuck = fewer == tasks and (not lower or exchanges >= EXCHANGES)
+        if last or not fewest or made + fewest <= bound or stuck:
+            done.append(before)
+            made += fewest
             break
-        done.append(result.where(~F.col("open")))
-        made += closed
-        tasks, level = math.ceil(tasks / TASKS_MET), level + 1
-        waiting = result.where("open").select(
+        tasks, level = fewer, level + 1
+        waiting = before.select(
             *parts.columns, F.pmod(F.xxhash64("sequence_id"), F.lit(tasks)).alias("task")
         )
     return (

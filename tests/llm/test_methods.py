@@ -143,6 +143,20 @@ def test_packing_is_gapless_and_certified(spark):
     assert made <= math.ceil(pdf["length"].sum() / 4096) + 1
 
 
+def test_no_task_packs_most_pieces(spark, monkeypatch):
+    # no task is certified for pieces of such lengths, and all sequences have gaps
+    monkeypatch.setattr(packing, "PIECES_PER_TASK", 300)
+    rng = random.Random(2)
+    rows = [(n, 0, 0, rng.randint(700, 1000), 0) for n in range(3000)]
+    got = packing.pack(spark.createDataFrame(rows, packing.PIECE)).toPandas()
+    assert sorted(got["doc_id"]) == list(range(3000))
+    filled = got.groupby("sequence_id")["length"]
+    assert filled.sum().max() <= 4096 and got["sequence_id"].nunique() == got["sequences_made"].iloc[0]
+    assert (got.groupby(got["sequence_id"].to_numpy() // 2**24).size() < 2 * 300).all()
+    alone = max(packing.best_fit_decreasing([row[3] for row in rows], 4096)) + 1
+    assert got["sequences_made"].iloc[0] <= 1.02 * alone
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 12), min_size=1, max_size=7))
 def test_lower_bound_is_below_the_optimum(lengths):
