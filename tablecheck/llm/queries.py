@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import fingerprints, jaccard, language, lm, packing, quality, sentencepieces, sharding, topk, warc
+from tablecheck.llm import (
+    decontamination,
+    fingerprints,
+    jaccard,
+    language,
+    lexical,
+    lm,
+    packing,
+    quality,
+    sentencepieces,
+    sharding,
+    topk,
+    warc,
+    whitening,
+)
 from tablecheck.llm.common import id_remainder, read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +216,106 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log10 chance of every document, learned from nine tenths of them."""
     return lm.score(read(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable vectors, projected on the 16 leading components and scaled by them."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), 16)
+
+
+@query(
+    "op12_lexical",
+    r"""
+    WITH words AS (
+      SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+      FROM documents
+    ), corpus AS (
+      SELECT count(*) AS big_n, sum(len(w))::BIGINT AS big_l FROM words WHERE len(w) > 0
+    ), norms AS (
+      SELECT d, doc_id, w, 50 + (50 * len(w) * big_n) // big_l AS m FROM words, corpus WHERE len(w) > 0
+    ), asked AS (
+      SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM benchmark
+    ), held AS (
+      SELECT d, doc_id, m, term, count(*) AS tf
+      FROM (SELECT d, doc_id, m, unnest(w) AS term FROM norms) GROUP BY ALL
+    ), weights AS (
+      SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM held, corpus GROUP BY term, big_n
+    ), scored AS (
+      SELECT item_id, d, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+      FROM asked JOIN held USING (term) JOIN weights USING (term)
+      GROUP BY item_id, d, doc_id
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r
+      FROM scored WHERE score > 0
+    )
+    SELECT item_id, r::INTEGER AS rank, doc_id, score FROM ranked WHERE r <= 50
+    """,
+)
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), 50)
+
+
+@query(
+    "op13_decontamination",
+    r"""
+    WITH docs AS (
+      SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM documents
+    ), items AS (
+      SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark
+    ), windows AS (
+      SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS gram
+      FROM (
+        SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+        FROM items WHERE len(w) > 0
+      )
+    ), places AS (
+      SELECT d, k, i, array_to_string(w[i:i + k - 1], ' ') AS gram
+      FROM (
+        SELECT d, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k
+      )
+    ), found AS (
+      SELECT d, k, i, item_id FROM places JOIN windows USING (k, gram)
+    ), hits AS (
+      SELECT d, count(DISTINCT p) AS n
+      FROM (SELECT d, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT d, i, k FROM found)) GROUP BY d
+    ), named AS (
+      SELECT d, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT d, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY d
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit,
+      coalesce(named.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+      coalesce(hits.n, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hits USING (d) LEFT JOIN named USING (d)
+    """,
+)
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document shares with the benchmark: runs of ten words, or whole items."""
+    found = decontamination.find_items(
+        read(spark, sf_dir, "documents").select("doc_id", "text"),
+        read(spark, sf_dir, "benchmark"),
+        length=10,
+        coverage=1.0,
+    )
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
