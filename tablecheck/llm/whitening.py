@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablecheck.functions.names import field
 from tablecheck.llm.common import rows_of, stored
@@ -99,10 +100,10 @@ def tridiagonal(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.nda
 def counts_below(diagonal: np.ndarray, off: np.ndarray, at: np.ndarray) -> np.ndarray:
     """How many eigenvalues of the tridiagonal matrix lie below each number, by Sturm."""
     tiny = EPS * max(np.abs(diagonal).max(), np.abs(off).max(initial=0.0)) * EPS or EPS
-    q = diagonal[0] - at
-    below = (q < 0).astype(int)
-    for i in range(1, len(diagonal)):
-        q = diagonal[i] - at - off[i - 1] ** 2 / np.where(np.abs(q) < tiny, -tiny, q)
+    below, q = np.zeros(len(at), int), np.full(len(at), np.inf)
+    for i in range(len(diagonal)):
+        q = diagonal[i] - at - (off[i - 1] ** 2 if i else 0.0) / q
+        q = np.where(np.abs(q) < tiny, -tiny, q)
         below += q < 0
     return below
 
@@ -292,7 +293,13 @@ def whiten(
                     ["id", "deviation", "white"],
                 )
 
-    schema = rows.select("id", F.lit(0).cast("long").alias("deviation"), F.array(F.lit(0.0)).alias("white")).schema
+    schema = T.StructType(
+        [
+            T.StructField("id", rows.schema["id"].dataType),
+            T.StructField("deviation", T.LongType()),
+            T.StructField("white", T.ArrayType(T.DoubleType())),
+        ]
+    )
     shares = F.lit([float(v) / model.trace for v in model.values] if model else [0.0])
     return (
         rows.mapInArrow(run, schema)

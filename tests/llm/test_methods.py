@@ -53,7 +53,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_registered():
     assert set(QUERIES) < set(spark_entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES if q[:2] == "op"}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES if q[:2] == "op"}
     assert "pipeline" in spark_entry.queries()
 
 
