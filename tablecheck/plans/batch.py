@@ -10,19 +10,20 @@ import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecheck.functions.names import field
 from tablecheck.operators import layout, quality, registry, rules
 from tablecheck.sources import dictionary as shapes
 from tablecheck.sources import folders, landing
+from tablecheck.sources.scratch import stored
 from tablecheck.sources.tables import (
     add_columns,
-    drop_partitions,
     ensure_table,
     is_foreign,
     load,
-    local_rows,
+    overwrite_partitions,
     quoted,
     replace_table,
     table_detail,
@@ -32,6 +33,7 @@ from tablecheck.sources.tables import (
 DICTIONARY = "dictionary_quality"
 BUCKETS = 10
 ROWS_PER_BUCKET = 5_000_000
+FOLDERS_AT_ONCE = 10_000
 
 
 def create_dictionary(spark: SparkSession, dictionary: str = DICTIONARY) -> None:
@@ -143,9 +145,9 @@ def run_quality(
         name = f"{dictionary}.quality_{table}"
         number = buckets or max(BUCKETS, math.ceil(fact.count() / ROWS_PER_BUCKET))
         ensure_table(spark, name, quality.quality_schema(fact, keys), bucket_by=(number, keys))
-        _, stored = table_layout(spark, name)
-        if buckets is None and stored:
-            number = max(number, stored[0])  # never fewer than before
+        _, now = table_layout(spark, name)
+        if buckets is None and now:
+            number = max(number, now[0])  # never fewer than before
         replace_table(
             quality.refresh_quality(fact, load(spark, name), compiled, keys),
             name,
@@ -194,6 +196,7 @@ def land_files(
     table: str,
     ledger: str,
     fmt: str = "parquet",
+    folders_at_once: int = FOLDERS_AT_ONCE,
     **options: str,
 ) -> int:
     """Land the new folders below ``path`` in a table; returns how many there were.
@@ -201,29 +204,32 @@ def land_files(
     The first folders give the table its schema, later ones never alter it. Rows
     are stored in one partition per folder, and a folder enters the ledger after
     its rows: after a run that was cut off the same folders land again, in place of
-    what it left, and no row lands twice.
+    what it left, and no row lands twice. Folders land in rounds of about
+    ``folders_at_once``, whose names are all that the driver holds; the ledger takes
+    them from the listing.
     """
     ensure_table(spark, ledger, shapes.LEDGER)
-    found = folders.new_folders(spark, path, load(spark, ledger)).collect()
-    if not found:
-        return 0
-    schema = None
-    if spark.catalog.tableExists(quoted(table)):
-        fields = load(spark, table).schema.fields
-        schema = T.StructType([f for f in fields if f.name != "folder"])
-    landed = folders.land_new_folders(spark, path, load(spark, ledger), fmt, schema, **options)
-    if schema is None:
-        # the table stands before its first rows, so a run that is cut off can go on
-        ensure_table(spark, table, landed.schema, partition_by=["folder"])
-        schema = T.StructType([f for f in landed.schema if f.name != "folder"])
-    # what a run that was cut off has left of these folders
-    drop_partitions(spark, table, [{"folder": row["folder"]} for row in found])
-    landed.select(*[field(f.name) for f in schema], "folder").write.mode("append").insertInto(
-        quoted(table)
-    )
-    names = local_rows(spark, [{"folder": row["folder"]} for row in found], shapes.LEDGER)
-    names.write.mode("append").insertInto(quoted(ledger))
-    return len(found)
+    found = stored(folders.new_folders(spark, path, load(spark, ledger)), "new-folders")
+    count = found.count()
+    rounds = math.ceil(count / folders_at_once)
+    for number in range(rounds):
+        part = found.where(F.pmod(F.xxhash64("folder"), F.lit(rounds)) == number)
+        names = [row["folder"] for row in part.collect()]
+        if not names:
+            continue
+        schema = None
+        if spark.catalog.tableExists(quoted(table)):
+            fields = load(spark, table).schema.fields
+            schema = T.StructType([f for f in fields if f.name != "folder"])
+        landed = folders.read_folders(spark, path, names, fmt, schema, **options)
+        if schema is None:
+            # the table stands before its first rows, so a run that is cut off can go on
+            ensure_table(spark, table, landed.schema, partition_by=["folder"])
+            schema = T.StructType([f for f in landed.schema if f.name != "folder"])
+        # in place of what a run that was cut off has left of these folders
+        overwrite_partitions(landed.select(*[field(f.name) for f in schema], "folder"), table)
+        part.write.mode("append").insertInto(quoted(ledger))
+    return count
 
 
 def _described(df, partition_by: Sequence[str]) -> list[tuple]:

@@ -1,49 +1,169 @@
-"""Land files folder by folder, each folder once."""
+"""Land files folder by folder, each folder once.
+
+Folders are listed level by level, in tasks. A folder that has landed is dropped before it
+is listed, so a run costs what is new, and not what is there.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from functools import reduce
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecheck.sources.dictionary import LEDGER
+from tablecheck.sources.scratch import stored
 from tablecheck.sources.tables import local_rows
 
+# What lies directly in a folder.
+ENTRY = T.StructType(
+    [
+        T.StructField("folder", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("is_folder", T.BooleanType()),
+        T.StructField("length", T.LongType()),
+    ]
+)
+# Folders that one task lists.
+_FOLDERS_PER_TASK = 64
+_ROWS_PER_BATCH = 4096
+
 
 def new_folders(spark: SparkSession, path: str, ledger: DataFrame | None) -> DataFrame:
-    """Folders below ``path`` that hold files and are not in the ledger.
+    """Folders below ``path`` that hold files and are not in the ledger."""
+    files = listed(spark, path, ledger).where(~F.col("is_folder"))
+    found = files.select("folder").distinct()
+    return found if ledger is None else found.join(ledger, "folder", "left_anti")
+
+
+def listed(spark: SparkSession, path: str, ledger: DataFrame | None = None) -> DataFrame:
+    """Rows (folder, path, is_folder, length): what lies below ``path``.
 
-    Files are listed without reading their content.
+    Folders of the ledger are named, but not gone into, unless the ledger holds a folder
+    below them: such a one holds folders beside its files and may have got more. A folder
+    that had none when it landed is closed, with all that is ever put below it. Names that
+    file sources pass over are passed over here. Neither folders nor names come to the
+    driver, except for a store that Arrow cannot reach from a task; that one is listed
+    through Spark's own file system. A path that does not exist is an error.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
+    base, encoded = _qualified(spark, path)
+    closed = None
+    if ledger is not None:
+        closed = _closed(ledger.select("folder"), base)
+    level = local_rows(spark, [{"folder": base}], LEDGER)
+    count, levels = 1, []
+    while count:
+        if _reaches(encoded):
+            tasks = -(-count // _FOLDERS_PER_TASK)
+            level = level.repartition(tasks) if tasks > 1 else level.coalesce(1)
+            found = level.mapInArrow(_listing(base, encoded), ENTRY)
+        else:
+            found = _driver_listing(spark, level, base)
+        found = stored(found, "listing")
+        levels.append(found)
+        level = found.where("is_folder").select(F.col("path").alias("folder"))
+        if closed is not None:
+            level = level.join(closed, "folder", "left_anti")
+        count = level.count()
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _closed(ledger: DataFrame, base: str) -> DataFrame:
+    """Landed folders without landed ones below them."""
+    parts = F.split(F.substring(F.col("folder"), len(base) + 2, 1 << 30), "/")
+    above = F.transform(  # from the base down to the folder that holds it
+        F.sequence(F.lit(0), F.size(parts) - 1),
+        lambda n: F.concat_ws("/", F.lit(base), F.slice(parts, 1, n)),
     )
-    folders = files.distinct()
-    return folders if ledger is None else folders.join(ledger, "folder", "left_anti")
+    below = ledger.where(F.startswith("folder", F.lit(f"{base}/")))
+    inner = below.select(F.explode(above).alias("folder")).distinct()
+    return ledger.distinct().join(inner, "folder", "left_anti")
 
 
-def land_new_folders(
+def _qualified(spark: SparkSession, path: str) -> tuple[str, str]:
+    """The path with its scheme, as Spark names files, and encoded as a URI."""
+    store, at = _store(spark, path)
+    full = store.makeQualified(at)
+    return full.toString().rstrip("/"), full.toUri().toString()
+
+
+def _store(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def _arrow(encoded: str) -> tuple[pafs.FileSystem, str]:
+    if encoded.startswith("file:/") and not encoded.startswith("file://"):
+        encoded = "file://" + encoded[len("file:") :]
+    return pafs.FileSystem.from_uri(encoded)
+
+
+def _reaches(encoded: str) -> bool:
+    try:
+        store, at = _arrow(encoded)
+        return store.get_file_info(at).type != pafs.FileType.NotFound
+    except (OSError, ValueError, NotImplementedError):
+        return False
+
+
+def _hidden(name: str) -> bool:
+    """Whether file sources pass over a name."""
+    return name.startswith(".") or name.endswith("._COPYING_") or (name[:1] == "_" and "=" not in name)
+
+
+def _listing(base: str, encoded: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _arrow(encoded)
+        root = root.rstrip("/")
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                inside = store.get_file_info(pafs.FileSelector(root + folder[len(base) :]))
+                rows = [
+                    (folder, f"{folder}/{x.base_name}", x.type == pafs.FileType.Directory, x.size or 0)
+                    for x in inside
+                    if not _hidden(x.base_name)
+                ]
+                for at in range(0, len(rows), _ROWS_PER_BATCH):
+                    columns = zip(*rows[at : at + _ROWS_PER_BATCH])
+                    kinds = (pa.string(), pa.string(), pa.bool_(), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(columns, kinds)], ENTRY.names
+                    )
+
+    return run
+
+
+def _driver_listing(spark: SparkSession, level: DataFrame, base: str) -> DataFrame:
+    store, _ = _store(spark, base)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    rows = []
+    for row in level.toLocalIterator():
+        for status in store.listStatus(path(row["folder"])):
+            if not _hidden(status.getPath().getName()):
+                name = status.getPath().toString()
+                rows.append((row["folder"], name, status.isDirectory(), status.getLen()))
+    return spark.createDataFrame(rows, ENTRY)
+
+
+def read_folders(
     spark: SparkSession,
     path: str,
-    ledger: DataFrame | None,
+    names: Sequence[str],
     fmt: str = "parquet",
     schema: T.StructType | None = None,
     **options: str,
 ) -> DataFrame:
-    """Rows of the folders not landed before, with the folder each came from.
+    """Rows of these folders below ``path``, with the folder each came from.
 
-    Only new folders are read, so a run costs what is new and not what is there;
-    the driver holds their names, as it does for any file source. With a
-    ``schema`` new files never alter it: other columns are not read, missing ones
-    are NULL. Without one the new files' own schema is taken. Partition values in
-    folder names become columns. Add the result of ``new_folders`` to the ledger
-    after the rows are stored.
+    With a ``schema`` new files never alter it: other columns are not read, missing ones
+    are NULL. Without one the files' own schema is taken. Partition values in folder names
+    become columns.
     """
-    found = [row["folder"] for row in new_folders(spark, path, ledger).collect()]
-    if not found:
+    if not names:
         fields = schema.fields if schema else []
         return local_rows(spark, [], T.StructType([*fields, *LEDGER.fields]))
     reader = spark.read.format(fmt).option("basePath", path).options(**options)
@@ -53,4 +173,23 @@ def land_new_folders(
         reader = reader.option("inferSchema", "true")
     # the listing gives plain paths, this column encoded ones; plus signs stay plus signs
     path_of = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
-    return reader.load(found).select("*", F.regexp_replace(path_of, "/[^/]*$", "").alias("folder"))
+    folder = F.regexp_replace(path_of, "/[^/]*$", "").alias("folder")
+    return reader.load(list(names)).select("*", folder)
+
+
+def land_new_folders(
+    spark: SparkSession,
+    path: str,
+    ledger: DataFrame | None,
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
+    **options: str,
+) -> DataFrame:
+    """Rows of the folders not landed before, with the folder each came from.
+
+    Only new folders are read; the driver holds their names, as it does for any file
+    source. ``batch.land_files`` takes them in rounds of bounded size. Add the result of
+    ``new_folders`` to the ledger after the rows are stored.
+    """
+    found = [row["folder"] for row in new_folders(spark, path, ledger).collect()]
+    return read_folders(spark, path, found, fmt, schema, **options)

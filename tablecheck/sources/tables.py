@@ -163,16 +163,16 @@ def _describe(
         spark.sql(f"COMMENT ON TABLE {name} IS {_text(comment)}")
 
 
-def drop_partitions(
-    spark: SparkSession, name: str, partitions: Sequence[Mapping[str, str]], batch: int = 200
-) -> None:
-    """Drop the partitions that exist, with their data."""
-    for start in range(0, len(partitions), batch):
-        specs = ", ".join(
-            "PARTITION (" + ", ".join(f"{quote(k)} = {_text(v)}" for k, v in spec.items()) + ")"
-            for spec in partitions[start : start + batch]
-        )
-        spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS {specs}")
+def overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Store ``df`` in place of the partitions it has rows of; others stay untouched."""
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(quoted(name))
+    finally:
+        spark.conf.set(mode, before)
 
 
 def table_layout(

@@ -367,6 +367,68 @@ def test_land_new_folders(spark, tmp_path, fmt):
     assert all("day=2024-01-03" in f for f in later.inputFiles())
 
 
+def touch(path, *names):
+    for name in names:
+        (path / name).parent.mkdir(parents=True, exist_ok=True)
+        (path / name).write_text("1")
+
+
+def test_landed_folders_are_not_listed_again(spark, tmp_path):
+    for n in range(10_000):
+        (tmp_path / f"in/{n // 100}/{n}").mkdir(parents=True)
+    touch(tmp_path / "in", *[f"{n // 100}/{n}/a.txt" for n in range(10_000)])
+    path = str(tmp_path / "in")
+    first = folders.new_folders(spark, path, None)
+    assert first.count() == 10_000
+    first.write.parquet(str(tmp_path / "ledger"))
+    ledger = spark.read.parquet(str(tmp_path / "ledger"))
+    touch(tmp_path / "in", "7/new/b.txt", "7/new/c.txt")
+    seen = folders.listed(spark, path, ledger)
+    assert sorted(r.path.rsplit("/", 1)[1] for r in seen.where("not is_folder").collect()) == ["b.txt", "c.txt"]
+    assert [r.folder.rsplit("/", 2)[1:] for r in folders.new_folders(spark, path, ledger).collect()] == [["7", "new"]]
+
+
+@pytest.mark.parametrize("reached", [True, False])
+def test_listing_goes_below_landed_folders_that_hold_folders(spark, tmp_path, monkeypatch, reached):
+    if not reached:
+        monkeypatch.setattr(folders, "_reaches", lambda encoded: False)
+    top = tmp_path / "a b%20+ü"
+    touch(top, "root.txt", "x/f.txt", "x/y/g.txt", "z/_hidden", "z/.crc", "_tmp/h.txt", "_p=1/i.txt", "q/r/s/j.txt")
+    path = str(top)
+
+    def names(df):
+        return sorted(r.folder[len(f"file:{path}") :] for r in df.collect())
+
+    found = folders.new_folders(spark, path, None)
+    assert names(found) == ["", "/_p=1", "/q/r/s", "/x", "/x/y"]
+    spark_lists = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    assert {r.path for r in spark_lists.select("path").collect()} == {
+        r.path for r in folders.listed(spark, path).where("not is_folder").collect()
+    }
+    ledger = spark.createDataFrame(found.collect(), shapes.LEDGER)
+    assert names(folders.new_folders(spark, path, ledger)) == []
+    touch(top, "x/new/k.txt", "new/l.txt", "x/y/m.txt", "q/n.txt")
+    assert names(folders.new_folders(spark, path, ledger)) == ["/new", "/q", "/x/new"]
+    sizes = {r.path.rsplit("/", 1)[1]: r.length for r in folders.listed(spark, path).where("not is_folder").collect()}
+    assert sizes["g.txt"] == 1 and "h.txt" not in sizes
+
+
+def test_a_missing_path_cannot_be_listed(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)not exist|no such|FileNotFound"):
+        folders.new_folders(spark, str(tmp_path / "nowhere"), None).count()
+
+
+def test_folders_land_in_rounds(spark, shelf, tmp_path):
+    from tablecheck.plans import batch
+
+    for n in range(9):
+        spark.range(n).write.parquet(str(tmp_path / f"lake/day={n}"))
+    path = str(tmp_path / "lake")
+    assert batch.land_files(spark, path, "shelf.l", "shelf.ledger", folders_at_once=2) == 9
+    assert spark.table("shelf.l").count() == 36 and spark.table("shelf.ledger").count() == 9
+    assert batch.land_files(spark, path, "shelf.l", "shelf.ledger", folders_at_once=2) == 0
+
+
 def test_scratch_path_follows_the_session(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_path(spark, "x")
