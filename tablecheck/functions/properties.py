@@ -24,5 +24,7 @@ def parse_properties(text: str | Column) -> Column:
         pairs,
         lambda pair, i: F.array_position(F.reverse(names), pair[0]) == F.size(names) - i,
     )
-    entries = F.transform(last, lambda pair: F.struct(pair[0], F.get(pair, F.lit(1))))
+    repeated = F.size(F.array_distinct(names)) < F.size(names)
+    pairs = F.when(repeated, last).otherwise(pairs)
+    entries = F.transform(pairs, lambda pair: F.struct(pair[0], F.get(pair, F.lit(1))))
     return F.when(bare != "", F.map_from_entries(entries))

@@ -22,6 +22,7 @@ from tablecheck.sources.tables import (
     add_columns,
     ensure_table,
     is_foreign,
+    lay_out_columns,
     load,
     overwrite_partitions,
     quoted,
@@ -76,29 +77,35 @@ def run_layout(spark: SparkSession, database: str, dictionary: str = DICTIONARY)
 def apply_layout_all(
     spark: SparkSession, database: str, dictionary: str = DICTIONARY
 ) -> list[str]:
-    """Store every table of the database in dictionary order; returns those rewritten.
+    """Give every table of the database the dictionary's order; returns those changed.
 
-    A table that is laid out already is not rewritten; views are skipped, and so are
-    files of other formats at a location of their own.
-    Partition columns stay last, where file tables keep them.
+    Where files name their columns and types stay, only the registered columns change
+    and no file does. Other tables are rewritten, but for files of other formats at a
+    location of their own, which are skipped, as views are. A table that is laid out
+    already is left alone. Partition columns stay last, where file tables keep them, with
+    their comments.
     """
     laid = layout.Layout(
         load(spark, f"{dictionary}.column"), load(spark, f"{dictionary}.table"), database
     )
-    rewritten = []
+    changed = []
     for _, table in landing.list_tables(spark, [database]):
         if laid.is_view(table):
             continue
         name = f"{database}.{table}"
-        if is_foreign(table_detail(spark, name)):
-            continue
         now = load(spark, name)
         laid_out = laid.apply(now, table)
         partition_by, _ = table_layout(spark, name)
-        if _described(laid_out, partition_by) != _described(now, partition_by):
+        if _described(laid_out, partition_by) == _described(now, partition_by):
+            continue
+        try:
+            lay_out_columns(spark, name, laid_out.schema)
+        except ValueError:
+            if is_foreign(table_detail(spark, name)):
+                continue
             replace_table(laid_out, name)
-            rewritten.append(table)
-    return rewritten
+        changed.append(table)
+    return changed
 
 
 def configure_rules(
@@ -234,5 +241,5 @@ def land_files(
 
 def _described(df, partition_by: Sequence[str]) -> list[tuple]:
     fields = [(f.name, f.dataType.simpleString(), f.metadata.get("comment")) for f in df.schema]
-    last = [f for f in fields if f[0] in partition_by]
+    last = [f[:2] for f in fields if f[0] in partition_by]
     return [f for f in fields if f[0] not in partition_by] + last

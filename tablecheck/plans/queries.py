@@ -767,9 +767,26 @@ def land_columns(spark, sf_dir):
     )
 
 
+@query(_columns_sql(GIVEN_COLUMNS))
+def land_columns_footers(spark, sf_dir):
+    # NULLs of all columns but the nested ones come from the files' footers
+    found = landing._union(
+        [landing.land_file_columns(spark, f"{sf_dir}/{t}.parquet", "lake", t) for t in TABLES]
+    )
+    return found.select(
+        "database",
+        "table",
+        F.col("columnName").alias("column_name"),
+        F.col("ordinalPosition").cast("bigint").alias("ordinal"),
+        F.col("dataType").alias("data_type"),
+        "null_count",
+    )
+
+
 @query("\nUNION ALL ".join(
     f"SELECT 'lake' AS database, '{t}' AS \"table\", count(*) AS records, "
-    f"CAST(1 AS BIGINT) AS objects, 'parquet' AS classification, false AS is_view FROM {t}"
+    f"CAST(1 AS BIGINT) AS objects, 'parquet' AS classification, false AS is_view, "
+    f"true AS is_sized FROM {t}"
     for t in TABLES
 ))
 def land_table_stats(spark, sf_dir):
@@ -783,6 +800,48 @@ def land_table_stats(spark, sf_dir):
         F.col("objectCount").alias("objects"),
         "classification",
         "is_view",
+        (F.col("sizeKey") > F.col("recordCount")).alias("is_sized"),
+    )
+
+
+# Tables whose files hold a line of text for each row, so that their size is known.
+LINES = {
+    "orders": ("o_orderkey", "o_orderstatus"),
+    "events": ("event_id", "event_type"),
+    "customer": ("c_custkey", "c_name"),
+    "documents": ("doc_id", "lang"),
+}
+
+
+@query("\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS records, CAST(2 AS BIGINT) AS objects, "
+    f"CAST(sum(strlen(concat_ws(',', {a}, {b})) + 1) AS BIGINT) AS size, "
+    f"CAST(sum(strlen(concat_ws(',', {a}, {b})) + 1) // count(*) AS BIGINT) AS avg_size, "
+    f"'a, [b]=c' AS delimiter, 'text' AS classification FROM {t}"
+    for t, (a, b) in LINES.items()
+) + """
+    UNION ALL SELECT 'seen', 0, 0, 0, 0, '-', '-'
+    UNION ALL SELECT 'gone', 0, 0, 0, 0, '-', 'text'
+""")
+def land_catalog_facts(spark, sf_dir):
+    # each table is a file with all rows and one without; another one has lost its folder
+    lake = _database(spark, "facts")
+    for table, columns in LINES.items():
+        lines = read(spark, sf_dir, table).select(F.concat_ws(",", *columns).alias("value"))
+        name = f"{lake}.{table}"
+        spark.sql(f"CREATE TABLE {name} (value STRING) USING text TBLPROPERTIES ('delimiter' = 'a, [b]=c')")
+        for part in (lines, lines.where("false")):
+            part.coalesce(1).write.mode("append").format("text").insertInto(name)
+    spark.sql(f"CREATE TABLE {lake}.gone (value STRING) USING text LOCATION '{scratch_path(spark, 'gone')}'")
+    spark.sql(f"CREATE VIEW {lake}.seen AS SELECT 1 AS one")
+    return landing.land_database_tables(spark, [lake]).select(
+        "table",
+        F.col("recordCount").alias("records"),
+        F.col("objectCount").alias("objects"),
+        F.col("sizeKey").alias("size"),
+        F.col("avgRecordSize").alias("avg_size"),
+        text("delimiter"),
+        text("classification"),
     )
 
 
@@ -1104,6 +1163,55 @@ def apply_layout(spark, sf_dir):
 # ---------------------------------------------------------------- whole runs over catalog tables
 
 
+# Catalog tables: format, partition column, key column.
+LAID_OUT = {
+    "events": ("parquet", None, "event_id"),
+    "orders": ("orc", "o_orderpriority", "o_orderkey"),
+    "customer": ("json", None, "c_custkey"),
+    "lineitem": ("parquet", "l_returnflag", "l_orderkey"),
+    "documents": ("parquet", "lang", "doc_id"),
+}
+
+
+def _laid_out_names(table: str) -> list[str]:
+    _, last, _ = LAID_OUT[table]
+    names = sorted(name for name in GIVEN_COLUMNS[table] if name != last)
+    return [*names, *([last] if last else [])]
+
+
+@query("\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", '{','.join(_laid_out_names(t))}' AS names, count(*) AS records, "
+    f"CAST(sum({key}) AS BIGINT) AS keys, true AS same_files, true AS changed, false AS changed_again "
+    f"FROM {t}"
+    for t, (_, _, key) in LAID_OUT.items()
+))
+def layout_database(spark, sf_dir):
+    # every table is laid out by its registered columns; none of its files is touched
+    lake, dictionary = _database(spark, "lake"), _database(spark, "dictionary")
+    for table, (fmt, last, _) in LAID_OUT.items():
+        writer = read(spark, sf_dir, table).write.format(fmt)
+        (writer.partitionBy(last) if last else writer).saveAsTable(f"{lake}.{table}")
+    before = {t: sorted(load(spark, f"{lake}.{t}").inputFiles()) for t in LAID_OUT}
+    batch.run_landing(spark, [lake], dictionary)
+    changed = batch.run_layout(spark, lake, dictionary)
+    again = batch.run_layout(spark, lake, dictionary)
+    parts = []
+    for table, (_, _, key) in LAID_OUT.items():
+        rows = load(spark, f"{lake}.{table}")
+        parts.append(
+            rows.agg(
+                F.lit(table).alias("table"),
+                F.lit(",".join(rows.columns)).alias("names"),
+                F.count(F.lit(1)).alias("records"),
+                F.sum(key).cast("bigint").alias("keys"),
+                F.lit(sorted(rows.inputFiles()) == before[table]).alias("same_files"),
+                F.lit(table in changed).alias("changed"),
+                F.lit(table in again).alias("changed_again"),
+            )
+        )
+    return landing._union(parts)
+
+
 @query("""
     SELECT 'events' AS "table", event_id AS key,
            CASE WHEN length(event_type) <> 5

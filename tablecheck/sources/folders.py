@@ -1,7 +1,7 @@
 """Land files folder by folder, each folder once.
 
-Folders are listed level by level, in tasks. A folder that has landed is dropped before it
-is listed, so a run costs what is new, and not what is there.
+Folders are listed level by level, large levels in tasks. A folder that has landed is
+dropped before it is listed, so a run costs what is new, and not what is there.
 """
 
 from __future__ import annotations
@@ -19,17 +19,21 @@ from tablecheck.sources.dictionary import LEDGER
 from tablecheck.sources.scratch import stored
 from tablecheck.sources.tables import local_rows
 
-# What lies directly in a folder.
+# What lies directly in a folder below a base.
 ENTRY = T.StructType(
     [
+        T.StructField("base", T.StringType()),
         T.StructField("folder", T.StringType()),
         T.StructField("path", T.StringType()),
         T.StructField("is_folder", T.BooleanType()),
         T.StructField("length", T.LongType()),
     ]
 )
-# Folders that one task lists.
+_LEVEL = "base string, folder string"
+# Folders that one task lists, and so many that the driver lists by itself, unless they
+# hold more entries than that.
 _FOLDERS_PER_TASK = 64
+_ENTRIES_ON_DRIVER = 10_000
 _ROWS_PER_BATCH = 4096
 
 
@@ -40,36 +44,52 @@ def new_folders(spark: SparkSession, path: str, ledger: DataFrame | None) -> Dat
     return found if ledger is None else found.join(ledger, "folder", "left_anti")
 
 
-def listed(spark: SparkSession, path: str, ledger: DataFrame | None = None) -> DataFrame:
-    """Rows (folder, path, is_folder, length): what lies below ``path``.
+def listed(
+    spark: SparkSession, paths: str | Sequence[str], ledger: DataFrame | None = None
+) -> DataFrame:
+    """Rows (base, folder, path, is_folder, length): what lies below one path or several.
 
     Folders of the ledger are named, but not gone into, unless the ledger holds a folder
     below them: such a one holds folders beside its files and may have got more. A folder
     that had none when it landed is closed, with all that is ever put below it. Names that
-    file sources pass over are passed over here. Neither folders nor names come to the
-    driver, except for a store that Arrow cannot reach from a task; that one is listed
-    through Spark's own file system. A path that does not exist is an error.
+    file sources pass over are passed over here.
+
+    A level of a few folders with a few thousand entries is listed by the driver, as file
+    sources list them; larger ones are listed in tasks, and neither their folders nor their
+    names come to the driver. Only a store that Arrow cannot reach from a task is listed
+    through Spark's own file system throughout. A path that does not exist is an error.
     """
-    base, encoded = _qualified(spark, path)
+    bases = dict(_qualified(spark, p) for p in ([paths] if isinstance(paths, str) else paths))
     closed = None
     if ledger is not None:
-        closed = _closed(ledger.select("folder"), base)
-    level = local_rows(spark, [{"folder": base}], LEDGER)
-    count, levels = 1, []
+        closed = _closed(ledger.select("folder"), next(iter(bases)))
+    spread = all(_reaches(encoded) for encoded in bases.values())
+    level: DataFrame | list = [{"base": base, "folder": base} for base in bases]
+    count, parts, rows = len(level), [], []
     while count:
-        if _reaches(encoded):
-            tasks = -(-count // _FOLDERS_PER_TASK)
-            level = level.repartition(tasks) if tasks > 1 else level.coalesce(1)
-            found = level.mapInArrow(_listing(base, encoded), ENTRY)
-        else:
-            found = _driver_listing(spark, level, base)
-        found = stored(found, "listing")
-        levels.append(found)
-        level = found.where("is_folder").select(F.col("path").alias("folder"))
+        found = None
+        if isinstance(level, list):
+            found = _driver_listing(spark, level, bases, None if not spread else _ENTRIES_ON_DRIVER)
+        if found is not None:
+            rows += found
+            inner = [{"base": r[0], "folder": r[2]} for r in found if r[3]]
+            if closed is not None and inner:
+                below = spark.createDataFrame(inner, _LEVEL).join(closed, "folder", "left_anti")
+                inner = [r.asDict() for r in below.collect()]
+            level, count = inner, len(inner)
+            if spread and count > _FOLDERS_PER_TASK:
+                level = spark.createDataFrame(inner, _LEVEL)
+            continue
+        if isinstance(level, list):
+            level = spark.createDataFrame(level, _LEVEL)
+        level = level.repartition(-(-count // _FOLDERS_PER_TASK))
+        found = stored(level.mapInArrow(_listing(bases), ENTRY), "listing")
+        parts.append(found)
+        level = found.where("is_folder").select("base", F.col("path").alias("folder"))
         if closed is not None:
-            level = level.join(closed, "folder", "left_anti")
+            level = level.join(closed, "folder", "left_anti").select("base", "folder")
         count = level.count()
-    return reduce(DataFrame.unionByName, levels)
+    return reduce(DataFrame.unionByName, [spark.createDataFrame(rows, ENTRY), *parts])
 
 
 def _closed(ledger: DataFrame, base: str) -> DataFrame:
@@ -84,6 +104,17 @@ def _closed(ledger: DataFrame, base: str) -> DataFrame:
     return ledger.distinct().join(inner, "folder", "left_anti")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or a folder at the path."""
+    store, at = _store(spark, path)
+    return store.exists(at)
+
+
+def base_of(spark: SparkSession, path: str) -> str:
+    """The name by which a listing calls a path."""
+    return _qualified(spark, path)[0]
+
+
 def _qualified(spark: SparkSession, path: str) -> tuple[str, str]:
     """The path with its scheme, as Spark names files, and encoded as a URI."""
     store, at = _store(spark, path)
@@ -115,21 +146,19 @@ def _hidden(name: str) -> bool:
     return name.startswith(".") or name.endswith("._COPYING_") or (name[:1] == "_" and "=" not in name)
 
 
-def _listing(base: str, encoded: str):
+def _listing(bases: dict[str, str]):
+    """Entries of folders, listed in a task; ``bases`` maps each base to its URI."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _arrow(encoded)
-        root = root.rstrip("/")
+        stores: dict[str, tuple] = {}
         for batch in batches:
-            for folder in batch.column("folder").to_pylist():
-                inside = store.get_file_info(pafs.FileSelector(root + folder[len(base) :]))
-                rows = [
-                    (folder, f"{folder}/{x.base_name}", x.type == pafs.FileType.Directory, x.size or 0)
-                    for x in inside
-                    if not _hidden(x.base_name)
-                ]
+            for base, folder in zip(batch.column("base").to_pylist(), batch.column("folder").to_pylist()):
+                if base not in stores:
+                    stores[base] = _arrow(bases[base])
+                rows = _entries(*stores[base], base, folder)
                 for at in range(0, len(rows), _ROWS_PER_BATCH):
                     columns = zip(*rows[at : at + _ROWS_PER_BATCH])
-                    kinds = (pa.string(), pa.string(), pa.bool_(), pa.int64())
+                    kinds = (pa.string(), pa.string(), pa.string(), pa.bool_(), pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(columns, kinds)], ENTRY.names
                     )
@@ -137,16 +166,32 @@ def _listing(base: str, encoded: str):
     return run
 
 
-def _driver_listing(spark: SparkSession, level: DataFrame, base: str) -> DataFrame:
-    store, _ = _store(spark, base)
+def _entries(store: pafs.FileSystem, root: str, base: str, folder: str) -> list[tuple]:
+    inside = store.get_file_info(pafs.FileSelector(root.rstrip("/") + folder[len(base) :]))
+    return [
+        (base, folder, f"{folder}/{x.base_name}", x.type == pafs.FileType.Directory, x.size or 0)
+        for x in inside
+        if not _hidden(x.base_name)
+    ]
+
+
+def _driver_listing(
+    spark: SparkSession, level: list[dict], bases: dict[str, str], most: int | None
+) -> list[tuple] | None:
+    """Entries of a few folders; none if there are more than ``most``."""
     path = spark._jvm.org.apache.hadoop.fs.Path
+    stores = {base: _store(spark, base)[0] for base in {row["base"] for row in level}}
     rows = []
-    for row in level.toLocalIterator():
-        for status in store.listStatus(path(row["folder"])):
+    for row in level:
+        inside = stores[row["base"]].listStatusIterator(path(row["folder"]))
+        while inside.hasNext():
+            if most is not None and len(rows) >= most:
+                return None
+            status = inside.next()
             if not _hidden(status.getPath().getName()):
                 name = status.getPath().toString()
-                rows.append((row["folder"], name, status.isDirectory(), status.getLen()))
-    return spark.createDataFrame(rows, ENTRY)
+                rows.append((row["base"], row["folder"], name, status.isDirectory(), status.getLen()))
+    return rows
 
 
 def read_folders(

@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 
 from tablecheck.functions.missing import normalize_missing
 from tablecheck.functions.names import field, quote, table_id
-from tablecheck.functions.properties import parse_properties
 from tablecheck.operators.rowchange import sync
+from tablecheck.sources import folders
 from tablecheck.sources.dictionary import LANDED_COLUMNS
-from tablecheck.sources.tables import local_rows, quoted, table_detail
+from tablecheck.sources.footers import null_counts
+from tablecheck.sources.tables import local_rows, quoted, table_description
 
 # Names of the properties that file crawlers set on a table.
 PROPERTY_NAMES = {
@@ -33,6 +34,9 @@ PROPERTY_NAMES = {
     "typeData": "typeOfData",
 }
 
+# Providers that are files below a location.
+_FILE_FORMATS = ("parquet", "orc", "csv", "json", "text", "avro", "hive")
+
 _MEASURED = ("objectCount", "recordCount", "sizeKey")
 
 # Texts that count as missing in landed table facts.
@@ -47,12 +51,15 @@ def land_columns(
     partition_by: Sequence[str] = (),
     bucket_by: Sequence[str] = (),
     nullable: Mapping[str, bool] | None = None,
+    known_nulls: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """One row per column of ``df``, numbered from 1, with ids and flags.
 
-    ``measure=True`` adds ``null_count``, counted for all columns in one pass
-    over the data, because files declare every column nullable.
+    ``measure=True`` adds ``null_count``, because files declare every column nullable.
+    NULLs that ``known_nulls`` tells are taken from there; those of the other columns are
+    counted in one pass that reads these columns only.
     """
+    known = known_nulls or {}
     rows = [
         {
             "column_id": ".".join([database, table, f.name]),
@@ -66,22 +73,40 @@ def land_columns(
             "isPartitioned": f.name in partition_by,
             "isBucket": f.name in bucket_by,
             "ordinalPosition": ordinal,
+            "null_count": known.get(f.name),
         }
         for ordinal, f in enumerate(df.schema, start=1)
     ]
     if not measure:
         return local_rows(df.sparkSession, rows, LANDED_COLUMNS)
-    facts = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(LANDED_COLUMNS))
-    counted = df.agg(
-        F.count(F.lit(1)).alias("__rows"),
-        F.array(*[F.count(quote(name)) for name in df.columns]).alias("__filled"),
+    kind = T.StructType([*LANDED_COLUMNS, T.StructField("null_count", T.LongType())])
+    open_ = [name for name in df.columns if name not in known]
+    if not open_:
+        return local_rows(df.sparkSession, rows, kind)
+    counts = F.map_from_arrays(
+        F.lit(open_), F.array(*[F.count(F.lit(1)) - F.count(quote(name)) for name in open_])
     )
-    filled = F.col("__filled")[F.col("ordinalPosition") - 1]
+    counted = df.agg(counts.alias("__nulls"))
+    facts = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(kind))
     return counted.select("*", F.inline(facts)).select(
-        *LANDED_COLUMNS.names, (F.col("__rows") - filled).alias("null_count")
+        *LANDED_COLUMNS.names,
+        F.coalesce("null_count", F.try_element_at("__nulls", "columnName")).alias("null_count"),
     )
 
 
+def land_file_columns(
+    spark: SparkSession, path: str, database: str, table: str, measure: bool = True, **flags
+) -> DataFrame:
+    """Columns of the Parquet files below ``path``, as ``land_columns`` gives them.
+
+    NULLs come from the files' footers. Only columns that these don't tell are read:
+    nested ones, and those of which a chunk lacks statistics.
+    """
+    df = spark.read.parquet(path)
+    told = null_counts(spark, path, df) if measure else None
+    return land_columns(df, database, table, measure, known_nulls=told, **flags)
+
+
 def land_database_columns(
     spark: SparkSession, databases: Sequence[str], measure: bool = False
 ) -> DataFrame:
@@ -91,6 +116,13 @@ def land_database_columns(
         name = quoted(f"{database}.{table}")
         columns = spark.catalog.listColumns(name)
         df = spark.table(name)
+        told = None
+        if measure:
+            found = table_description(spark, f"{database}.{table}")
+            if found.get("provider", "").lower() == "parquet" and found.get("location"):
+                told = null_counts(spark, found["location"], df)
+                for column in found.get("partition_columns", []):
+                    told.pop(column, None)
         landed.append(
             land_columns(
                 df,
@@ -100,6 +132,7 @@ def land_database_columns(
                 partition_by=[c.name for c in columns if c.isPartition],
                 bucket_by=[c.name for c in columns if c.isBucket],
                 nullable={c.name: c.nullable for c in columns},
+                known_nulls=told,
             )
         )
     return _union(landed)
@@ -112,54 +145,75 @@ def land_tables(
     """Facts of each table: measured record count, file count and size, and properties.
 
     ``tables`` maps (database, table) to the data, to a path, or to ``None`` for
-    the catalog table of that name. Counts come from one aggregation of all tables
-    over their file names, so no data column is read and the number of shuffles
-    does not grow with the number of tables. Views have no files and land with
+    the catalog table of that name. Files of a path or a catalog table are counted and
+    sized from their listing, empty ones too; records are counted without reading any
+    column, where files keep row counts from those. Of data given as a relation, files
+    without rows are not seen. The number of shuffles does not grow with the number of
+    tables. Views, tables whose files are gone and tables that are not files land with
     zero counts.
     """
-    described, scans = [], []
+    described, records, places, scanned = [], [], [], []
     for (database, table), given in tables.items():
-        detail: dict[str, str] = {}
+        number = len(described)
+        found: dict = {}
         if given is None:
-            detail = table_detail(spark, f"{database}.{table}")
-            df = spark.table(quoted(f"{database}.{table}"))
+            found = table_description(spark, f"{database}.{table}")
+            if found.get("provider", "").lower() in _FILE_FORMATS and found.get("location"):
+                if folders.exists(spark, found["location"]):
+                    places.append((found["location"], number))
+                    records.append(spark.table(quoted(f"{database}.{table}")).select(F.lit(number).alias("number")))
         elif isinstance(given, str):
-            detail = {"Provider": "parquet", "Location": given}
-            # only the files are counted, so no schema has to be inferred
-            df = spark.read.schema(T.StructType([])).parquet(given)
+            found = {"provider": "parquet", "location": given}
+            if folders.exists(spark, given):
+                places.append((given, number))
+                # only the records are counted, so no schema has to be inferred
+                rows = spark.read.schema(T.StructType([])).parquet(given)
+                records.append(rows.select(F.lit(number).alias("number")))
         else:
-            df = given
-        view = detail.get("Type") == "VIEW"
+            scanned.append(
+                given.selectExpr(
+                    f"{number} AS number", "_metadata.file_path AS path", "_metadata.file_size AS size"
+                )
+            )
         described.append(
             {
-                "number": len(described),
+                "number": number,
                 "database": database,
                 "table": table,
-                "properties": detail.get("Table Properties"),
-                "provider": detail.get("Provider"),
-                "location": detail.get("Location"),
-                "is_view": view,
-                "description": detail.get("Comment"),
+                "known": found.get("table_properties", {}),
+                "provider": found.get("provider"),
+                "location": found.get("location"),
+                "is_view": found.get("type") == "VIEW",
+                "description": found.get("comment"),
             }
         )
-        if not view:
-            scans.append(
-                df.selectExpr(
-                    f"{len(described) - 1} AS number",
-                    "_metadata.file_path AS path",
-                    "_metadata.file_size AS size",
-                )
-            )
     facts = local_rows(
         spark,
         described,
-        "number int, database string, table string, properties string, provider string, "
+        "number int, database string, table string, known map<string,string>, provider string, "
         "location string, is_view boolean, description string",
-    ).withColumn("known", parse_properties("properties"))
-    if scans:
-        facts = facts.join(measure_files(_union(scans), ["number"]), "number", "left")
+    )
+    zero = F.lit(0).cast("long")
+    parts = []
+    if places:
+        counted = _union(records).groupBy("number").agg(F.count(F.lit(1)).alias("recordCount"))
+        bases = [{"base": folders.base_of(spark, place), "number": n} for place, n in places]
+        files = folders.listed(spark, [place for place, _ in places]).where(~F.col("is_folder"))
+        # two tables may share a location
+        sized = (
+            files.groupBy("base")
+            .agg(F.count(F.lit(1)).alias("objectCount"), F.sum("length").alias("sizeKey"))
+            .join(local_rows(spark, bases, "base string, number int"), "base")
+            .drop("base")
+        )
+        parts.append(counted.join(sized, "number", "full"))
+    if scanned:
+        parts.append(measure_files(_union(scanned), ["number"]))
+    if parts:
+        measured = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        facts = facts.join(measured, "number", "left")
     else:
-        facts = facts.selectExpr("*", *[f"0L AS {c}" for c in _MEASURED])
+        facts = facts.select("*", *[zero.alias(c) for c in _MEASURED])
     return facts.selectExpr(
         "database",
         "table",
@@ -335,7 +389,8 @@ def measure_files(scanned: DataFrame, by: Sequence[str]) -> DataFrame:
     """Record count, file count and total file size of each table.
 
     ``scanned`` holds one row per record with its file's ``path`` and ``size``.
-    Rows are summed per file before the shuffle. Files without rows are not seen.
+    Rows are summed per file before the shuffle. Files without rows are not seen: those
+    only ``land_tables`` finds, by their listing.
     """
     files = scanned.groupBy(*by, "path", "size").agg(F.count(F.lit(1)).alias("n"))
     return files.groupBy(*by).agg(

@@ -179,29 +179,75 @@ def table_layout(
     spark: SparkSession, name: str
 ) -> tuple[list[str], tuple[int, list[str]] | None]:
     """Partition columns, and bucket number and columns, of a catalog table."""
-    columns = spark.catalog.listColumns(quoted(name))
-    partition_by = [c.name for c in columns if c.isPartition]
-    bucket_columns = [c.name for c in columns if c.isBucket]
-    number = table_detail(spark, name).get("Num Buckets")
-    return partition_by, (int(number), bucket_columns) if number and bucket_columns else None
+    found = table_description(spark, name)
+    buckets = found.get("bucket_columns")
+    number = found.get("num_buckets")
+    return found.get("partition_columns", []), (int(number), buckets) if number and buckets else None
+
+
+def table_description(spark: SparkSession, name: str) -> dict:
+    """What the catalog says of a table, as it is; no text is split."""
+    return json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)} AS JSON").first()[0])
+
+
+# Labels of a table's details and their names in the catalog's description.
+_LABELS = {
+    "Type": "type",
+    "Provider": "provider",
+    "Location": "location",
+    "Comment": "comment",
+    "Num Buckets": "num_buckets",
+}
 
 
 def table_detail(spark: SparkSession, name: str) -> dict[str, str]:
-    """The detail section of ``DESCRIBE EXTENDED`` by label."""
-    detail: dict[str, str] = {}
-    inside = False
-    for row in spark.sql(f"DESCRIBE EXTENDED {quoted(name)}").collect():
-        if row["col_name"].startswith("# Detailed Table Information"):
-            inside = True
-        elif inside and row["col_name"]:
-            detail[row["col_name"]] = row["data_type"]
-    return detail
+    """Type, provider, location, comment and bucket number of a table, where it has them."""
+    found = table_description(spark, name)
+    return {label: str(found[key]) for label, key in _LABELS.items() if found.get(key) is not None}
 
 
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     """Table properties the user set."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
-    return {r["key"]: r["value"] for r in rows}
+    return table_description(spark, name).get("table_properties", {})
+
+
+# Formats whose files name their columns.
+_BY_NAME = ("parquet", "orc", "json", "avro")
+
+
+def lay_out_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """Give a table's columns this order and these comments, without touching its files.
+
+    The table stays what it is, with its partitions, buckets and properties; only its
+    registered columns change. Files of these formats name their columns, so values keep
+    their column. A column left out is no longer shown, though files still hold it.
+    Partition columns stay last and keep their comments. Formats that are read by position,
+    columns the table lacks and other types are errors: those need a rewrite.
+    """
+    found = table_description(spark, name)
+    if found.get("provider", "").lower() not in _BY_NAME:
+        raise ValueError(f"{name}: columns of {found.get('provider')} files go by position")
+    now = {f.name: f for f in spark.table(quoted(name)).schema}
+    other = [f.name for f in schema if f.name not in now or f.dataType != now[f.name].dataType]
+    last = found.get("partition_columns", [])
+    lost = [c for c in [*last, *found.get("bucket_columns", [])] if c not in schema.names]
+    if other or lost:
+        raise ValueError(f"{name}: a rewrite is needed for {', '.join(other + lost)}")
+    data = T.StructType([
+        T.StructField(f.name, f.dataType, now[f.name].nullable, _commented(now[f.name].metadata, f.metadata))
+        for f in schema
+        if f.name not in last
+    ])
+    jvm = spark._jvm.org.apache.spark.sql.types.DataType
+    catalog = spark._jsparkSession.sharedState().externalCatalog()
+    catalog.alterTableDataSchema(found["namespace"][-1], found["table_name"], jvm.fromJson(data.json()))
+    spark.catalog.refreshTable(quoted(name))
+
+
+def _commented(kept: Mapping, given: Mapping) -> dict:
+    """Metadata of a column with the comment that is given, or none."""
+    rest = {k: v for k, v in kept.items() if k != "comment"}
+    return rest | ({"comment": given["comment"]} if given.get("comment") else {})
 
 
 def _beside(name: str) -> tuple[str, str, str]:

@@ -2,6 +2,8 @@
 
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 from tablecheck.functions import mark_missing, normalize_missing, parse_properties, split_key
 from tablecheck.functions.names import column_id, table_id
 from tablecheck.sources import dictionary as shapes
-from tablecheck.sources import folders, landing, tables
+from tablecheck.sources import folders, footers, landing, tables
 from tablecheck.sources.scratch import scratch_path
 
 
@@ -159,7 +161,8 @@ def test_land_tables_measures_files(spark, tmp_path):
     empty = str(tmp_path / "e")
     spark.range(0).write.parquet(empty)
     row = landing.land_tables(spark, {("lake", "e"): empty}).first()
-    assert (row.recordCount, row.sizeKey, row.avgRecordSize) == (0, 0, 0)
+    sizes = [os.path.getsize(os.path.join(empty, f)) for f in os.listdir(empty) if f.endswith(".parquet")]
+    assert (row.recordCount, row.objectCount, row.sizeKey, row.avgRecordSize) == (0, 1, sum(sizes), 0)
 
 
 def test_land_catalog(spark, db):
@@ -192,6 +195,109 @@ def test_land_catalog(spark, db):
     assert "CREATE VIEW" in staged["v"].create_statement
 
 
+def test_null_counts_of_footers_are_those_of_a_scan(spark, tmp_path):
+    path = str(tmp_path / "wide x")
+    rows = spark.range(500).selectExpr(
+        "id", "if(id % 3 = 0, null, id) AS a", "if(id % 4 = 0, null, array(id, null)) AS list",
+        "if(id % 5 = 0, null, named_struct('p', if(id % 2 = 0, null, id), 'q', id)) AS st",
+        "if(id % 7 = 0, null, cast(id AS timestamp)) AS ts", "cast(id AS decimal(30, 2)) AS de",
+        "if(id % 9 = 0, null, 'x') AS `a.b`", "if(id % 6 = 0, null, id % 2) AS part", "'y' AS later",
+    )
+    rows.drop("later").repartition(4).write.partitionBy("part").parquet(path)
+    rows.write.mode("append").partitionBy("part").parquet(path)
+    spark.range(0).write.mode("append").parquet(f"{path}/part=0")
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    told = footers.null_counts(spark, path, df)
+    want = df.agg(*[F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(c) for c in df.columns]).first().asDict()
+    assert set(told) == {"id", "a", "ts", "de", "a.b", "later"} and told["later"] == 500
+    assert told == {c: want[c] for c in told}
+    landed = landing.land_columns(df, "d", "t", known_nulls=told)
+    assert {r.columnName: r.null_count for r in landed.collect()} == want
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<list:array<bigint>,st:struct" in plan
+
+
+def test_flat_tables_are_measured_without_a_scan(spark, tmp_path):
+    path = str(tmp_path / "flat")
+    spark.range(10).selectExpr("id", "nullif(id, 3) AS b").write.parquet(path)
+    landed = landing.land_file_columns(spark, path, "d", "t")
+    assert {r.columnName: r.null_count for r in landed.collect()} == {"id": 0, "b": 1}
+    assert "Scan parquet" not in landed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chunks_without_statistics_are_scanned(spark, tmp_path):
+    path = tmp_path / "bare"
+    path.mkdir()
+    pq.write_table(pa.table({"a": [1, None, 3], "b": [None, None, 1]}), path / "x.parquet", write_statistics=["a"])
+    df = spark.read.parquet(str(path))
+    assert footers.null_counts(spark, str(path), df) == {"a": 1}
+    landed = landing.land_file_columns(spark, str(path), "d", "t")
+    assert {r.columnName: r.null_count for r in landed.collect()} == {"a": 1, "b": 2}
+    assert "ReadSchema: struct<b:bigint>" in landed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stores_out_of_reach_are_scanned(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(footers.folders, "_reaches", lambda encoded: False)
+    spark.range(4).write.parquet(str(tmp_path / "x"))
+    landed = landing.land_file_columns(spark, str(tmp_path / "x"), "d", "t")
+    assert [r.null_count for r in landed.collect()] == [0]
+
+
+def test_empty_files_are_counted(spark, db):
+    name = f"{db}.t"
+    spark.range(5).coalesce(1).write.saveAsTable(tables.quoted(name))
+    spark.range(0).coalesce(1).write.mode("append").saveAsTable(tables.quoted(name))
+    facts = landing.land_database_tables(spark, [db])
+    row = facts.first()
+    assert (row.recordCount, row.objectCount) == (5, 2) and row.sizeKey > 0
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan and "file_path" not in plan
+
+
+def test_tables_that_are_not_files_land_with_zero(spark, db, monkeypatch):
+    spark.range(3).write.saveAsTable(f"{db}.t")
+    known = landing.table_description
+    monkeypatch.setattr(landing, "table_description", lambda s, n: known(s, n) | {"provider": "jdbc"})
+    row = landing.land_database_tables(spark, [db]).first()
+    assert (row.recordCount, row.objectCount, row.sizeKey, row.classification) == (0, 0, 0, "jdbc")
+
+
+def test_properties_are_exact(spark, db):
+    odd = {"a": "x, [y]=z", "delimiter": ",", "b,c": "]", "q": "it's \\ "}
+    tables.ensure_table(spark, f"{db}.t", T.StructType.fromDDL("id bigint"), properties=odd)
+    assert tables.table_properties(spark, f"{db}.t") == odd
+    assert landing.land_database_tables(spark, [db]).first().delimiter == ","
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json"])
+def test_columns_are_laid_out_without_touching_files(spark, db, fmt, tmp_path):
+    name = f"{db}.t"
+    rows = spark.range(6).selectExpr("id AS b", "'x' AS a", "id * 2 AS c", "id % 2 AS p")
+    rows.write.format(fmt).partitionBy("p").option("path", str(tmp_path / "own")).saveAsTable(name)
+    tables._set_properties(spark, name, {"k": "v"})
+    before = sorted(spark.table(name).inputFiles())
+    order = T.StructType.fromDDL("a string COMMENT 'it''s', b bigint, c bigint, p bigint")
+    tables.lay_out_columns(spark, name, order)
+    now = spark.table(name)
+    assert now.columns == ["a", "b", "c", "p"] and now.schema["a"].metadata["comment"] == "it's"
+    assert sorted(now.inputFiles()) == before and tables.table_properties(spark, name)["k"] == "v"
+    assert sorted(map(tuple, now.collect())) == [("x", i, 2 * i, i % 2) for i in range(6)]
+    tables.lay_out_columns(spark, name, T.StructType.fromDDL("c bigint, b bigint, p bigint"))
+    assert spark.table(name).columns == ["c", "b", "p"]
+    spark.range(1).selectExpr("5L AS c", "7L AS b", "1L AS p").write.insertInto(name)
+    assert (7, 5) in {(r.b, r.c) for r in spark.table(name).collect()}
+    for lost in ("c bigint, b bigint", "c string, b bigint, p bigint", "d bigint, p bigint"):
+        with pytest.raises(ValueError, match="rewrite"):
+            tables.lay_out_columns(spark, name, T.StructType.fromDDL(lost))
+
+
+@pytest.mark.parametrize("fmt", ["csv", "text"])
+def test_formats_by_position_cannot_be_laid_out(spark, db, fmt):
+    spark.range(2).selectExpr("'x' AS a").write.format(fmt).saveAsTable(f"{db}.t")
+    with pytest.raises(ValueError, match="position"):
+        tables.lay_out_columns(spark, f"{db}.t", spark.table(f"{db}.t").schema)
+
+
 def facts_row(spark, **given):
     names = (
         "database table updateCrawler areColumnsQuoted avgRecordSize classification "
