@@ -30,6 +30,7 @@ NOT_UNIQUE = "key_not_unique"
 _WIDE, _NARROW = 63, 16
 _MASK = "__mask_"
 _COUNT = "__key_count"
+_DIGEST = ("__digest_1", "__digest_2")
 
 # Up to so many rules the names are built by one conditional per rule, inside
 # generated code. More would make a method too large for the JVM to compile, so
@@ -78,16 +79,21 @@ def with_tags(
 ) -> DataFrame:
     """The table itself with a tag column.
 
-    Keys are counted first, with partial sums before the shuffle, and only
-    repeated keys are joined back. A window over the key would put all rows of a
-    frequent key into one task. For a large table the repeated keys are stored
-    first: where they turn out few enough, Spark broadcasts them and the table
-    itself is not shuffled.
+    Keys are counted by a 128-bit digest, so no key is shuffled for that, however long it
+    is; keys themselves are compared only where a digest repeats. The repeated keys are
+    stored in the shared folder: where they turn out few enough, by bytes, Spark broadcasts
+    them and the table itself is not shuffled. A window over the key would put all rows of
+    a frequent key into one task.
     """
     columns = [field(k) for k in keys]
-    repeated = key_counts(df, keys).where(F.col("key_count") > 1)
-    if split_hot is None and skew.is_large(df):
-        repeated = stored(repeated.select(*columns), "repeated-keys")
+    digest = [F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)]
+    marked = df.where(~any_null(columns)).select(
+        *columns, *[d.alias(n) for d, n in zip(digest, _DIGEST)]
+    )
+    twice = marked.groupBy(*_DIGEST).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > 1)
+    open_ = marked.join(twice.drop(_COUNT), list(_DIGEST), "left_semi")
+    repeated = open_.groupBy(*columns).agg(F.count(F.lit(1)).alias(_COUNT)).where(F.col(_COUNT) > 1)
+    repeated = stored(repeated.select(*columns), "repeated-keys")
     seen = lookup(df, repeated, [(k, k) for k in keys], _COUNT, split_hot=split_hot)
     seen = _marked(seen, rules)
     tags = F.when(any_null(columns) | field(_COUNT), _not_unique()).otherwise(
@@ -114,9 +120,9 @@ def seed_quality(
     Keys compare null-safe, so seeding again adds nothing. Every fact row of a
     new key is added, as many times as the key occurs.
     """
-    if split_hot is None and not skew.is_large(fact, quality):
+    if split_hot is None or split_hot is False:
         rows = fact.select(*[field(k) for k in keys])
-        new = anti(rows, quality, [(k, k) for k in keys], null_safe=True, split_hot=False)
+        new = anti(rows, quality, [(k, k) for k in keys], null_safe=True)
         return quality.unionByName(_untested(new, quality, keys))
     return reduce(DataFrame.unionByName, [quality, *_unseen(fact, quality, keys, split_hot)])
 

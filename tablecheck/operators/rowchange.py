@@ -17,7 +17,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tablecheck.functions.names import any_null, field
 from tablecheck.operators import skew
@@ -25,7 +24,6 @@ from tablecheck.operators import skew
 Keys = Sequence[str] | Mapping[str, str]
 Values = Mapping[str, "Column | str"]
 
-_IN_T = "__in_target"
 _IN_S = "__in_source"
 _COPIES = "__source_copies"
 _SCOPED = "__in_scope"
@@ -53,8 +51,8 @@ def merge(
     Two source rows for one updated target row are an error at run time;
     ``source_unique=True`` skips that check where the caller knows the keys to be
     unique. A source that Spark can broadcast leaves a large target unshuffled.
-    ``split_hot`` forces or forbids the split of frequent keys, which is
-    otherwise decided by size (see ``skew``). Looking for them starts Spark jobs.
+    No Spark job starts before the result is used, unless ``split_hot=True`` asks to look
+    for frequent keys (see ``skew``).
     """
     pairs = _pairs(on)
     inserts = _inserts(target, source, not_matched)
@@ -135,9 +133,8 @@ def sync(
     gone = ~any_null([field(t, "t") for t, _ in pairs])
     known = target
     found = split_hot
-    small = split_hot is None and skew.is_large(target) and skew.is_few(source)
-    if not small and split_hot != skew.ALL_HOT:
-        found = skew.find_hot(target, source, pairs, split_hot, both=not source_unique)
+    if split_hot is True:
+        found = skew.find_hot(target, source, pairs, True, both=not source_unique)
     if scope is not None:
         known = _in_scope(target, source, scope, split_hot)
         gone = gone & field(_SCOPED, "t")
@@ -163,17 +160,10 @@ def _in_scope(
 ) -> DataFrame:
     """Mark the rows whose scope the source holds.
 
-    Scopes are few as a rule; those that are, by count, are broadcast, and the rows
-    are shuffled for the keys alone.
+    Scopes are few as a rule. Where Spark cannot tell, the rows are shuffled by scope, and
+    adaptive execution splits the large partitions that few scopes make.
     """
-    pairs = _pairs(scope)
-    scopes = source.select(*[field(s) for _, s in pairs]).distinct()
-    scopes = scopes.where(~any_null([field(s) for _, s in pairs]))
-    if split_hot is None and skew.is_few(scopes):
-        marked = F.broadcast(scopes.withColumn(_SCOPED, F.lit(True))).alias("s")
-        joined = rows.alias("t").join(marked, _condition(pairs), "left")
-        return joined.select("t.*", F.coalesce(field(_SCOPED, "s"), F.lit(False)).alias(_SCOPED))
-    return lookup(rows, source, pairs, _SCOPED, split_hot=_other_keys(split_hot))
+    return lookup(rows, source, _pairs(scope), _SCOPED, split_hot=_other_keys(split_hot))
 
 
 def lookup(
@@ -192,10 +182,13 @@ def lookup(
     parts = []
     for a, b, hot in skew.split(left, keys, on, split_hot, both=False):
         b = b.select("*", F.lit(True).alias(flag))
-        # unique keys, so no more rows than frequent keys
-        b = F.broadcast(b) if hot else b
-        joined = a.alias("t").join(b.alias("s"), _condition(on), "left")
-        parts.append(joined.select("t.*", F.coalesce(field(flag, "s"), F.lit(False)).alias(flag)))
+        if hot:  # unique keys, so no more rows than frequent keys
+            joined = a.alias("t").join(F.broadcast(b).alias("s"), _condition(on), "left")
+        else:
+            t, s, same = skew.spread(a, b, on)
+            joined = t.join(s, same & _condition(on), "left")
+        columns = [field(c, "t") for c in left.columns]
+        parts.append(joined.select(*columns, F.coalesce(field(flag, "s"), F.lit(False)).alias(flag)))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -213,14 +206,17 @@ def anti(
     key there do not pile up in one task.
     """
     keys = right.select(*[field(r) for _, r in on]).distinct()
+    if not null_safe:
+        keys = keys.where(~any_null([field(r) for _, r in on]))
     condition = _condition(on, null_safe)
     parts = []
     for a, b, hot in skew.split(left, keys, on, split_hot, both=False):
-        if hot:
-            if not null_safe:
-                b = b.where(~any_null([field(r) for _, r in on]))
-            b = F.broadcast(b)  # unique keys, so no more rows than frequent keys
-        parts.append(a.alias("t").join(b.alias("s"), condition, "left_anti"))
+        if hot:  # unique keys, so no more rows than frequent keys
+            rest = a.alias("t").join(F.broadcast(b).alias("s"), condition, "left_anti")
+        else:
+            t, s, same = skew.spread(a, b, on)
+            rest = t.join(s, same & condition, "left_anti")
+        parts.append(rest.select(*[field(c, "t") for c in left.columns]))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -236,83 +232,73 @@ def _change(
     kept: list[Column] | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Join target and source and build each output row from the side it came from."""
+    """Join target and source and build each output row from the side it came from.
+
+    Known rows come from a left join with a source that holds every key once, in which
+    Spark can split the partitions of the target; new ones are the source rows whose key
+    the target lacks. Of the target's keys, only those the source holds are looked at for
+    that: a source that Spark broadcasts finds them without a shuffle of the target.
+    """
     schema = schema or target.schema
     names = [f.name for f in schema]
     kept = kept or [field(n, "t") for n in names]
     condition = _condition(pairs)
-    source_keys = [field(s) for _, s in pairs]
+    source_keys, target_keys = [field(s) for _, s in pairs], [field(a) for a, _ in pairs]
 
-    def rows(t: DataFrame, s: DataFrame, how: str) -> DataFrame:
-        t = t.withColumn(_IN_T, F.lit(True)).alias("t")
-        s = s.withColumn(_IN_S, F.lit(True)).alias("s")
-        joined = t.join(s, condition, how)
+    def rows(t: DataFrame, s: DataFrame, same: Column) -> DataFrame:
+        joined = t.join(s, same, "left")
         if guard:
             joined = joined.where(_one_source_row())
-        out = []
-        for i, name in enumerate(names):
-            value = F.when(field(_IN_S, "s"), updates[i]).otherwise(kept[i])
-            if how == "full_outer":
-                value = F.when(field(_IN_T, "t"), value).otherwise(inserts[i])
-            out.append(value.alias(name))
-        return joined.select(*out)
-
-    def ordinary(t: DataFrame, s: DataFrame) -> DataFrame:
-        if guard:
-            # same hash partitioning and order as the join, so no exchange of its own
-            s = s.withColumn(_COPIES, F.count(F.lit(1)).over(Window.partitionBy(*source_keys)))
-        return rows(t, s, "left" if inserts is None else "full_outer")
-
-    def broadcast_source(t: DataFrame, s: DataFrame, keys: DataFrame) -> DataFrame:
-        """The change without a shuffle of the target; ``keys`` are its own, distinct."""
-        keys = F.broadcast(keys).alias("t")
-        # At most one source row per key may match, and the guard stops the run on
-        # the second one, so this side has no more rows than there are such keys.
-        matching = s.alias("s").join(keys, condition, "left_semi")
-        if guard:
-            copies = matching.groupBy(*source_keys).agg(F.count(F.lit(1)).alias(_COPIES))
-            same = [field(b, "s") == field(b, "c") for _, b in pairs]
-            matching = matching.alias("s").join(
-                F.broadcast(copies).alias("c"), reduce(lambda a, b: a & b, same)
-            )
-            matching = matching.select("s.*", field(_COPIES, "c"))
-            matching = matching.where(_one_source_row(always=True))
-        done = rows(t, F.broadcast(matching), "left")
+        found = field(_IN_S, "s")
+        return joined.select(
+            *[F.when(found, updates[i]).otherwise(kept[i]).alias(n) for i, n in enumerate(names)]
+        )
+
+    def change(t: DataFrame, s: DataFrame, hot: bool) -> DataFrame:
+        keys = t.select(*target_keys).distinct().where(~any_null(target_keys))
+        asked = s.select(*source_keys).alias("s")
+        if hot:  # distinct keys of the target, no more than there are frequent ones
+            keys = F.broadcast(keys)
+            # At most one source row per key may match, and the guard stops the run on
+            # the second one, so this side has no more rows than there are such keys.
+            s_known = s.alias("s").join(keys.alias("t"), condition, "left_semi")
+            one = F.broadcast(_unique(s_known, source_keys, guard)).alias("s")
+            done = rows(t.alias("t"), one, condition)
+        else:
+            left, one, same = skew.spread(t, _unique(s, source_keys, guard), pairs)
+            done = rows(left, one, same & condition)
+            keys = keys.alias("t").join(asked, condition, "left_semi")
         if inserts is None:
             return done
-        new = s.alias("s").join(keys, condition, "left_anti")
+        flipped = [(b, a) for a, b in pairs]
+        new = anti(s, keys, flipped, split_hot=skew.ALL_HOT if hot else None)
         return done.unionByName(new.alias("s").select(*inserts))
 
-    target_keys = [field(a) for a, _ in pairs]
-
-    def change(t: DataFrame, s: DataFrame, hot: bool) -> DataFrame:
-        if not hot:
-            return ordinary(t, s)
-        keys = t.select(*target_keys).distinct()
-        return broadcast_source(t, s, keys.where(~any_null(target_keys)))
-
-    if inserts is not None and split_hot is None:
-        if skew.is_large(target) and skew.is_few(source):
-            # a small source: find its keys in the target, leave the target in place
-            keys = target.select(*target_keys).alias("t")
-            known = source.select(*source_keys).distinct()
-            keys = keys.join(F.broadcast(known).alias("s"), condition, "left_semi").distinct()
-            return broadcast_source(target, source, keys)
-    parts = skew.split(
-        target, source, pairs, split_hot, both=guard, keeps_left=inserts is None
-    )
+    parts = skew.split(target, source, pairs, split_hot, both=guard)
     return reduce(DataFrame.unionByName, [change(*part) for part in parts])
 
 
-def _one_source_row(always: bool = False) -> Column:
+def _unique(source: DataFrame, keys: list[Column], guard: bool) -> DataFrame:
+    """The source's rows that can match, marked; with ``guard`` one for each key, and how many.
+
+    The rows of a key shrink to one for each task before they are shuffled.
+    """
+    rows = source.where(~any_null(keys))
+    if guard:
+        named = [key.alias(f"__key_{i}") for i, key in enumerate(keys)]
+        one = F.first(F.struct(*[field(c) for c in source.columns])).alias("__row")
+        counted = rows.groupBy(*named).agg(one, F.count(F.lit(1)).alias(_COPIES))
+        rows = counted.select("__row.*", _COPIES)
+    return rows.withColumn(_IN_S, F.lit(True))
+
+
+def _one_source_row() -> Column:
     """Filter condition that stops the run on a second match of a target row.
 
     It is a filter and not a projection, because a projected check is pruned
     away under ``count()``.
     """
-    many = F.col(_COPIES) > 1
-    if not always:
-        many = many & field(_IN_T, "t") & field(_IN_S, "s")
+    many = field(_COPIES, "s") > 1
     return F.when(many, F.raise_error(F.lit(_MANY)).cast("boolean")).otherwise(F.lit(True))
 
 
@@ -333,7 +319,7 @@ def _pairs(on: Keys) -> list[tuple[str, str]]:
 
 
 def _other_keys(split_hot: skew.SplitHot) -> skew.SplitHot:
-    """The option for other columns: hashes found for the key do not apply to them."""
+    """The option for other columns: keys found for the key do not apply to them."""
     return split_hot if isinstance(split_hot, bool) else None
 
 

@@ -1,19 +1,21 @@
-"""Find the keys that would overload one shuffle task.
-
-A join of two large sides sends all rows of a key to one task. The row-change
-operators therefore split off the keys that hold more than an average task's
-share and join those against the few matching rows of the other side, which fit
-in a broadcast: no more keys than there are shuffle tasks can be that frequent.
-
-Detection reads the key columns only. It runs when a side has more than
-``LARGE_ROWS`` rows, counted and not estimated: a frequent key compresses best, so
-the size of files says nothing about it. It does not run where the right side has
-``FEW_ROWS`` rows at most, because those are broadcast and nothing is shuffled.
+"""Keep a key that holds very many rows from overloading one shuffle task.
+
+By default nothing is looked for beforehand. Joins carry a hash of the key beside the key,
+so that the side with unique keys, which comes out of an aggregation by the key, is
+exchanged once more: then both inputs of the join are plain shuffles, and Spark's adaptive
+execution can split a partition of the other side, whatever key has filled it.
+
+Where frequent keys are known, or worth a pass to find, operators take them as a value:
+``measure_keys`` reads the key columns and returns a ``FrequentKeys``, to be used by any
+number of operators on the same key. Those keys are joined against the few matching rows of
+the other side, which fit in a broadcast: no more keys than there are shuffle tasks can
+hold more than an average task's share each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,15 +23,38 @@ from pyspark.sql import types as T
 
 from tablecheck.functions.names import field
 
-# Whether to split off frequent keys: decide by size, yes, no, or these hashes.
-# ALL_HOT says that the sides hold frequent keys only.
-SplitHot = bool | str | Collection[int] | None
+
+@dataclass(frozen=True)
+class FrequentKeys:
+    """Hashes of keys that hold more than an average shuffle task's rows, and their rows."""
+
+    total: int
+    counts: Mapping[int, int]
+
+    def __or__(self, other: FrequentKeys) -> FrequentKeys:
+        """Those of two sides, with the larger count of either."""
+        both = {
+            h: max(self.counts.get(h, 0), other.counts.get(h, 0)) for h in {*self.counts, *other.counts}
+        }
+        return FrequentKeys(max(self.total, other.total), both)
+
+
+# Frequent keys to split off: none beforehand (None, False), those that a pass finds (True),
+# those measured, or given by hash. ALL_HOT says that the sides hold frequent keys only.
+SplitHot = bool | str | FrequentKeys | Collection[int] | None
 ALL_HOT = "all"
 
-# A side of more rows may hold a key that overloads a task.
-LARGE_ROWS = 1_000_000
-# A side of so many rows is broadcast.
-FEW_ROWS = 100_000
+_HASH = "__key_hash"
+
+
+def spread(
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides as ``t`` and ``s`` with the hash of their key, and its equality."""
+    types = key_types(left, right, on)
+    t = left.withColumn(_HASH, key_hash([a for a, _ in on], types)).alias("t")
+    s = right.withColumn(_HASH, key_hash([b for _, b in on], types)).alias("s")
+    return t, s, field(_HASH, "t") == field(_HASH, "s")
 
 
 def key_types(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> list[T.DataType]:
@@ -49,6 +74,33 @@ def key_hash(names: Sequence[str], types: Sequence[T.DataType]) -> Column:
     return F.xxhash64(*parts)
 
 
+def measure_keys(df: DataFrame, keys: Sequence[str]) -> FrequentKeys:
+    """The frequent keys of a relation, exactly counted.
+
+    Two passes over the key columns, without a shuffle of keys: frequent-item counters
+    give a superset of bounded size, an exact count then confirms it.
+    """
+    return _measured(df, key_hash(keys, [df.schema[k].dataType for k in keys]))
+
+
+def _measured(df: DataFrame, key: Column) -> FrequentKeys:
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = max(tasks, 2)
+    keys = df.select(key.alias("h"))
+    candidates = keys.freqItems(["h"], 1.0 / limit).first()[0]
+    if not candidates:
+        return FrequentKeys(0, {})
+    counted = keys.groupBy(F.when(F.col("h").isin(candidates), F.col("h")).alias("h")).count().collect()
+    total = sum(row["count"] for row in counted)
+    frequent = {r["h"]: r["count"] for r in counted if r["h"] is not None and r["count"] * limit > total}
+    return FrequentKeys(total, frequent)
+
+
+def hot_hashes(df: DataFrame, key: Column) -> list[int]:
+    """Hashes of the keys holding more than an average shuffle task's rows."""
+    return sorted(_measured(df, key).counts)
+
+
 def find_hot(
     left: DataFrame,
     right: DataFrame,
@@ -57,12 +109,12 @@ def find_hot(
     both: bool,
 ) -> list[int]:
     """Hashes of the frequent keys of the left side or, with ``both``, of either side."""
-    if split_hot is None:
-        split_hot = is_large(left, right)
-    if not isinstance(split_hot, bool):
-        return sorted(split_hot)
-    if not split_hot:
+    if isinstance(split_hot, FrequentKeys):
+        return sorted(split_hot.counts)
+    if split_hot is None or split_hot is False:
         return []
+    if split_hot is not True:
+        return sorted(split_hot)
     types = key_types(left, right, on)
     found = set(hot_hashes(left, key_hash([a for a, _ in on], types)))
     if both:
@@ -70,41 +122,19 @@ def find_hot(
     return sorted(found)
 
 
-def hot_hashes(df: DataFrame, key: Column) -> list[int]:
-    """Hashes of the keys holding more than an average shuffle task's rows.
-
-    Two passes over the key columns, without a shuffle of keys: frequent-item
-    counters give a superset of bounded size, an exact count then confirms it.
-    """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(tasks, 2)
-    keys = df.select(key.alias("h"))
-    candidates = keys.freqItems(["h"], 1.0 / limit).first()[0]
-    if not candidates:
-        return []
-    counted = keys.groupBy(F.when(F.col("h").isin(candidates), F.col("h")).alias("h")).count().collect()
-    total = sum(row["count"] for row in counted)
-    return sorted(r["h"] for r in counted if r["h"] is not None and r["count"] * limit > total)
-
-
 def split(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[tuple[str, str]],
     split_hot: SplitHot,
     both: bool,
-    keeps_left: bool = True,
 ) -> list[tuple[DataFrame, DataFrame, bool]]:
     """Parts of the two sides that hold the same keys, each marked frequent or not.
 
-    ``keeps_left`` says that the join can broadcast its right side: it adds no
-    rows that only the right side has.
     ``both`` says that the right side may repeat keys too.
     """
     if split_hot == ALL_HOT:
         return [(left, right, True)]
-    if split_hot is None and keeps_left and is_few(right):
-        return [(left, right, False)]
     found = find_hot(left, right, on, split_hot, both)
     if not found:
         return [(left, right, False)]
@@ -115,13 +145,3 @@ def split(
         (left.where(~lhot), right.where(~rhot), False),
         (left.where(lhot), right.where(rhot), True),
     ]
-
-
-def is_large(*sides: DataFrame) -> bool:
-    """True when a side has more rows than any key of it could hold without harm."""
-    return any(df.select(F.lit(1)).count() > LARGE_ROWS for df in sides)
-
-
-def is_few(df: DataFrame) -> bool:
-    """True when the relation has few enough rows to be broadcast."""
-    return df.select(F.lit(1)).count() <= FEW_ROWS

@@ -216,7 +216,7 @@ HOT_RULES = [rules.Rule("priority.is_not_length_5", "o_orderpriority", 5)]
 """)
 def with_tags_hot_key(spark, sf_dir):
     fact = hot_orders(spark, sf_dir)
-    tagged = quality.with_tags(fact, HOT_RULES, ["id"], split_hot=True)
+    tagged = quality.with_tags(fact, HOT_RULES, ["id"])
     return tagged.select(text("id"), "o_orderpriority", "o_totalprice", tags_text())
 
 
@@ -268,7 +268,7 @@ def seed_quality_hot_key(spark, sf_dir):
     known = read(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("id"), F.array(F.lit("old")).alias(quality.TAG)
     )
-    seeded = quality.seed_quality(hot_orders(spark, sf_dir), known, ["id"], split_hot=True)
+    seeded = quality.seed_quality(hot_orders(spark, sf_dir), known, ["id"])
     return (
         seeded.select(text("id"), tags_text())
         .groupBy("id", "tags")
@@ -317,7 +317,7 @@ def apply_tags_hot_key(spark, sf_dir):
         "id", "o_totalprice", F.lit(None).cast("array<string>").alias(quality.TAG)
     )
     tags = quality.tag_keys(fact, HOT_RULES, ["id"])
-    done = quality.apply_tags(known, tags, ["id"], split_hot=True)
+    done = quality.apply_tags(known, tags, ["id"])
     return done.select(text("id"), "o_totalprice", tags_text())
 
 
@@ -453,7 +453,6 @@ def merge_upsert_hot_keys(spark, sf_dir):
         ["id"],
         matched={"quantity": "price"},
         not_matched={"id": "id", "quantity": "price"},
-        split_hot=True,
     )
     return (
         merged.select(text("id"), "quantity")
@@ -625,7 +624,7 @@ def sync_hot_key(spark, sf_dir):
         F.lit(False).alias("is_deleted"),
     )
     source = read(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 2).alias("id"))
-    done = rowchange.sync(target, source.distinct(), ["id"], matched={}, split_hot=True)
+    done = rowchange.sync(target, source.distinct(), ["id"], matched={})
     return done.select(
         text("id"), text("status"), F.coalesce("price", F.lit(0.0)).alias("price"), "is_deleted"
     )

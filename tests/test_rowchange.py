@@ -1,11 +1,15 @@
 """Merge family: NULL keys, copies on either side, scope, split of frequent keys."""
 
+import contextlib
+import uuid
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tablecheck.operators import rowchange, skew
+from tablecheck.operators import quality, rowchange, skew
+from tablecheck.operators.rules import Rule
 
 T_SCHEMA = "k bigint, v string, n int"
 S_SCHEMA = "k bigint, v string"
@@ -241,17 +245,82 @@ def test_hot_branch_is_broadcast_and_cold_branch_shuffled(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_rows_decide_on_the_split(spark, tmp_path):
-    small = spark.range(10)
-    assert not skew.is_large(small, small) and skew.is_few(small)
-    path = str(tmp_path / "one-key")
-    spark.range(30_000_000).selectExpr("7L AS k").write.parquet(path)
-    tiny_file = spark.read.parquet(path)
-    assert skew.is_large(tiny_file) and not skew.is_few(tiny_file)
-    other = spark.range(200_000).selectExpr("id AS k")
-    parts = skew.split(tiny_file, other, [("k", "k")], None, both=False)
-    assert [hot for _, _, hot in parts] == [False, True]
-    assert parts[0][0].count() == 0 and parts[1][1].count() == 1
+def test_measured_keys_are_passed_on(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    spark.range(30_000).selectExpr("IF(id % 3 = 0, -1, id) AS k", "id AS v").write.parquet(path)
+    t = spark.read.parquet(path)
+    found = skew.measure_keys(t, ["k"])
+    assert found.total == 30_000 and list(found.counts.values()) == [10_000]
+    other = skew.FrequentKeys(5, {1: 3})
+    assert (found | other).counts == {**found.counts, 1: 3} and (found | other).total == 30_000
+    s = spark.range(-1, 100).selectExpr("id AS k", "id * 2 AS v")
+    with jobs(spark) as started:
+        merged = rowchange.merge(t, s, ["k"], {"v": "v"}, "*", split_hot=found)
+    assert not started()
+    assert merged.where("k = -1 AND v = -2").count() == 10_000
+    assert rows(merged) == rows(rowchange.merge(t, s, ["k"], {"v": "v"}, "*"))
+
+
+@contextlib.contextmanager
+def jobs(spark):
+    """What is called afterwards gives the Spark jobs that were started inside."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "counted")
+    yield lambda: list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup(uuid.uuid4().hex, "not counted")
+
+
+def test_operators_start_no_job_while_planning(spark, tmp_path):
+    t = stored_rows(spark, tmp_path, "t", [(1, "a", 1), (2, "b", 2), (None, "z", 4)], T_SCHEMA)
+    t = t.withColumn("is_deleted", F.lit(False)).join(t.select("k"), "k", "left")
+    s = stored_rows(spark, tmp_path, "s", [(2, "B"), (3, "C"), (3, "C"), (None, "Z")], S_SCHEMA)
+    rules_ = [Rule("v", "v")]
+    with jobs(spark) as started:
+        made = [
+            rowchange.merge(t, s, ["k"], {"v": "v"}, "*"),
+            rowchange.merge(t, s, ["k"], {"v": "v"}),
+            rowchange.merge(t, s, ["k"], None, "*"),
+            rowchange.soft_delete(t, s, ["k"], ["v"]),
+            rowchange.sync(t, s, ["k"], {"v": "v"}, scope=["v"]),
+            quality.seed_quality(s, quality.tag_keys(s, rules_, ["k"]), ["k"]),
+            quality.apply_tags(quality.tag_keys(s, rules_, ["k"]), quality.tag_keys(s, rules_, ["k"]), ["k"]),
+            quality.refresh_quality(s, quality.tag_keys(s, rules_, ["k"]), rules_, ["k"]),
+        ]
+    assert not started() and all(df.columns for df in made)
+
+
+def test_spark_splits_a_frequent_key(spark, tmp_path):
+    """Without any split of ours, no task of the join gets much more than its share."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    path = str(tmp_path / "t")
+    hot = spark.range(0, 400_000, 1, 8).selectExpr("IF(id % 3 = 0, -1, id) AS k", "sha(string(id)) AS v")
+    hot.withColumn("is_deleted", F.lit(False)).write.parquet(path)
+    t = spark.read.parquet(path)
+    s = spark.range(-1, 400_000).selectExpr("id AS k", "'new' AS v")
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for made in (
+            rowchange.merge(t, s, ["k"], {"v": "v"}),
+            rowchange.merge(t, s, ["k"], {"v": "v"}, "*"),
+            rowchange.sync(t, s, ["k"], {"v": "v"}),
+            rowchange.soft_delete(t, s, ["k"]),
+        ):
+            out = made.select("k", "v", F.spark_partition_id().alias("task"))
+            counted = out.where("k = -1").groupBy("task").agg(F.count(F.substring("v", 1, 1)).alias("n"))
+            sizes = [r["n"] for r in counted.collect()]
+            assert sum(sizes) == 133_334 and len(sizes) >= 4 and max(sizes) < 400_000 / 8
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_more_tasks_find_rarer_keys(spark):
@@ -264,26 +333,20 @@ def test_more_tasks_find_rarer_keys(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-@pytest.fixture
-def everything_large(monkeypatch):
-    """Plan as for large tables, with small ones."""
-    monkeypatch.setattr(skew, "LARGE_ROWS", 0)
-
-
 def stored_rows(spark, tmp_path, name, rows_, schema):
     path = str(tmp_path / name)
     spark.createDataFrame(rows_, schema).write.parquet(path)
     return spark.read.parquet(path)
 
 
-def test_small_source_leaves_the_target_in_place(spark, everything_large, tmp_path):
+def test_small_source_leaves_the_target_in_place(spark, tmp_path):
     t = stored_rows(spark, tmp_path, "t", [(1, "a", 1), (2, "b", 2), (2, "c", 3), (None, "z", 4)], T_SCHEMA)
     s = stored_rows(spark, tmp_path, "s", [(2, "B"), (3, "C"), (3, "C"), (None, "Z")], S_SCHEMA)
-    assert skew.is_large(t) and skew.is_few(s)
     merged = upsert(t, s)
     assert rows(merged) == rows(upsert(t, s, split_hot=False))
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "Exchange hashpartitioning" not in plan.split("Union", 1)[1].split("BroadcastExchange")[0]
     with pytest.raises(Exception, match="more than one source row"):
         upsert(t, stored_rows(spark, tmp_path, "s2", [(2, "x"), (2, "y")], S_SCHEMA)).count()
     flagged = t.withColumn("is_deleted", F.lit(False))
