@@ -16,7 +16,45 @@ from pyspark.sql.types import StructType
 from tablecheck.functions.names import field
 from tablecheck.sources.scratch import stored
 
-__all__ = ["bytes_of", "id_remainder", "mapped", "read", "rows_of", "ship", "stored", "text_of"]
+__all__ = [
+    "Memory", "bytes_of", "id_remainder", "mapped", "read", "rows_of", "ship", "stored", "text_of", "turn_of"
+]
+
+
+class Memory(dict):
+    """What a worker remembers between rows, up to a number of bytes.
+
+    Subclasses say in ``__missing__`` what to remember, and put it there by ``keep``. Beyond
+    ``most`` bytes all is forgotten. A worker serves one task after the other, whatever
+    operator they are of; each calls ``turn_of`` first, which makes the others' memories
+    forget, so those of one operator only count.
+    """
+
+    ENTRY_BYTES = 180  # of a slot, and of the objects of a small key and value
+    _all: dict[str, list[Memory]] = {}
+
+    def __init__(self, owner: str, most: int) -> None:
+        super().__init__()
+        self.most, self.used = most, 0
+        self._all.setdefault(owner, []).append(self)
+
+    def keep(self, key, value, size: int = 0):
+        """Remember a value; ``size`` is what key and value take beyond a small entry."""
+        self.used += self.ENTRY_BYTES + size
+        if self.used > self.most:
+            self.clear()
+            self.used = self.ENTRY_BYTES + size
+        self[key] = value
+        return value
+
+
+def turn_of(*owners: str) -> None:
+    """From here on this worker serves these operators: what others remember is forgotten."""
+    for owner, memories in Memory._all.items():
+        if owner not in owners:
+            for memory in memories:
+                memory.clear()
+                memory.used = 0
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

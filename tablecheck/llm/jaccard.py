@@ -3,18 +3,21 @@
 A document's set holds the hashes of its distinct word shingles. Two sets of sizes a and b
 whose Jaccard similarity reaches the threshold t differ in at most
 d = (a + b) (1 - t) / (1 + t) shingles. Sets are put in size bands; each joins within its
-own band and, as the smaller partner, in the next. A band of sizes up to U allows d for
+own band and, as the smaller partner, in those above that begin at a / t or below: one for
+t of 0.8 or more, else several. A band of sizes up to U allows d for
 a + b = 2 U and deals shingles by hash to m = d + 1 + spare segments. In a segment each
 shingle toggles one bit of a sparse sketch of 2**20 bits, so the number of bits in which
 two sketches differ is at most the number of shingles in which the sets do, and at least
 1 + spare segments agree. A segment travels as one 64-bit key, the XOR of its bits' codes.
 Empty segments agree for no reason; a set with at most ``spare`` of them leaves them out
 (one that agrees and is not empty remains), any other emits them too. So every linked pair
-shares a key.
+shares a key. There are so many spare segments that one unrelated set in a million has
+more empty ones and meets others like it in their keys.
 
-Each key has one leader, its first document, whatever tasks its members come from. Members whose whole sketches differ from their leader's in no more
-bits than linked sets differ in shingles are verified by their sets, first with the leader
-they share most keys with, then with those of other components. Links make components.
+Each key has one leader, its first document, whatever tasks its members come from. Members
+whose whole sketches differ from their leader's in no more bits than linked sets differ in
+shingles are verified by their sets, first with the leader they share most keys with, then
+with those of other components. Links make components.
 What then spans components is compared by sketches, in blocks of a leader's members, and
 what passes is verified too. So every pair that could be linked is verified or already
 connected, while pairs inside a component are never listed. Copies travel as one set, and
@@ -39,28 +42,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablecheck.functions.names import field
-from tablecheck.llm.common import mapped, rows_of, stored, text_of
+from tablecheck.llm.common import Memory, mapped, rows_of, stored, text_of, turn_of
 
 BAND_RATIO = 1.25
 SKETCH_BITS = 20
-KEPT_WORDS = 300_000
+#: The share of unrelated sets that may leave more segments empty than are spare.
+CROWDED = 1e-6
+KEPT_BYTES = 48 << 20
 KEYS_AT_ONCE = 300_000
 BLOCK = 512
 BROADCAST_IDS = 1_000_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
-class Words(dict):
-    """Hash of each word, remembered up to a fixed number."""
+class Words(Memory):
+    """Hash of each word."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
+        return self.keep(word, xxhash.xxh3_64_intdigest(word), len(word))
 
 
-_words = Words()
+_words = Words("jaccard", KEPT_BYTES)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -83,6 +85,36 @@ def shingles(text: str, size: int) -> np.ndarray:
     return np.unique(total)
 
 
+def _spare(n: int, differing: int) -> int:
+    """So many spare segments that few sets of n shingles leave more of them empty.
+
+    Such a set fills ``differing`` segments at most. The chance of that is counted item by
+    item, and for large sets taken from the mean and spread of the empty segments' number.
+    """
+    spare = 0
+    if n <= differing:
+        return spare
+    if n > 1024:
+        for _ in range(50):
+            segments = differing + 1 + spare
+            mean = segments * math.exp(-n / segments)
+            spare = math.ceil(mean + 6 * math.sqrt(mean))
+        return spare
+    filled = np.arange(differing + 2)  # the last stands for all that are more
+    while True:
+        segments = differing + 1 + spare
+        chance = np.zeros(differing + 2)
+        chance[0] = 1.0
+        for _ in range(n):
+            stays = chance * filled / segments
+            stays[-1] = chance[-1]
+            stays[1:] += (chance * (1 - filled / segments))[:-1]
+            chance = stays
+        if chance[:-1].sum() <= CROWDED:
+            return spare
+        spare += max(1, differing // 48)
+
+
 @lru_cache(maxsize=64)
 def _bands(threshold: int) -> tuple[list[int], list[int], list[int]]:
     """Lower ends, segments and spare segments of the size bands; threshold in percent."""
@@ -90,21 +122,21 @@ def _bands(threshold: int) -> tuple[list[int], list[int], list[int]]:
     while lows[-1] < 1 << 40:
         lows.append(max(lows[-1] + 1, int(lows[-1] * BAND_RATIO)))
         differing = 2 * (lows[-1] - 1) * (100 - threshold) // (100 + threshold)
-        spares.append(differing // 24)
+        spares.append(_spare(lows[-2], differing))
         segments.append(differing + 1 + spares[-1])
     return lows, segments, spares
 
 
 def keys_of(found: np.ndarray, threshold: int) -> np.ndarray:
-    """Keys of a set's sketch segments, in its own band and in the next if it reaches it."""
+    """Keys of a set's sketch segments, in its own band and in all that it reaches."""
     if not len(found):
         return found
     lows, segments, spares = _bands(threshold)
     own = int(np.searchsorted(lows, len(found), "right")) - 1
     out = []
-    for band in (own, own + 1):
+    for band in range(own, len(segments)):
         if band > own and 100 * len(found) < threshold * lows[band]:
-            continue
+            break
         number, spare = segments[band], spares[band]
         segment = ((found >> np.uint64(32)) * np.uint64(number)) >> np.uint64(32)
         bits = mixed((found & np.uint64((1 << SKETCH_BITS) - 1)) + _ODD[1])
@@ -194,6 +226,8 @@ def keep_one(
 
 def _measured(docs: DataFrame, size: int) -> DataFrame:
     def task():
+        turn_of("jaccard")
+
         def block(columns: dict) -> dict:
             found = [shingles(text, size) for text in columns["text"]]
             return {
@@ -214,6 +248,8 @@ def _listed(docs: DataFrame, size: int) -> DataFrame:
     """
 
     def task():
+        turn_of("jaccard")
+
         def block(columns: dict) -> dict:
             found = [shingles(text, size) for text in columns["text"]]
             return {
@@ -251,6 +287,7 @@ def _shared_keys(docs: DataFrame, copies: DataFrame, size: int, threshold: int)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_of("jaccard")
         waiting: dict[bytes, tuple[int, np.ndarray]] = {}
         amount = 0
         for batch in batches:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.functions.names import field
-from tablecheck.llm.common import mapped, rows_of, stored, text_of
+from tablecheck.llm.common import mapped, rows_of, stored, text_of, turn_of
 
 BUCKETS = 1 << 15
 INDEPENDENT = 1 / 3  # triples overlap; each adds about one new byte
@@ -136,6 +136,8 @@ def identify(
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
     def likely():
+        turn_of("language")
+
         def block(columns: dict) -> dict:
             seen = model.likelihoods(columns.pop("text"))
             shares = _softmax(seen * INDEPENDENT)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.functions.names import field
-from tablecheck.llm.common import mapped, rows_of, stored, text_of
+from tablecheck.llm.common import mapped, rows_of, stored, text_of, turn_of
 from tablecheck.llm.subwords import WordBpe
 
 CAPACITY = 4096
@@ -51,6 +51,7 @@ def pieces(
     """Token pieces of whole documents: doc_id, piece, start, length, ids_crc32 (and ids)."""
 
     def task():
+        turn_of("subwords")
         bpe, end = WordBpe.of(tokenizer), end_id.to_bytes(4, "little")
 
         def block(columns: dict) -> dict:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.functions.names import field
-from tablecheck.llm.common import bytes_of, id_remainder, mapped, rows_of, text_of
+from tablecheck.llm.common import bytes_of, id_remainder, mapped, rows_of, text_of, turn_of
 
 FILTERS = 24
 WIDTH = 6
@@ -243,6 +243,8 @@ def scores(
     """Every row's id and score."""
 
     def task():
+        turn_of("quality")
+
         def block(columns: dict) -> dict:
             if isinstance(model, float):
                 score = np.full(len(columns["doc_id"]), model)

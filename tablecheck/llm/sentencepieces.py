@@ -36,10 +36,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecheck.functions.names import field
+from tablecheck.llm.common import Memory, turn_of
 
 PIECE_BPE = "piece_bpe_32k.model"
 MARK = "▁"
-KEPT_WORDS = 1_200_000
+KEPT_BYTES = 192 << 20
 LONGEST_KEPT = 48
 _WORDS = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 
@@ -133,8 +134,8 @@ class Dropout:
         self.bpe = PieceBpe(path)
         self.rate = rate
         self.seed = seed
-        self.plain = _Words(self.bpe, KEPT_WORDS // max(1, variants))
-        self.skipping = _Words(self.bpe, KEPT_WORDS - self.plain.most)
+        self.plain = _Words(self.bpe, KEPT_BYTES // max(1, variants))
+        self.skipping = _Words(self.bpe, KEPT_BYTES - self.plain.most)
 
     @classmethod
     def of(cls, *settings) -> Dropout:
@@ -200,21 +201,19 @@ class Dropout:
         return np.minimum(np.log(chance) / math.log1p(-self.rate), 2.0**40).astype(np.int64)
 
 
-class _Words(dict):
+class _Words(Memory):
     """Merges that come up and ids of a word, or of (word, skipped merges)."""
 
     def __init__(self, bpe: PieceBpe, most: int) -> None:
-        super().__init__()
-        self.bpe, self.most = bpe, most
+        super().__init__("sentencepieces", most)
+        self.bpe = bpe
 
     def __missing__(self, key: str | tuple) -> tuple[int, bytes]:
         word, skips = (key, ()) if isinstance(key, str) else (key[0], key[1:])
         merges, ids = self.bpe.segment(word, skips)
         found = merges, PieceBpe._packed(ids)
         if len(word.encode("utf-8", "replace")) <= LONGEST_KEPT:
-            if len(self) >= self.most:
-                self.clear()
-            self[key] = found
+            self.keep(key, found, len(found[1]) + 100 + 64 * len(skips))
         return found
 
 
@@ -231,6 +230,7 @@ def encode(
     """``df`` with the ids of its texts as array<int> in column ``to``."""
 
     def ids(texts: pd.Series, keys: pd.Series) -> pd.Series:
+        turn_of("sentencepieces")
         encoder = Dropout.of(model or public_tokenizers.path(PIECE_BPE), rate, seed, variants)
         return pd.Series([
             None if text is None else np.frombuffer(encoder.encode(text, int(key)), "<i4")

@@ -2,7 +2,7 @@
 
 The tokenizer drops white space and never joins across it, so a text's ids are those
 of its white-space separated chunks. Each worker keeps the ids of chunks it has seen,
-up to a fixed number, and asks the library for new ones only. Chunks that could be
+up to a number of bytes, and asks the library for new ones only. Chunks that could be
 read otherwise out of their text (special tokens) are left to the library whole.
 """
 
@@ -14,9 +14,11 @@ from array import array
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from tablecheck.llm.common import Memory
+
 WORD_BPE = "word_bpe_49k.json"
 WORD_BPE_SIZE = 49_408
-KEPT_CHUNKS = 400_000
+KEPT_BYTES = 64 << 20  # of chunks, and of their runs
 LONGEST_KEPT = 48
 
 _RUNS = re.compile(rb"[a-z]+|[^a-z]+")
@@ -33,16 +35,16 @@ def _byte_letters() -> dict[int, str]:
 _BYTES = str.maketrans({chr(b): letter for b, letter in _byte_letters().items()})
 
 
-class WordBpe(dict):
+class WordBpe(Memory):
     """Little-endian unsigned 32-bit ids of a text; as a dict, those of its chunks."""
 
     _known: dict[str, WordBpe] = {}
 
     def __init__(self, path: str) -> None:
-        super().__init__()
+        super().__init__("subwords", KEPT_BYTES)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.runs: dict[str, bytes] = {}
+        self.runs = Memory("subwords", KEPT_BYTES)
 
     @classmethod
     def of(cls, path: str | None = None) -> WordBpe:
@@ -60,9 +62,7 @@ class WordBpe(dict):
     def __missing__(self, chunk: bytes) -> bytes:
         found = self._chunk(chunk)
         if len(chunk) <= LONGEST_KEPT:
-            if len(self) >= KEPT_CHUNKS:
-                self.clear()
-            self[chunk] = found
+            self.keep(chunk, found, len(chunk) + len(found))
         return found
 
     def _chunk(self, chunk: bytes) -> bytes:
@@ -85,9 +85,7 @@ class WordBpe(dict):
             else:
                 found = self._library(run)
             if len(run) <= LONGEST_KEPT:
-                if len(self.runs) >= KEPT_CHUNKS:
-                    self.runs.clear()
-                self.runs[run] = found
+                self.runs.keep(run, found, len(run) + len(found))
         return found
 
     def _library(self, text: str) -> bytes:

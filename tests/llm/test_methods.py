@@ -19,7 +19,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import __spark_entry__ as spark_entry
-from tablecheck.llm import fingerprints, jaccard, lm, packing, sentencepieces, sharding, warc
+from tablecheck.llm import common, fingerprints, jaccard, lm, packing, sentencepieces, sharding, warc
 from tablecheck.llm.queries import ORACLES, QUERIES
 from tablecheck.llm.subwords import WORD_BPE, WordBpe
 
@@ -234,6 +234,45 @@ def test_components_are_those_of_all_pairs(spark, documents, size, threshold):
     assert got == brute_components(rows, size, threshold)
 
 
+@pytest.mark.parametrize("threshold", [50, 60, 70, 77])
+def test_low_thresholds_link_across_bands(spark, threshold):
+    rng, rows = random.Random(threshold), []
+    for family in range(12):
+        words = [f"f{family}w{n}" for n in range(rng.choice([3, 7, 10, 24, 60]))]
+        for _ in range(12):  # nested sets, and sets that differ
+            copy = words[: rng.randint(max(1, len(words) // 2), len(words))]
+            for _ in range(rng.randrange(len(copy) // 4 + 1)):
+                copy[rng.randrange(len(copy))] = f"q{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(1000, " ".join("abcdefg")), (1001, " ".join("abcdefghij"))]  # 0.7 exactly
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: (r[1], r[2]) for r in jaccard.link_components(df, 1, threshold).collect()}
+    assert got == brute_components(rows, 1, threshold)
+    assert (got[1001][1] == 1000) == (threshold <= 70)
+
+
+def test_unrelated_short_sets_seldom_share_a_key():
+    def pairs(n):
+        rng, members = np.random.default_rng(n), Counter()
+        for _ in range(n):
+            found = np.unique(rng.integers(0, 2**64, rng.integers(75, 90), np.uint64))
+            members.update(set(jaccard.keys_of(found, 80).tolist()))
+        return sum(m * (m - 1) // 2 for m in members.values())
+
+    assert pairs(2_000) < 20 and pairs(8_000) < 80
+    assert all(s < b / 2 for b, s in zip(*jaccard._bands(80)[1:]) if b > 60)
+
+
+def test_a_worker_remembers_for_one_operator_and_in_bounds():
+    mine, other = common.Memory("test-a", 10_000), common.Memory("test-b", 10_000)
+    for n in range(1000):
+        mine.keep(n, n)
+        assert mine.used <= 10_000 and len(mine) <= 10_000 // common.Memory.ENTRY_BYTES
+    other.keep("x", 1, 50)
+    common.turn_of("test-a")
+    assert mine and not other and other.used == 0
+
+
 def words_by_place(low, high, count, tag):
     """Words whose hash, as a share of all hashes, is from low to high."""
     found = (f"{tag}{n}" for n in itertools.count())
