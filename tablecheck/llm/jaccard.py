@@ -90,6 +90,8 @@ def _spare(n: int, differing: int) -> int:
 
     Such a set fills ``differing`` segments at most. The chance of that is counted item by
     item, and for large sets taken from the mean and spread of the empty segments' number.
+    Low thresholds leave small sets hardly any shingle that must agree; there the number of
+    segments ends the search, and more sets meet.
     """
     spare = 0
     if n <= differing:
@@ -110,7 +112,7 @@ def _spare(n: int, differing: int) -> int:
             stays[-1] = chance[-1]
             stays[1:] += (chance * (1 - filled / segments))[:-1]
             chance = stays
-        if chance[:-1].sum() <= CROWDED:
+        if chance[:-1].sum() <= CROWDED or segments > 3 * differing + 32:
             return spare
         spare += max(1, differing // 48)
 
