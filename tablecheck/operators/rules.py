@@ -96,20 +96,46 @@ def resolve_key(tables_df: DataFrame, database: str, table: str, column: str = "
     return keys
 
 
-def set_key(tables_df: DataFrame, tables: Sequence[str], key: str | Iterable[str]) -> DataFrame:
-    """Name the key columns of the listed tables."""
+def set_key(
+    tables_df: DataFrame,
+    tables: Sequence[str],
+    key: str | Iterable[str],
+    databases: Sequence[str] | None = None,
+) -> DataFrame:
+    """Name the key columns of the listed tables, in all databases or in these."""
     text = key if isinstance(key, str) else ";".join(key)
-    return update_where(tables_df, F.col("table").isin(list(tables)), {"Key": text})
+    return update_where(tables_df, _named_in("table", tables, databases), {"Key": text})
+
+
+def set_length_test(
+    columns_df: DataFrame,
+    columns: Sequence[str],
+    length: int,
+    databases: Sequence[str] | None = None,
+) -> DataFrame:
+    """Ask for a text length in every column of these names, in all databases or in these."""
+    return update_where(
+        columns_df, _named_in("column_name", columns, databases), {"length_test": length}
+    )
 
 
-def set_length_test(columns_df: DataFrame, columns: Sequence[str], length: int) -> DataFrame:
-    """Ask for a text length in every column of these names."""
-    return update_where(columns_df, F.col("column_name").isin(list(columns)), {"length_test": length})
+def set_null_test(
+    columns_df: DataFrame,
+    columns: Sequence[str],
+    wanted: bool = True,
+    databases: Sequence[str] | None = None,
+) -> DataFrame:
+    """Ask for a null test in every column of these names, in all databases or in these."""
+    return update_where(
+        columns_df, _named_in("column_name", columns, databases), {"null_test": wanted}
+    )
 
 
-def set_null_test(columns_df: DataFrame, columns: Sequence[str], wanted: bool = True) -> DataFrame:
-    """Ask for a null test in every column of these names."""
-    return update_where(columns_df, F.col("column_name").isin(list(columns)), {"null_test": wanted})
+def _named_in(column: str, names: Sequence[str], databases: Sequence[str] | None) -> Column:
+    chosen = F.col(column).isin(list(names))
+    if databases is not None:
+        chosen = chosen & F.lower("database").isin([d.lower() for d in databases])
+    return chosen
 
 
 def _rows_of(df: DataFrame | None, database: str, table: str) -> list:

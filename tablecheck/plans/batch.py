@@ -8,18 +8,20 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecheck.functions.names import field
-from tablecheck.operators import layout, quality, registry, rules
+from tablecheck.operators import layout, quality, registry, rowchange, rules
 from tablecheck.sources import dictionary as shapes
 from tablecheck.sources import folders, landing
 from tablecheck.sources.scratch import stored
 from tablecheck.sources.tables import (
     add_columns,
+    append_rows,
     ensure_table,
     is_foreign,
     lay_out_columns,
@@ -27,6 +29,7 @@ from tablecheck.sources.tables import (
     overwrite_partitions,
     quoted,
     replace_table,
+    rewrite_partitions,
     table_detail,
     table_layout,
 )
@@ -52,18 +55,20 @@ def run_landing(
 ) -> None:
     """Land columns and tables of the databases and sync both dictionaries."""
     create_dictionary(spark, dictionary)
+    columns, tables = _landed(spark, databases, dictionary)
+    replace_table(columns, f"{dictionary}.column")
+    replace_table(tables, f"{dictionary}.table")
+
+
+def _landed(
+    spark: SparkSession, databases: Sequence[str], dictionary: str
+) -> tuple[DataFrame, DataFrame]:
+    """Both dictionaries as they are after a landing."""
     columns = landing.land_database_columns(spark, databases)
     facts = landing.land_database_tables(spark, databases)
     creates = landing.land_create_statements(spark, databases)
-    replace_table(
-        landing.sync_columns(load(spark, f"{dictionary}.column"), columns),
-        f"{dictionary}.column",
-    )
-    replace_table(
-        landing.sync_tables(
-            load(spark, f"{dictionary}.table"), landing.stage_table_metadata(facts, creates)
-        ),
-        f"{dictionary}.table",
+    return landing.sync_columns(load(spark, f"{dictionary}.column"), columns), landing.sync_tables(
+        load(spark, f"{dictionary}.table"), landing.stage_table_metadata(facts, creates)
     )
 
 
@@ -114,22 +119,44 @@ def configure_rules(
     null_tests: Sequence[str] = (),
     length_tests: Mapping[str, int] | None = None,
     dictionary: str = DICTIONARY,
+    databases: Sequence[str] | None = None,
 ) -> None:
-    """Add the rule columns to the dictionaries and set keys and tests."""
-    tables = add_columns(
-        load(spark, f"{dictionary}.table"), shapes.TABLE_KEY, after="description"
+    """Add the rule columns to the dictionaries and set keys and tests.
+
+    Only tables and columns of ``databases`` are set, if those are given.
+    """
+    columns, tables = _configured(
+        load(spark, f"{dictionary}.column"),
+        load(spark, f"{dictionary}.table"),
+        keys,
+        null_tests,
+        length_tests or {},
+        databases,
     )
-    for table, key in keys.items():
-        tables = rules.set_key(tables, [table], key)
-    columns = add_columns(load(spark, f"{dictionary}.column"), shapes.COLUMN_RULES)
-    if null_tests:
-        columns = rules.set_null_test(columns, null_tests)
-    for column, length in (length_tests or {}).items():
-        columns = rules.set_length_test(columns, [column], length)
     replace_table(tables, f"{dictionary}.table")
     replace_table(columns, f"{dictionary}.column")
 
 
+def _configured(
+    columns: DataFrame,
+    tables: DataFrame,
+    keys: Mapping[str, str],
+    null_tests: Sequence[str],
+    length_tests: Mapping[str, int],
+    databases: Sequence[str] | None,
+) -> tuple[DataFrame, DataFrame]:
+    """Both dictionaries with the rule columns, keys and tests."""
+    tables = add_columns(tables, shapes.TABLE_KEY, after="description")
+    for table, key in keys.items():
+        tables = rules.set_key(tables, [table], key, databases)
+    columns = add_columns(columns, shapes.COLUMN_RULES)
+    if null_tests:
+        columns = rules.set_null_test(columns, null_tests, databases=databases)
+    for column, length in length_tests.items():
+        columns = rules.set_length_test(columns, [column], length, databases)
+    return columns, tables
+
+
 def run_quality(
     spark: SparkSession,
     database: str,
@@ -140,8 +167,10 @@ def run_quality(
     """Test every listed table and store the tags in its ``quality_<table>``.
 
     Unless ``buckets`` says otherwise, there is a bucket for every ``ROWS_PER_BUCKET``
-    rows of the fact, as counted, ``BUCKETS`` at least, and never fewer than before.
+    rows of the fact, as counted, ``BUCKETS`` at least, never fewer than before, and no
+    more than Spark allows.
     """
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
     column_rows = load(spark, f"{dictionary}.column")
     table_rows = load(spark, f"{dictionary}.table")
     nulls, lengths = rules.null_rules(column_rows), rules.length_rules(column_rows)
@@ -150,11 +179,12 @@ def run_quality(
         compiled = rules.compile_rules(nulls, lengths, database, table)
         fact = load(spark, f"{database}.{table}")
         name = f"{dictionary}.quality_{table}"
-        number = buckets or max(BUCKETS, math.ceil(fact.count() / ROWS_PER_BUCKET))
+        number = buckets or min(most, max(BUCKETS, math.ceil(fact.count() / ROWS_PER_BUCKET)))
         ensure_table(spark, name, quality.quality_schema(fact, keys), bucket_by=(number, keys))
         _, now = table_layout(spark, name)
         if buckets is None and now:
             number = max(number, now[0])  # never fewer than before
+        number = min(number, most)
         replace_table(
             quality.refresh_quality(fact, load(spark, name), compiled, keys),
             name,
@@ -182,21 +212,68 @@ def run_pipeline(
     """Land, lay out, test and register, for the tables that have a key in ``keys``.
 
     A key names its table alone, and so does a quality table; a table of that name in
-    two of the databases is an error.
+    two of the databases is an error. Keys and tests are set in these databases only.
+    Landing, order and rules are put together first, and each dictionary is stored once.
     """
     names = [t for _, t in landing.list_tables(spark, databases) if t in keys]
     if len(names) > len(set(names)):
         raise ValueError("tables with a key must have different names")
-    run_landing(spark, databases, dictionary)
+    create_dictionary(spark, dictionary)
+    columns, tables = _landed(spark, databases, dictionary)
+    for database in databases:
+        columns = layout.reorder_alphabetically(columns, database)
+    columns, tables = _configured(columns, tables, keys, null_tests, length_tests or {}, databases)
+    replace_table(tables, f"{dictionary}.table")
+    replace_table(columns, f"{dictionary}.column")
     for database in databases:
-        run_layout(spark, database, dictionary)
-    configure_rules(spark, keys, null_tests, length_tests, dictionary)
+        apply_layout_all(spark, database, dictionary)
     for database in databases:
         present = {table for _, table in landing.list_tables(spark, [database])}
         run_quality(spark, database, [t for t in keys if t in present], dictionary, buckets)
     run_registry(spark, dictionary)
 
 
+def merge_table(
+    spark: SparkSession,
+    name: str,
+    source: DataFrame,
+    on: rowchange.Keys,
+    matched: rowchange.Values | None = None,
+    not_matched: rowchange.Values | str | None = None,
+    **options,
+) -> int:
+    """Merge into a stored table; returns how many of its partitions were rewritten.
+
+    Of a partitioned table only the partitions that hold a row to be updated are read and
+    rewritten, and new rows are appended: the files of all others stay as they are. That is
+    two writes; run again after a cut between them, the merge adds what is missing. A
+    table without partitions, or one whose partition columns are updated, is replaced.
+    """
+    target = load(spark, name)
+    partition_by, _ = table_layout(spark, name)
+    if not partition_by or set(partition_by) & set(matched or ()):
+        replace_table(rowchange.merge(target, source, on, matched, not_matched, **options), name)
+        return -1
+    pairs = rowchange._pairs(on)
+    count = 0
+    if matched is not None:
+        keys = source.select(*[field(s).alias(f"__k{i}") for i, (_, s) in enumerate(pairs)]).distinct()
+        same = [field(t, "t") == field(f"__k{i}", "s") for i, (t, _) in enumerate(pairs)]
+        rows = target.select(*dict.fromkeys([*partition_by, *[t for t, _ in pairs]])).alias("t")
+        hit = rows.join(keys.alias("s"), reduce(lambda a, b: a & b, same), "left_semi")
+        count = rewrite_partitions(
+            spark,
+            name,
+            hit.select(*partition_by),
+            lambda inside: rowchange.merge(inside, source, on, matched, **options),
+        )
+    if not_matched is not None:
+        target = load(spark, name)
+        unknown = rowchange.anti(source, target, [(s, t) for t, s in pairs])
+        append_rows(rowchange.merge(target.where("false"), unknown, on, None, not_matched), name)
+    return count
+
+
 def land_files(
     spark: SparkSession,
     path: str,

@@ -27,7 +27,7 @@ from tablecheck.plans import batch
 from tablecheck.sources import dictionary as shapes
 from tablecheck.sources import folders, landing
 from tablecheck.sources.scratch import scratch_path
-from tablecheck.sources.tables import add_columns, load, local_rows
+from tablecheck.sources.tables import add_columns, append_rows, ensure_table, load, local_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1245,6 +1245,80 @@ def quality_from_dictionary(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query("""
+    WITH source AS (
+        SELECT o_orderkey AS key, o_orderstatus AS status, o_totalprice + 1 AS price FROM orders
+        WHERE o_orderstatus = 'P'
+        UNION ALL SELECT -o_orderkey - 1, 'N', o_totalprice FROM orders WHERE o_orderkey % 100 = 0)
+    SELECT o_orderkey AS key, o_orderstatus AS status, o_totalprice AS price,
+           true AS others_kept, 1 AS rewritten FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL SELECT key, status, price, true, 1 FROM source
+""")
+def merge_one_partition(spark, sf_dir):
+    # a merge into one of the partitions: the files of the others stay where they are
+    lake = _database(spark, "parts")
+    orders = read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("key"),
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    orders.write.partitionBy("status").saveAsTable(f"{lake}.orders")
+    updates = orders.where("status = 'P'").withColumn("price", F.col("price") + 1)
+    new = orders.where("key % 100 = 0").select((-F.col("key") - 1).alias("key"), "price", F.lit("N").alias("status"))
+    before = {f for f in load(spark, f"{lake}.orders").inputFiles() if "status=P" not in f}
+    rewritten = batch.merge_table(
+        spark, f"{lake}.orders", updates.unionByName(new), ["key"], {"price": "price"}, "*"
+    )
+    rows = load(spark, f"{lake}.orders")
+    kept = before <= set(rows.inputFiles())
+    return rows.select(
+        "key", "status", "price", F.lit(kept).alias("others_kept"), F.lit(rewritten).alias("rewritten")
+    )
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, count(*) AS n,
+           CASE WHEN count(*) > 1 THEN 'key_not_unique'
+                WHEN length(any_value(l_returnflag)) <> 2 THEN 'lake.lines.l_returnflag.is_not_length_2'
+                ELSE '' END AS tags,
+           'a, [b]=c' AS delimiter, true AS quoted, CAST(2 AS BIGINT) AS skip_line,
+           true AS at_own_place, 'l_orderkey; l_linenumber' AS key_text
+    FROM lineitem GROUP BY l_orderkey, l_linenumber
+""")
+def quality_composite_key(spark, sf_dir):
+    # a table at a location of its own, with properties and a key of two columns
+    lake, dictionary = _database(spark, "lake"), _database(spark, "dictionary")
+    path = scratch_path(spark, "own-place")
+    names = ["l_returnflag", "l_linenumber", "l_orderkey"]
+    lines = read(spark, sf_dir, "lineitem").select(*names)
+    properties = {"delimiter": "a, [b]=c", "areColumnsQuoted": "true", "skip.header.line.count": "2"}
+    ensure_table(spark, f"{lake}.lines", lines.schema, location=path, properties=properties)
+    append_rows(lines, f"{lake}.lines")
+    batch.run_pipeline(
+        spark,
+        [lake],
+        keys={"lines": "l_orderkey; l_linenumber"},
+        null_tests=["l_returnflag"],
+        length_tests={"l_returnflag": 2},
+        dictionary=dictionary,
+    )
+    facts = load(spark, f"{dictionary}.table").select(
+        F.struct(
+            "delimiter",
+            F.col("are_columns_quoted").alias("quoted"),
+            "skip_line",
+            F.endswith("location", F.lit(path.rsplit("/", 1)[1])).alias("at_own_place"),
+            F.col("Key").alias("key_text"),
+        ).alias("facts")
+    )
+    plain = F.replace(tags_text(), F.lit(f"{lake}."), F.lit("lake.")).alias("tags")
+    rows = load(spark, f"{dictionary}.quality_lines").select("l_orderkey", "l_linenumber", plain)
+    counted = rows.groupBy("l_orderkey", "l_linenumber", "tags").agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumn("facts", facts.scalar()).select(
+        "l_orderkey", "l_linenumber", "n", "tags", "facts.*"
+    )
+
+
 @query("""
     SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day,
            count(DISTINCT strftime(ts, '%Y-%m-%d')) OVER () AS folders

@@ -6,6 +6,7 @@ dropped before it is listed, so a run costs what is new, and not what is there.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -205,23 +206,46 @@ def read_folders(
     """Rows of these folders below ``path``, with the folder each came from.
 
     With a ``schema`` new files never alter it: other columns are not read, missing ones
-    are NULL. Without one the files' own schema is taken. Partition values in folder names
-    become columns.
+    are NULL. Without one the files' own schema is taken; of Parquet files that differ, the
+    one that all of them fit (see ``schemas``). Files whose types differ from the schema are
+    read by their own and cast, values that don't fit being NULL. Partition values in folder
+    names become columns.
     """
     if not names:
         fields = schema.fields if schema else []
         return local_rows(spark, [], T.StructType([*fields, *LEDGER.fields]))
     reader = spark.read.format(fmt).option("basePath", path).options(**options)
+    # the listing gives plain paths, this column encoded ones; plus signs stay plus signs
+    path_of = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    folder = F.regexp_replace(path_of, "/[^/]*$", "").alias("folder")
+    if fmt == "parquet":
+        from tablecheck.sources import schemas  # which lists folders itself
+
+        found = schemas.files_by_schema(spark, path, names)
+        kinds = [T.StructType.fromJson(json.loads(kind)) for kind in found]
+        if schema is None and kinds:
+            schema = schemas.widest(kinds)
+            partitions = [f for f in reader.load(list(names)).schema if f.name not in schema.names]
+            schema = T.StructType([*schema, *partitions])
+        if any(f.dataType != g.dataType for kind in kinds for f in kind for g in schema if f.name == g.name):
+            parts = []
+            for kind, files in zip(kinds, found.values()):
+                rows = reader.schema(_with_partitions(kind, schema)).load(files)
+                parts.append(rows.select(*schemas.fitted(rows, schema), folder))
+            return reduce(DataFrame.unionByName, parts)
     if schema is not None:
         reader = reader.schema(schema)
     elif fmt == "csv":
         reader = reader.option("inferSchema", "true")
-    # the listing gives plain paths, this column encoded ones; plus signs stay plus signs
-    path_of = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
-    folder = F.regexp_replace(path_of, "/[^/]*$", "").alias("folder")
     return reader.load(list(names)).select("*", folder)
 
 
+def _with_partitions(own: T.StructType, schema: T.StructType) -> T.StructType:
+    """A file's own columns, and those of the table that its folder may name."""
+    known = {f.name.lower() for f in own}
+    return T.StructType([*own, *[f for f in schema if f.name.lower() not in known]])
+
+
 def land_new_folders(
     spark: SparkSession,
     path: str,

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecheck.functions.names import field, quote
+from tablecheck.sources.scratch import stored
 
 
+_BUCKET = "__bucket"
+
 # Property of a staged copy whose table is at a location of its own.
 _LOCATION = "tablecheck.location"
 
@@ -93,8 +97,8 @@ def replace_table(
     which knows the location, should that be cut off. Files of another format at a
     location of their own belong to someone else: replacing them is an error.
 
-    The data is not shuffled for the write. Each task writes its own part of
-    every bucket or partition, so a bucket with many rows is written by many tasks.
+    Rows are dealt to tasks by bucket before the write; a partition is written by every task
+    that holds rows of it. A bucket with very many rows is written by several tasks.
     """
     spark = df.sparkSession
     recover_table(spark, name)
@@ -175,6 +179,47 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
         spark.conf.set(mode, before)
 
 
+# So many partitions are picked by their values; more by a join.
+_PICKED = 1000
+
+
+def rewrite_partitions(
+    spark: SparkSession, name: str, touched: DataFrame, change: Callable[[DataFrame], DataFrame]
+) -> int:
+    """Change the rows of the partitions in ``touched``; returns how many there were.
+
+    ``touched`` holds the partition columns, in any number of rows. Only those partitions
+    are read and, after the change is stored beside the table, written; the files of all
+    others stay as they are. Rows stay in their partition: the change must not alter the
+    partition columns, nor leave out all rows of a partition. The driver holds the touched
+    partitions' values, as it does the catalog's.
+    """
+    partition_by, _ = table_layout(spark, name)
+    values = stored(touched.select(*[field(c) for c in partition_by]).distinct(), "touched")
+    count = values.count()
+    if not count:
+        return 0
+    rows = load(spark, name)
+    if count <= _PICKED:
+        picked = [
+            reduce(lambda a, b: a & b, [field(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
+            for row in values.collect()
+        ]
+        inside = rows.where(reduce(lambda a, b: a | b, picked))
+    else:
+        same = [field(c, "t").eqNullSafe(field(c, "s")) for c in partition_by]
+        inside = rows.alias("t").join(values.alias("s"), reduce(lambda a, b: a & b, same), "left_semi")
+    overwrite_partitions(stored(change(inside).select(*[field(c) for c in rows.columns]), "rewritten"), name)
+    spark.catalog.refreshTable(quoted(name))
+    return count
+
+
+def append_rows(df: DataFrame, name: str) -> None:
+    """Add rows to a table, in files of their own."""
+    table = df.sparkSession.table(quoted(name))
+    df.select(*[field(c) for c in table.columns]).write.mode("append").insertInto(quoted(name))
+
+
 def table_layout(
     spark: SparkSession, name: str
 ) -> tuple[list[str], tuple[int, list[str]] | None]:
@@ -269,6 +314,8 @@ def _rename(spark: SparkSession, name: str, new_name: str) -> None:
 
 
 def _writer(df, partition_by, bucket_by, location=None, fmt="parquet"):
+    if bucket_by:
+        df = _dealt_by_bucket(df, *bucket_by)
     writer = df.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -280,5 +327,16 @@ def _writer(df, partition_by, bucket_by, location=None, fmt="parquet"):
     return writer
 
 
+def _dealt_by_bucket(df: DataFrame, number: int, columns: Sequence[str]) -> DataFrame:
+    """Rows dealt to tasks by bucket, so that a bucket is one file and not one for each task.
+
+    The exchange is one that Spark may rebalance: small buckets share a task, and a bucket
+    that has filled far more than a task's share is split over several, a file for each.
+    """
+    bucket = F.pmod(F.hash(*[field(c) for c in columns]), F.lit(number))
+    dealt = df.withColumn(_BUCKET, bucket).hint("rebalance", F.col(_BUCKET))
+    return dealt.select(*[field(c) for c in df.columns])
+
+
 def _text(value: str) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from tablecheck.functions import mark_missing, normalize_missing, parse_properties, split_key
 from tablecheck.functions.names import column_id, table_id
+from tablecheck.plans import batch
 from tablecheck.sources import dictionary as shapes
-from tablecheck.sources import folders, footers, landing, tables
+from tablecheck.sources import folders, footers, landing, schemas, tables
 from tablecheck.sources.scratch import scratch_path
 
 
@@ -129,6 +130,59 @@ def test_bucketed_quality_tables_join_without_exchange(spark, db):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def bucket_files(spark, name):
+    """How many files each bucket has."""
+    files = [f.rsplit("_", 1)[1].split(".")[0] for f in spark.table(name).inputFiles()]
+    return {b: files.count(b) for b in files}
+
+
+def test_a_bucket_is_a_file_and_a_hot_one_several(spark, db):
+    tables.ensure_table(spark, f"{db}.t", T.StructType.fromDDL("id bigint, v string"), bucket_by=(10, ["id"]))
+    rows = spark.range(0, 64_000, 1, 32).selectExpr("id", "sha(string(id)) AS v")
+    tables.replace_table(rows, f"{db}.t")
+    assert len(bucket_files(spark, f"{db}.t")) == 10 and set(bucket_files(spark, f"{db}.t").values()) == {1}
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        tables.replace_table(rows.selectExpr("if(id % 2 = 0, 7L, id) AS id", "v"), f"{db}.t")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    found = bucket_files(spark, f"{db}.t")
+    assert sorted(found.values())[-1] >= 4 and sorted(found.values())[-2] <= 2
+    assert spark.table(f"{db}.t").where("id = 7").count() == 32_001
+    assert spark.table(f"{db}.t").count() == 64_000
+
+
+def test_a_merge_leaves_other_partitions_alone(spark, db):
+    name = f"{db}.t"
+    rows = spark.range(30).selectExpr("id", "'old' AS v", "nullif(id % 3, 0) AS p", "concat('q', id % 2) AS q")
+    rows.write.partitionBy("p", "q").saveAsTable(name)
+    before = set(spark.table(name).inputFiles())
+    source = spark.createDataFrame([(3, "new", 9, "z"), (100, "add", 1, "q1"), (101, "add", None, "x")],
+                                   "id long, v string, p long, q string")
+    assert batch.merge_table(spark, name, source, ["id"], {"v": "v"}, "*") == 1
+    gone = before - set(spark.table(name).inputFiles())
+    assert gone and all("p=__HIVE_DEFAULT_PARTITION__/q=q1" in f for f in gone)
+    got = {(r.id, r.v, r.p, r.q) for r in spark.table(name).collect()}
+    want = {(r.id, r.v, r.p, r.q) for r in rows.where("id <> 3").collect()}
+    assert got == want | {(3, "new", None, "q1"), (100, "add", 1, "q1"), (101, "add", None, "x")}
+    assert batch.merge_table(spark, name, source, ["id"], {"v": "v"}, "*") == 3  # now all are known
+    assert spark.table(name).count() == 32
+    assert batch.merge_table(spark, name, source.where("false"), ["id"], {"v": "v"}, "*") == 0
+    with pytest.raises(Exception, match="more than one source row"):
+        batch.merge_table(spark, name, source.union(source), ["id"], {"v": "v"})
+    # a partition column that is updated moves rows: the table is replaced
+    assert batch.merge_table(spark, name, source, ["id"], {"q": "q"}) == -1
+    assert {r.q for r in spark.table(name).where("id = 3").collect()} == {"z"}
+    assert spark.table(name).count() == 32
+
+
 # ---------------------------------------------------------------- landing
 
 
@@ -525,8 +579,6 @@ def test_a_missing_path_cannot_be_listed(spark, tmp_path):
 
 
 def test_folders_land_in_rounds(spark, shelf, tmp_path):
-    from tablecheck.plans import batch
-
     for n in range(9):
         spark.range(n).write.parquet(str(tmp_path / f"lake/day={n}"))
     path = str(tmp_path / "lake")
@@ -535,6 +587,45 @@ def test_folders_land_in_rounds(spark, shelf, tmp_path):
     assert batch.land_files(spark, path, "shelf.l", "shelf.ledger", folders_at_once=2) == 0
 
 
+def test_first_landing_takes_the_schema_all_files_fit(spark, shelf, tmp_path):
+    lake = tmp_path / "lake"
+    spark.range(3).selectExpr("int(id) AS a", "1L AS b", "date'2024-01-02' AS t").write.parquet(str(lake / "day=1"))
+    spark.range(3).selectExpr("id + 0.5D AS a", "2 AS b", "'x' AS later", "timestamp'2024-01-02 03:04:05' AS t",
+                              ).write.parquet(str(lake / "day=2"))
+    spark.range(1).selectExpr("9L AS a", "cast(1.25 AS decimal(5,2)) AS b").write.parquet(str(lake / "day=3"))
+    assert batch.land_files(spark, str(lake), "shelf.l", "shelf.ledger") == 3
+    rows = spark.table("shelf.l")
+    kinds = dict(rows.dtypes)
+    assert (kinds["a"], kinds["t"], kinds["later"], kinds["day"]) == ("double", "timestamp", "string", "int")
+    assert kinds["b"] == "decimal(21,2)"
+    got = sorted((r.a, float(r.b), r.later, r.day) for r in rows.collect())
+    assert got == [(0.0, 1.0, None, 1), (0.5, 2.0, "x", 2), (1.0, 1.0, None, 1), (1.5, 2.0, "x", 2),
+                   (2.0, 1.0, None, 1), (2.5, 2.0, "x", 2), (9.0, 1.25, None, 3)]
+    # later files never alter the table; what does not fit is NULL
+    spark.sql("SELECT 'odd' AS a, '7' AS b, 5 AS later, 1 AS more").write.parquet(str(lake / "day=4"))
+    assert batch.land_files(spark, str(lake), "shelf.l", "shelf.ledger") == 1
+    row = spark.table("shelf.l").where("day = 4").first()
+    assert (row.a, float(row.b), row.later) == (None, 7.0, "5") and "more" not in spark.table("shelf.l").columns
+
+
+@pytest.mark.parametrize(
+    "a,b,both",
+    [
+        ("tinyint", "int", "int"), ("bigint", "double", "double"), ("float", "int", "double"),
+        ("bigint", "decimal(5,2)", "decimal(21,2)"), ("decimal(38,0)", "decimal(38,2)", "string"),
+        ("date", "timestamp", "timestamp"), ("int", "string", "string"), ("boolean", "int", "string"),
+        ("array<int>", "array<double>", "array<double>"), ("map<string,int>", "map<string,bigint>", "map<string,bigint>"),
+        ("struct<x:int,y:int>", "struct<Y:bigint,z:date>", "struct<x:int,y:bigint,z:date>"),
+        ("array<int>", "int", "string"), ("void", "date", "date"),
+    ],
+)
+def test_common_types(spark, a, b, both):
+    kinds = [T.StructType.fromDDL(f"c {kind}")["c"].dataType for kind in (a, b)]
+    assert schemas.common_type(*kinds).simpleString() == both
+    if "struct" not in a:
+        assert schemas.common_type(*kinds[::-1]).simpleString() == both
+
+
 def test_scratch_path_follows_the_session(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_path(spark, "x")
@@ -590,8 +681,6 @@ def test_a_cut_rewrite_at_a_location_is_finished_there(spark, shelf, tmp_path):
 
 @pytest.mark.parametrize("day", ["a b", "a%b", "10:30", "ümlaut", "a+b"])
 def test_odd_folder_names_land_once(spark, shelf, tmp_path, day):
-    from tablecheck.plans import batch
-
     spark.range(5).write.parquet(str(tmp_path / f"lake/run {day}"))
     assert batch.land_files(spark, str(tmp_path / "lake"), "shelf.l", "shelf.ledger") == 1
     # the rows were stored, the ledger was not
