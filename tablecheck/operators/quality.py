@@ -164,12 +164,38 @@ def refresh_quality(
     aggregated side holds every key once. New keys are what the quality table lacks;
     their rows are repeated from the count, those of a frequent key by several tasks.
     """
-    columns = [field(k) for k in keys]
-    partial = any_null(columns)
+    return refresh_from_counts(count_keys(fact, rules, keys), quality, rules, keys)
+
+
+def count_keys(
+    fact: DataFrame, rules: Sequence[Rule], keys: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows and failed tests of each key, for each value of ``by``: counts that can be merged.
+
+    Failed tests are bits, in rule order; they are exact where there is one row.
+    """
     masks = [F.max(mask).alias(name) for name, mask in _masks(rules, _WIDE, fact).items()]
-    grouped = fact.groupBy(*columns).agg(F.count(F.lit(1)).alias(_ROWS), *masks)
-    tags = F.when(~partial & (field(_ROWS) == 1), _failed(rules, _WIDE)).otherwise(_not_unique())
-    tagged = grouped.select(*columns, _ROWS, tags.alias(TAG))
+    columns = [field(c) for c in [*keys, *by]]
+    return fact.groupBy(*columns).agg(F.count(F.lit(1)).alias(_ROWS), *masks)
+
+
+def merge_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts of the same keys, from several parts of a table, as one."""
+    masks = [F.max(c).alias(c) for c in counts.columns if c.startswith(_MASK)]
+    return counts.groupBy(*[field(k) for k in keys]).agg(F.sum(_ROWS).alias(_ROWS), *masks)
+
+
+def refresh_from_counts(
+    counts: DataFrame, quality: DataFrame, rules: Sequence[Rule], keys: Sequence[str]
+) -> DataFrame:
+    """The quality table after these keys have been counted; others keep their tags.
+
+    A key that the table lacks gets as many rows as it has in the fact.
+    """
+    columns = [field(k) for k in keys]
+    full = ~any_null(columns)
+    tags = F.when(full & (field(_ROWS) == 1), _failed(rules, _WIDE)).otherwise(_not_unique())
+    tagged = counts.select(*columns, _ROWS, tags.alias(TAG))
 
     known = quality.withColumn("__h", F.xxhash64(*columns)).alias("q")
     found = tagged.withColumn("__h", F.xxhash64(*columns)).alias("f")
@@ -185,7 +211,7 @@ def refresh_quality(
             for f in quality.schema
         ]
     )
-    lacking = anti(tagged, quality, [(k, k) for k in keys], null_safe=True, split_hot=False)
+    lacking = anti(tagged, quality, [(k, k) for k in keys], null_safe=True)
     return written.unionByName(_repeated(lacking, quality, keys))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from tablecheck.sources.tables import (
     rewrite_partitions,
     table_detail,
     table_layout,
+    table_properties,
 )
 
 DICTIONARY = "dictionary_quality"
@@ -192,6 +194,60 @@ def run_quality(
         )
 
 
+def run_quality_increment(
+    spark: SparkSession, database: str, table: str, dictionary: str = DICTIONARY
+) -> int:
+    """Bring the quality table in line with folders landed since; returns how many.
+
+    ``table`` holds one partition per landed folder, as ``land_files`` stores it. Beside
+    the quality table stands a state, ``state_<table>``: the rows and failed tests of each
+    key in each folder. A run reads the fact's new folders only, looks their keys up in the
+    state, and tags those keys anew; the result is that of a full run over all folders. The
+    state takes the new folders last, so a run that was cut off is simply run again. Other
+    rules make a new state, for which all folders are new once more.
+    """
+    column_rows, table_rows = load(spark, f"{dictionary}.column"), load(spark, f"{dictionary}.table")
+    keys = rules.resolve_key(table_rows, database, table)
+    compiled = rules.compile_rules(
+        rules.null_rules(column_rows), rules.length_rules(column_rows), database, table
+    )
+    fact = load(spark, f"{database}.{table}")
+    state, name = f"{dictionary}.state_{table}", f"{dictionary}.quality_{table}"
+    asked = str([tuple(rule) for rule in compiled])
+    if spark.catalog.tableExists(quoted(state)) and table_properties(spark, state).get(_RULES) != asked:
+        spark.sql(f"DROP TABLE {quoted(state)}")
+    shape = quality.count_keys(fact, compiled, keys, ["folder"]).schema
+    ensure_table(spark, state, shape, partition_by=["folder"], properties={_RULES: asked})
+    ensure_table(spark, name, quality.quality_schema(fact, keys), bucket_by=(BUCKETS, keys))
+    known = load(spark, state)
+    new = _partition_folders(spark, f"{database}.{table}") - _partition_folders(spark, state)
+    if not new:
+        return 0
+    fresh = fact.where(F.col("folder").isin(sorted(new)))
+    fresh = stored(quality.count_keys(fresh, compiled, keys, ["folder"]), "key-counts")
+    # null-safe, since a key that is NULL in part is counted like any other
+    same = [field(k, "t").eqNullSafe(field(k, "s")) for k in keys]
+    before = known.alias("t").join(
+        fresh.select(*[field(k) for k in keys]).distinct().alias("s"),
+        reduce(lambda a, b: a & b, same),
+        "left_semi",
+    )
+    changed = quality.merge_counts(before.unionByName(fresh), keys)
+    replace_table(quality.refresh_from_counts(changed, load(spark, name), compiled, keys), name)
+    overwrite_partitions(fresh.select(*[field(c) for c in known.columns]), state)
+    return len(new)
+
+
+# Property of a state: the rules that its bits stand for.
+_RULES = "tablecheck.rules"
+
+
+def _partition_folders(spark: SparkSession, name: str) -> set[str]:
+    """The folders that a table holds, as the catalog lists them."""
+    rows = spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect()
+    return {unquote(row[0].split("=", 1)[1]) for row in rows}
+
+
 def run_registry(spark: SparkSession, dictionary: str = DICTIONARY) -> None:
     """Sync the registry with the tests the dictionary asks for."""
     columns = load(spark, f"{dictionary}.column")

@@ -1342,6 +1342,45 @@ def land_files_twice(spark, sf_dir):
     return rows.select("event_id", "event_type", "day", days.scalar().alias("folders"))
 
 
+@query("""
+    WITH fact AS (
+        SELECT user_id, event_type, strftime(ts, '%d') <= '15' AS early, value FROM events),
+    keys AS (
+        SELECT user_id, event_type, count(*) AS n, count(*) FILTER (WHERE early) AS before,
+               any_value(length(CAST(user_id AS VARCHAR))) AS width
+        FROM fact GROUP BY ALL)
+    SELECT user_id, event_type, CASE WHEN before > 0 THEN before ELSE n END AS n,
+           CASE WHEN n > 1 THEN 'key_not_unique'
+                WHEN width <> 2 THEN 'lake.events.user_id.is_not_length_2' ELSE '' END AS tags,
+           (SELECT count(DISTINCT strftime(ts, '%Y-%m-%d')) FROM events) AS folders, 0 AS again
+    FROM keys
+""")
+def quality_incremental(spark, sf_dir):
+    # two landings, and a quality run after each, which reads the folders landed since
+    lake, dictionary = _database(spark, "lake"), _database(spark, "dictionary")
+    events = read(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.substring(F.col("ts").cast("string"), 1, 10).alias("day")
+    )
+    early = F.substring("day", 9, 2) <= "15"
+    path = scratch_path(spark, "event days")
+    counted = []
+    for part in (events.where(early), events.where(~early)):
+        part.write.mode("append").partitionBy("day").parquet(path)
+        batch.land_files(spark, path, f"{lake}.events", f"{lake}.ledger")
+        batch.run_landing(spark, [lake], dictionary)
+        batch.configure_rules(
+            spark, {"events": "user_id;event_type"}, [], {"user_id": 2}, dictionary, [lake]
+        )
+        counted.append(batch.run_quality_increment(spark, lake, "events", dictionary))
+    again = batch.run_quality_increment(spark, lake, "events", dictionary)
+    plain = F.replace(tags_text(), F.lit(f"{lake}."), F.lit("lake.")).alias("tags")
+    rows = load(spark, f"{dictionary}.quality_events").select("user_id", "event_type", plain)
+    return rows.groupBy("user_id", "event_type", "tags").agg(F.count(F.lit(1)).alias("n")).select(
+        "user_id", "event_type", "n", "tags", F.lit(sum(counted)).cast("bigint").alias("folders"),
+        F.lit(again).alias("again"),
+    )
+
+
 def _database(spark: SparkSession, label: str) -> str:
     """A database of its own for one run."""
     name = f"{label}_{uuid.uuid4().hex}"

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tablecheck.operators import layout, registry
+from tablecheck.operators import layout, quality, registry, rules
 from tablecheck.plans import batch
 from tablecheck.sources import tables
 
@@ -220,3 +220,68 @@ def test_large_quality_table_gets_buckets_by_its_rows(spark, monkeypatch):
     assert tables.table_layout(spark, name) == ([], (17, ["id"]))
     rows = tables.load(spark, name).collect()
     assert len(rows) == 100 and all(r.data_quality_tag == [] for r in rows)
+
+
+def test_a_quality_run_reads_new_folders_only(spark, tmp_path):
+    for name in ("inc_lake", "inc_dict"):
+        spark.sql(f"CREATE DATABASE {name}")
+    try:
+        path = tmp_path / "in"
+        key = "k bigint, v string"
+
+        def run(day, rows_):
+            spark.createDataFrame(rows_, key).coalesce(1).write.parquet(f"{path}/day={day}")
+            batch.land_files(spark, str(path), "inc_lake.t", "inc_lake.ledger")
+            if not full[1:]:
+                batch.run_landing(spark, ["inc_lake"], "inc_dict")
+                batch.configure_rules(spark, {"t": "k"}, ["v"], {}, "inc_dict")
+            done = batch.run_quality_increment(spark, "inc_lake", "t", "inc_dict")
+            # a full run over the same rows, from the same former state
+            fact = tables.load(spark, "inc_lake.t")
+            if not gone:
+                full.append(quality.refresh_quality(fact, full[-1], rule, ["k"]).collect())
+                full[-1] = spark.createDataFrame(full[-1], full[0].schema)
+                assert tags("inc_dict.quality_t") == sorted(map(tag, full[-1].collect()), key=repr)
+            return done
+
+        def tag(row):
+            return row.k, None if row.data_quality_tag is None else tuple(row.data_quality_tag)
+
+        def tags(name):
+            return sorted(map(tag, tables.load(spark, name).collect()), key=repr)
+
+        gone = False
+        rule = [rules.Rule("inc_lake.t.v.is_null", "v")]
+        full = [spark.createDataFrame([], "k bigint, data_quality_tag array<string>")]
+        assert run(1, [(1, "a"), (2, None), (3, "c"), (3, "d"), (None, "x")]) == 1
+        assert run(2, [(1, "b"), (4, None), (None, "y"), (5, "e"), (5, None)]) == 1
+        assert batch.run_quality_increment(spark, "inc_lake", "t", "inc_dict") == 0
+        # the files of folders that were counted are not read again
+        gone = True
+        for file in spark.table("inc_lake.t").inputFiles():
+            with open(file.removeprefix("file:").replace("///", "/").replace("%25", "%"), "w") as out:
+                out.write("no parquet")
+        assert run(3, [(2, "z"), (6, None), (7, "g")]) == 1
+        found = dict(tags("inc_dict.quality_t"))
+        assert found[2] == found[1] == ("key_not_unique",)
+        assert found[6] == ("inc_lake.t.v.is_null",) and found[7] == () == found.get(8, ())
+    finally:
+        for name in ("inc_lake", "inc_dict"):
+            spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_a_run_stores_each_dictionary_once(spark):
+    for name in ("few_lake", "few_dict"):
+        spark.sql(f"CREATE DATABASE {name}")
+    try:
+        for t in ("a", "b"):
+            spark.range(9).selectExpr("id", "'x' AS v").write.saveAsTable(f"few_lake.{t}")
+        spark.sparkContext.setJobGroup("few", "counted")
+        batch.run_pipeline(spark, ["few_lake"], {"a": "id", "b": "id"}, ["v"], {"v": 1}, "few_dict")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("few")
+        assert len(jobs) < 150  # every shuffle is a job of its own to adaptive execution
+        assert spark.table("few_dict.quality_a").count() == 9
+    finally:
+        spark.sparkContext.setJobGroup("others", "not counted")
+        for name in ("few_lake", "few_dict"):
+            spark.sql(f"DROP DATABASE {name} CASCADE")
