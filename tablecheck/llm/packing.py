@@ -36,6 +36,7 @@ PIECES_PER_TASK = 50_000
 TASKS_MET = 16
 PASSED_ON = 64
 EXCHANGES = 3
+_ROW = "__row"
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -128,7 +129,9 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     More columns, ``sequences_bound`` and ``sequences_made``, hold the lower bound for all
     pieces and the number made, so a caller sees how near to optimal the packing is.
     """
-    parts = stored(parts, "pack-pieces")
+    # numbered where they are stored, so that rows of one id or none are dealt like others
+    numbered = stored(parts.withColumn(_ROW, F.monotonically_increasing_id()), "pack-pieces")
+    parts = numbered.drop(_ROW)
     lengths = parts.groupBy("length").count().collect()  # capacity rows at most
     histogram = np.zeros(capacity + 1, np.int64)
     for length, count in lengths:
@@ -136,7 +139,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     bound = lower_bound(histogram, capacity)
     tasks = max(1, math.ceil(int(histogram.sum()) / PIECES_PER_TASK))
     schema = parts.schema.add("sequence_id", "long").add("offset", "long").add("open", "boolean")
-    waiting = parts.withColumn("task", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(tasks)))
+    waiting = numbered.withColumn("task", F.pmod(F.xxhash64(_ROW), F.lit(tasks))).drop(_ROW)
     done, made, level, exchanges = [], 0, 0, 0
     before = fewest = None  # the open rows so far, and in how many sequences
     while True:

@@ -263,6 +263,9 @@ def read_back(spark: SparkSession, index: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("offset", "length", "page_id"))).alias("records"))
         # a frame's records, bounded by its size
     )
+    # a task opens a bundle once and reads its frames in order
+    bundles = index.select("bundle").distinct().count()
+    frames = frames.repartition(max(1, bundles), "bundle").sortWithinPartitions("bundle", "frame")
     schema = StructType.fromDDL(
         "page_id long, url string, record_type string, record_id string, refers_to_id string, "
         "payload_digest string, payload_bytes long, payload binary, intact boolean"

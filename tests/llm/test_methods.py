@@ -157,6 +157,25 @@ def test_no_task_packs_most_pieces(spark, monkeypatch):
     assert got["sequences_made"].iloc[0] <= 1.02 * alone
 
 
+def test_rows_of_one_id_are_dealt_to_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_PER_TASK", 500)
+    rows = [(None, 0, 0, 1 + n % 900, 0) for n in range(2000)]
+    got = packing.pack(spark.createDataFrame(rows, packing.PIECE)).toPandas()
+    assert len(got) == 2000 and got["length"].sum() == sum(row[3] for row in rows)
+    tasks = (got["sequence_id"].to_numpy() >> 24) & 0xFFFFFFFF
+    level = got["sequence_id"].to_numpy() >> 56
+    assert len(set(tasks[level == 0])) > 1
+
+
+def test_bundles_are_read_by_a_task_each(spark):
+    pages = spark.range(0, 400, 1, 6).selectExpr("id AS page_id", "'u' AS url", "repeat(sha(string(id)), 20) AS html")
+    index = warc.write(pages)
+    bundles = index.select("bundle").distinct().count()
+    records = warc.read_back(spark, index)
+    assert records.where("intact").count() == 400
+    assert records.rdd.getNumPartitions() == bundles == 6
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 12), min_size=1, max_size=7))
 def test_lower_bound_is_below_the_optimum(lengths):
