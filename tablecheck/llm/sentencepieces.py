@@ -6,8 +6,11 @@ dropout, every candidate that comes up in an occurrence of a word is skipped by
 the chance ``rate``: the numbers of candidates between skips are drawn from a geometric
 distribution by hashes keyed by seed, row key and the occurrence's number in the text. So
 any occurrence may be cut in any way, and any run of a seed gives the same ids. A worker
-remembers words by what was skipped in them (up to a fixed number; one in ``variants`` of
-these without skips), which does not change the ids. Rate 0 gives the library's own ids.
+remembers how words are cut without skips, up to a number of bytes, and nothing of words
+with skips. New words and those with skips, of many texts, work off their agendas together,
+one candidate of each word a step, as rows of an array; very long words, and words with
+characters that are no pieces, do so one by one over a heap, with the same ids. Rate 0 gives
+the library's own ids.
 
 No piece joins across the beginning of white space or a line break (checked when the model
 is loaded), so words are encoded by themselves; characters without a piece become bytes.
@@ -25,7 +28,7 @@ import heapq
 import math
 import re
 import zlib
-from collections.abc import Collection
+from collections.abc import Callable, Collection, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,8 +43,11 @@ from tablecheck.llm.common import Memory, turn_of
 
 PIECE_BPE = "piece_bpe_32k.model"
 MARK = "▁"
-KEPT_BYTES = 192 << 20
+KEPT_BYTES = 96 << 20
 LONGEST_KEPT = 48
+CHARS_AT_ONCE = 1 << 20  # of texts, whose words are cut together
+ROWS_AT_ONCE = 8192
+NEVER = np.iinfo(np.int32).max
 _WORDS = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 
 
@@ -69,6 +75,120 @@ class PieceBpe:
                 self.scores[piece] = -model.get_score(i)
                 self.surface.append(piece.replace(MARK, " ").encode())
         self.mark_bytes = self._packed([self.byte_ids[b] for b in MARK.encode()])
+        self.none = len(self.surface)
+        self.by_code = np.full(0x110000, -1, np.int32)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.by_code[ord(piece)] = i
+        pairs = sorted(
+            (self._pair(self.ids[piece[:k]], self.ids[piece[k:]]), self.scores[piece], i)
+            for piece, i in self.ids.items()
+            for k in range(1, len(piece))
+            if piece[:k] in self.ids and piece[k:] in self.ids
+        )
+        self.pairs = np.array([pair for pair, _, _ in pairs] + [np.iinfo(np.int64).max])
+        _, ranks = np.unique(np.array([score for _, score, _ in pairs]), return_inverse=True)
+        self.ranks = np.append(ranks, NEVER).astype(np.int32)
+        self.merged = np.array([i for _, _, i in pairs] + [self.none], np.int32)
+
+    def _pair(self, first, second):
+        return first * (self.none + 1) + second
+
+    def _found(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Places in ``pairs`` of pairs of ids; the last place, of none, for the others."""
+        pair = self._pair(first.astype(np.int64), second)
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, at, len(self.pairs) - 1)
+
+    def letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the words' characters in a row, how many each word has, and the words that
+        fit an array: not very long, and without characters that are no pieces."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        ids = self.by_code[codes]
+        wide = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+        starts = np.cumsum(sizes) - sizes
+        known = np.minimum.reduceat(ids, starts) >= 0
+        return ids, sizes, known & (np.add.reduceat(wide, starts) <= LONGEST_KEPT)
+
+    def cut_all(
+        self,
+        letters: np.ndarray,
+        sizes: np.ndarray,
+        due: np.ndarray,
+        gaps: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    ) -> tuple[list[bytes], np.ndarray]:
+        """Packed ids of many words and how many these are, in the words' order, from the ids
+        of their characters in a row."""
+        found, counts = [b""] * len(sizes), np.empty(len(sizes), np.int64)
+        starts = np.cumsum(sizes) - sizes
+        order = np.argsort(sizes, kind="stable")  # so that arrays are little wider than words
+        for first in range(0, len(order), ROWS_AT_ONCE):
+            rows = order[first : first + ROWS_AT_ONCE]
+            wide = np.arange(sizes[rows[-1]] + 1)
+            inside = wide < sizes[rows][:, None]
+            at = np.where(inside, starts[rows][:, None] + wide, 0)
+            parts, kept = self.segment_all(
+                np.where(inside, letters[at], np.int32(self.none)), sizes[rows], due[rows],
+                lambda own, n: gaps(rows[own], n),
+            )
+            counts[rows] = kept
+            data, start = parts[wide < kept[:, None]].astype("<u4").tobytes(), 0
+            for row, end in zip(rows.tolist(), (np.cumsum(kept) * 4).tolist()):
+                found[row] = data[start:end]
+                start = end
+        return found, counts
+
+    def segment_all(
+        self,
+        parts: np.ndarray,
+        sizes: np.ndarray,
+        due: np.ndarray,
+        gaps: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """``segment`` of many words at once: their ids and how many these are.
+
+        A row of ``parts`` holds a word's ids by character and ``none`` after them, once at
+        least. ``due`` is the number of the first candidate to be skipped, ``gaps(rows, n)``
+        how many come up after the n-th skip of a row and before its next.
+        """
+        out, kept = parts.copy(), sizes.copy()
+        rows, parts, sizes, due = np.arange(len(parts)), parts.copy(), sizes.copy(), due.copy()
+        ranks = np.full(parts.shape, NEVER, np.int32)
+        ranks[:, :-1] = self.ranks[self._found(parts[:, :-1], parts[:, 1:])]
+        skipped = np.zeros(len(rows), np.int64)
+        columns, number = np.arange(parts.shape[1] - 1), 0
+        while len(rows):
+            at = ranks.argmin(axis=1)
+            live = ranks[np.arange(len(rows)), at] < NEVER
+            if not live.all():
+                done = ~live
+                out[rows[done]], kept[rows[done]] = parts[done], sizes[done]
+                rows, parts, ranks, sizes, due, skipped, at = (
+                    x[live] for x in (rows, parts, ranks, sizes, due, skipped, at)
+                )
+                if not len(rows):
+                    break
+            skip = due == number
+            here = np.flatnonzero(skip)
+            if len(here):
+                ranks[here, at[here]] = NEVER
+                skipped[here] += 1
+                due[here] += 1 + gaps(rows[here], skipped[here])
+            here = np.flatnonzero(~skip)
+            i = at[here]
+            whole = self.merged[self._found(parts[here, i], parts[here, i + 1])]
+            moved = columns > np.where(skip, len(columns), at)[:, None]
+            parts[:, :-1] = np.where(moved, parts[:, 1:], parts[:, :-1])
+            ranks[:, :-1] = np.where(moved, ranks[:, 1:], ranks[:, :-1])
+            parts[here, i] = whole
+            ranks[here, i] = self.ranks[self._found(whole, parts[here, i + 1])]
+            before = i > 0
+            b, j = here[before], i[before]
+            ranks[b, j - 1] = self.ranks[self._found(parts[b, j - 1], whole[before])]
+            sizes[here] -= 1
+            number += 1
+        return out, kept
 
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
@@ -126,16 +246,15 @@ class PieceBpe:
 
 
 class Dropout:
-    """Encoder of one model, rate, seed and share of memory, with its memory."""
+    """Encoder of one model, rate and seed, with its memory in ``shares`` parts of all."""
 
     _known: dict[tuple, Dropout] = {}
 
-    def __init__(self, path: str, rate: float, seed: int, variants: int) -> None:
+    def __init__(self, path: str, rate: float, seed: int, shares: int = 1) -> None:
         self.bpe = PieceBpe(path)
         self.rate = rate
         self.seed = seed
-        self.plain = _Words(self.bpe, KEPT_BYTES // max(1, variants))
-        self.skipping = _Words(self.bpe, KEPT_BYTES - self.plain.most)
+        self.plain = _Words(self.bpe, KEPT_BYTES // max(1, shares))
 
     @classmethod
     def of(cls, *settings) -> Dropout:
@@ -146,53 +265,106 @@ class Dropout:
 
     def encode(self, text: str, row_key: int) -> bytes:
         """Little-endian unsigned 32-bit ids of a whole text."""
-        if not text:
-            return b""
-        out, number = [], 0
+        return next(self.encode_all([text], [row_key]))
+
+    def encode_all(
+        self, texts: Iterable[str | None], row_keys: Iterable[int]
+    ) -> Iterator[bytes | None]:
+        """The ids of each text, in order; of a null text, null."""
+        waiting, size = [], 0
+        for text, row_key in zip(texts, row_keys):
+            waiting.append((None if text is None else self._words(text), row_key))
+            size += 1 + len(text or "")
+            if size >= CHARS_AT_ONCE:
+                yield from self._encoded(waiting)
+                waiting, size = [], 0
+        yield from self._encoded(waiting)
+
+    @staticmethod
+    def _words(text: str) -> list[list[str]]:
+        """The words of a text, of each stretch between its literal marks."""
+        return [
+            _WORDS.findall((MARK if n == 0 else "") + stretch.replace(" ", MARK))
+            for n, stretch in enumerate(text.split(MARK) if text else [])
+        ]
+
+    def _encoded(self, waiting: list[tuple]) -> Iterator[bytes | None]:
+        self.plain.learn({
+            word for stretches, _ in waiting for words in stretches or [] for word in words
+        })
+        skips: list[tuple] = []
+        cut = [None if words is None else self._text(words, key, skips) for words, key in waiting]
+        self._segment_all(skips)
+        for ids in cut:
+            yield None if ids is None else b"".join(ids)
+
+    def _text(self, stretches: list[list[str]], row_key: int, skips: list) -> list[bytes]:
+        """Ids of a text word by word. Words with skips are not cut yet, but added to
+        ``skips`` with their places in this list."""
+        out: list[bytes] = []
+        number = 0
         base = xxhash.xxh3_64_intdigest(row_key.to_bytes(8, "little", signed=True), self.seed)
-        for n, stretch in enumerate(text.split(MARK)):  # literal marks between
+        for n, words in enumerate(stretches):
             if n:
                 out.append(self.bpe.mark_bytes)
-            words = _WORDS.findall((MARK if n == 0 else "") + stretch.replace(" ", MARK))
             found = list(map(self.plain.__getitem__, words))
-            ids = [each for _, each in found]
+            start = len(out)
+            out.extend([ids for _, ids, _ in found])
             if self.rate > 0 and words:
-                self._skip(words, found, ids, base, number)
-            out.extend(ids)
+                self._skips(words, found, out, start, base, number, skips)
             number += len(words)
-        return b"".join(out)
-
-    def _skip(self, words: list, found: list, ids: list, base: int, number: int) -> None:
-        """Put the ids of words with skipped merges in their places."""
-        merges = np.fromiter((count for count, _ in found), np.int64, len(words))
-        places = np.arange(number, number + len(words))
-        next_skip = self._gaps(base, places, 0)
-        active = np.flatnonzero(next_skip < merges)
-        keys = []
-        for at, skip in zip(active.tolist(), next_skip[active].tolist()):
-            if len(words[at]) > LONGEST_KEPT:  # at once: no word has three times its candidates
-                every = np.arange(3 * len(words[at]))
-                gaps = self._gaps(base, np.full(len(every), number + at), every)
-                skips = set((np.cumsum(gaps + 1) - 1).tolist())
-                ids[at] = PieceBpe._packed(self.bpe.segment(words[at], skips)[1])
-            else:
-                keys.append((at, (words[at], skip)))
-        level = 1
-        while keys:
-            gaps = self._gaps(base, places[[at for at, _ in keys]], level).tolist()
-            again = []
-            for (at, key), gap in zip(keys, gaps):
-                count, ids[at] = self.skipping[key]
-                if key[-1] + 1 + gap < count:
-                    again.append((at, (*key, key[-1] + 1 + gap)))
-            keys, level = again, level + 1
-
-    def _gaps(self, base: int, occurrences: np.ndarray, skips: int | np.ndarray) -> np.ndarray:
+        return out
+
+    def _skips(
+        self, words: list, found: list, out: list, start: int, base: int, number: int, skips: list
+    ) -> None:
+        """Find the words that have a skip, and cut those at once that don't fit an array."""
+        merges = np.fromiter((count for count, _, _ in found), np.int64, len(words))
+        due = self._gaps(base, np.arange(number, number + len(words)), 0)
+        active = np.flatnonzero(due < merges)
+        fit = []
+        for at in active.tolist():
+            if found[at][2] is not None:
+                fit.append(at)
+                continue
+            every = np.arange(3 * len(words[at]))  # no word has three times its candidates
+            gaps = self._gaps(base, np.full(len(every), number + at), every)
+            cut = self.bpe.segment(words[at], set((np.cumsum(gaps + 1) - 1).tolist()))[1]
+            out[start + at] = PieceBpe._packed(cut)
+        if fit:
+            at = np.array(fit)
+            letters = [found[i][2] for i in fit]
+            skips.append((out, (start + at).tolist(), number + at, due[at], letters, base))
+
+    def _segment_all(self, skips: list[tuple]) -> None:
+        """Cut the words that have skips, and put their ids in their places."""
+        if not skips:
+            return
+        letters = [each for *_, part, _ in skips for each in part]
+        sizes = np.fromiter(map(len, letters), np.int64, len(letters)) // 4
+        counts = [len(part[1]) for part in skips]
+        base = np.repeat(np.array([part[5] for part in skips], np.uint64), counts)
+        occurrence = np.concatenate([part[2] for part in skips])
+        found, _ = self.bpe.cut_all(
+            np.frombuffer(b"".join(letters), "<u4").astype(np.int32),
+            sizes,
+            np.concatenate([part[3] for part in skips]),
+            lambda rows, n: self._gaps(base[rows], occurrence[rows], n),
+        )
+        at = 0
+        for out, places, *_ in skips:
+            for place in places:
+                out[place] = found[at]
+                at += 1
+
+    def _gaps(
+        self, base: int | np.ndarray, occurrences: np.ndarray, skips: int | np.ndarray
+    ) -> np.ndarray:
         """How many candidates come up before the next skip, for each occurrence."""
         if self.rate >= 1:
             return np.zeros(len(occurrences), np.int64)
         with np.errstate(over="ignore"):
-            x = occurrences.astype(np.uint64) + np.uint64(base)
+            x = occurrences.astype(np.uint64) + np.asarray(base, np.uint64)
             x += np.asarray(skips, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
             x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -202,42 +374,65 @@ class Dropout:
 
 
 class _Words(Memory):
-    """Merges that come up and ids of a word, or of (word, skipped merges)."""
+    """Merges that come up in a word without skips, its ids, and those of its characters
+    if they fit an array."""
 
     def __init__(self, bpe: PieceBpe, most: int) -> None:
         super().__init__("sentencepieces", most)
         self.bpe = bpe
 
-    def __missing__(self, key: str | tuple) -> tuple[int, bytes]:
-        word, skips = (key, ()) if isinstance(key, str) else (key[0], key[1:])
-        merges, ids = self.bpe.segment(word, skips)
-        found = merges, PieceBpe._packed(ids)
-        if len(word.encode("utf-8", "replace")) <= LONGEST_KEPT:
-            self.keep(key, found, len(found[1]) + 100 + 64 * len(skips))
-        return found
+    def __missing__(self, word: str) -> tuple[int, bytes, bytes | None]:
+        self.learn({word})
+        if word in self:
+            return self[word]
+        merges, ids = self.bpe.segment(word)
+        found = merges, PieceBpe._packed(ids), None
+        size = len(word.encode("utf-8", "replace"))
+        return self.keep(word, found, 100 + size + len(found[1])) if size <= LONGEST_KEPT else found
+
+    def learn(self, words: set[str]) -> None:
+        """Remember all of the words that fit an array, together."""
+        new = list(words - self.keys())
+        if self.used + len(new) * (self.ENTRY_BYTES + 150) > self.most:
+            self.clear()
+            self.used, new = 0, list(words)
+        if not new:
+            return
+        letters, sizes, fit = self.bpe.letters(new)
+        letters, sizes = letters[np.repeat(fit, sizes)], sizes[fit]
+        found, counts = self.bpe.cut_all(letters, sizes, np.full(len(sizes), -1), lambda rows, n: n)
+        data, ends = letters.astype("<u4").tobytes(), (np.cumsum(sizes) * 4).tolist()
+        merges, start = (sizes - counts).tolist(), 0
+        for at, ids, count, end in zip(np.flatnonzero(fit).tolist(), found, merges, ends):
+            own = data[start:end] if count else None
+            self.keep(new[at], (count, ids, own), 100 + len(ids) + end - start)
+            start = end
 
 
 def encode(
     df: DataFrame,
     rate: float = 0.1,
     seed: int = 1,
-    variants: int = 4,
     key_col: str = "doc_id",
     text_col: str = "text",
     to: str = "ids",
     model: str | None = None,
 ) -> DataFrame:
-    """``df`` with the ids of its texts as array<int> in column ``to``."""
+    """``df`` with the ids of its texts as array<int> in column ``to``.
+
+    Spark is told that the function is not deterministic, though it is: else it would run it
+    once more for each use of the ids by another function.
+    """
 
     def ids(texts: pd.Series, keys: pd.Series) -> pd.Series:
         turn_of("sentencepieces")
-        encoder = Dropout.of(model or public_tokenizers.path(PIECE_BPE), rate, seed, variants)
-        return pd.Series([
-            None if text is None else np.frombuffer(encoder.encode(text, int(key)), "<i4")
-            for text, key in zip(texts, keys)
-        ], dtype=object)
+        encoder = Dropout.of(model or public_tokenizers.path(PIECE_BPE), rate, seed)
+        found = encoder.encode_all(texts, map(int, keys))
+        return pd.Series(
+            [None if x is None else np.frombuffer(x, "<i4") for x in found], dtype=object
+        )
 
-    encoded = F.pandas_udf(ids, "array<int>")
+    encoded = F.pandas_udf(ids, "array<int>").asNondeterministic()
     key = F.coalesce(field(key_col).cast("long"), F.lit(0))
     return df.withColumn(to, encoded(field(text_col).cast("string"), key))
 
@@ -249,7 +444,7 @@ def decode(
 
     def texts(ids: pd.Series) -> pd.Series:
         path = model or public_tokenizers.path(PIECE_BPE)
-        bpe = Dropout.of(path, 0.0, 0, 1).bpe
+        bpe = Dropout.of(path, 0.0, 0).bpe
         return pd.Series(
             [None if x is None else bpe.decode(np.asarray(x)) for x in ids], dtype=object
         )

@@ -16,6 +16,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as spark_entry
@@ -443,3 +444,36 @@ def test_languages(spark, duck):
     assert sum(given_lang[r["doc_id"]] == r["lang"] and r["accepted"] for r in rows) >= 0.97 * len(rows)
     pages = QUERIES["language_pages"](spark, SF_DIR).collect()
     assert sum(r["accepted"] for r in pages) >= 0.95 * len(pages)
+
+
+def test_sentencepieces_over_arrays_are_those_over_a_heap(documents, monkeypatch):
+    path = public_tokenizers.path(sentencepieces.PIECE_BPE)
+    texts = list(documents.values())
+    texts += [None, "", "漢字かな交じり文 ▁▁ x▁y\n\n  aa", "🙂🙂 abc\x00d é́", "wordsofmany" * 40]
+    for rate in (0.1, 0.5, 1.0):
+        together = list(sentencepieces.Dropout(path, rate, 1).encode_all(texts, range(len(texts))))
+        with monkeypatch.context() as m:
+            m.setattr(sentencepieces, "LONGEST_KEPT", 0)  # every word by itself
+            alone = sentencepieces.Dropout(path, rate, 1)
+            for key in [*range(0, len(texts) - 5, 40), *range(len(texts) - 5, len(texts))]:
+                text = texts[key]
+                assert together[key] == (None if text is None else alone.encode(text, key))
+
+
+def test_sentencepieces_are_found_once_for_all_uses(spark):
+    df = spark.createDataFrame([(1, "a text"), (2, None)], "doc_id long, text string")
+    both = sentencepieces.decode(sentencepieces.encode(df))
+    used = both.select(sentencepieces.ids_crc32(F.col("ids")).alias("crc"), "ids", "decoded")
+    plan = used._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[ids(") == plan.count(" ids(") + 1 == 1, plan
+
+
+def test_sentencepieces_forget_and_go_on(documents, monkeypatch):
+    path = public_tokenizers.path(sentencepieces.PIECE_BPE)
+    texts = list(documents.values())
+    whole = list(sentencepieces.Dropout(path, 0.1, 1).encode_all(texts, range(len(texts))))
+    monkeypatch.setattr(sentencepieces, "KEPT_BYTES", 20_000)
+    monkeypatch.setattr(sentencepieces, "CHARS_AT_ONCE", 5_000)
+    small = sentencepieces.Dropout(path, 0.1, 1)
+    assert list(small.encode_all(texts, range(len(texts)))) == whole
+    assert small.plain.used <= 20_000
