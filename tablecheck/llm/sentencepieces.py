@@ -25,14 +25,15 @@ gives no rows; other columns stay as they are (the new column replaces one of it
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import re
 import zlib
 from collections.abc import Callable, Collection, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -43,10 +44,11 @@ from tablecheck.llm.common import Memory, turn_of
 
 PIECE_BPE = "piece_bpe_32k.model"
 MARK = "▁"
-KEPT_BYTES = 96 << 20
+KEPT_BYTES = 64 << 20
 LONGEST_KEPT = 48
-CHARS_AT_ONCE = 1 << 20  # of texts, whose words are cut together
+CHARS_AT_ONCE = 1 << 19  # of texts, whose words are cut together
 ROWS_AT_ONCE = 8192
+TEXTS_AT_ONCE = 256  # as Python objects
 NEVER = np.iinfo(np.int32).max
 _WORDS = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 
@@ -424,15 +426,12 @@ def encode(
     once more for each use of the ids by another function.
     """
 
-    def ids(texts: pd.Series, keys: pd.Series) -> pd.Series:
+    def ids(texts: pa.Array, keys: pa.Array) -> pa.Array:
         turn_of("sentencepieces")
         encoder = Dropout.of(model or public_tokenizers.path(PIECE_BPE), rate, seed)
-        found = encoder.encode_all(texts, map(int, keys))
-        return pd.Series(
-            [None if x is None else np.frombuffer(x, "<i4") for x in found], dtype=object
-        )
+        return _lists(encoder.encode_all(_values(texts), _values(keys)))
 
-    encoded = F.pandas_udf(ids, "array<int>").asNondeterministic()
+    encoded = F.arrow_udf(ids, "array<int>").asNondeterministic()
     key = F.coalesce(field(key_col).cast("long"), F.lit(0))
     return df.withColumn(to, encoded(field(text_col).cast("string"), key))
 
@@ -442,21 +441,49 @@ def decode(
 ) -> DataFrame:
     """``df`` with the texts of its ids in column ``to``."""
 
-    def texts(ids: pd.Series) -> pd.Series:
-        path = model or public_tokenizers.path(PIECE_BPE)
-        bpe = Dropout.of(path, 0.0, 0).bpe
-        return pd.Series(
-            [None if x is None else bpe.decode(np.asarray(x)) for x in ids], dtype=object
-        )
+    def texts(ids: pa.Array) -> pa.Array:
+        bpe = Dropout.of(model or public_tokenizers.path(PIECE_BPE), 0.0, 0).bpe
+        found = (None if x is None else bpe.decode(x) for x in _arrays(ids))
+        parts = [pa.array([], pa.string())]
+        while part := list(itertools.islice(found, TEXTS_AT_ONCE)):
+            parts.append(pa.array(part, pa.string()))
+        return pa.concat_arrays(parts)
+
+    return df.withColumn(to, F.arrow_udf(texts, "string")(field(ids_col)))
+
+
+def _values(column: pa.Array) -> Iterator:
+    """The values of a column, few at once as Python objects."""
+    for at in range(0, len(column), TEXTS_AT_ONCE):
+        yield from column.slice(at, TEXTS_AT_ONCE).to_pylist()
+
+
+def _arrays(lists: pa.Array) -> Iterator[np.ndarray | None]:
+    """Each row's ids, as views of the column; a null id counts as -1, which is none."""
+    flat = lists.values.fill_null(-1).to_numpy(zero_copy_only=False)
+    offsets, null = lists.offsets.to_pylist(), lists.is_null().to_pylist()
+    for start, end, missing in zip(offsets, offsets[1:], null):
+        yield None if missing else flat[start:end]
+
 
-    return df.withColumn(to, F.pandas_udf(texts, "string")(field(ids_col)))
+def _lists(rows: Iterable[bytes | None]) -> pa.Array:
+    """A column of lists from the packed ids of each row."""
+    data, ends, null = bytearray(), [0], []
+    for row in rows:
+        data += row or b""
+        ends.append(len(data) // 4)
+        null.append(row is None)
+    return pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.array(np.frombuffer(data, "<i4")),
+        mask=pa.array(null, pa.bool_()),
+    )
 
 
 def ids_crc32(ids: Column) -> Column:
     """crc32 of ids as little-endian unsigned 32-bit numbers."""
 
-    def digest(values: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else zlib.crc32(np.asarray(x, "<u4")) for x in values],
-                         dtype="Int64")
+    def digest(values: pa.Array) -> pa.Array:
+        found = [None if x is None else zlib.crc32(x.astype("<i4")) for x in _arrays(values)]
+        return pa.array(found, pa.int64())
 
-    return F.pandas_udf(digest, "long")(ids)
+    return F.arrow_udf(digest, "long")(ids)
