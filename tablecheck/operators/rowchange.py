@@ -214,7 +214,7 @@ def anti(
         if hot:  # unique keys, so no more rows than frequent keys
             rest = a.alias("t").join(F.broadcast(b).alias("s"), condition, "left_anti")
         else:
-            t, s, same = skew.spread(a, b, on)
+            t, s, same = skew.spread(a, b, on, null_safe)
             rest = t.join(s, same & condition, "left_anti")
         parts.append(rest.select(*[field(c, "t") for c in left.columns]))
     return reduce(DataFrame.unionByName, parts)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablecheck.functions.names import field
+from tablecheck.functions.names import any_null, field
 
 
 @dataclass(frozen=True)
@@ -48,15 +48,29 @@ _HASH = "__key_hash"
 
 
 def spread(
-    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], null_safe: bool = False
 ) -> tuple[DataFrame, DataFrame, Column]:
-    """Both sides as ``t`` and ``s`` with the hash of their key, and its equality."""
+    """Both sides as ``t`` and ``s`` with the hash of their key, and its equality.
+
+    Unless keys compare null-safe, a left row whose key is NULL in part matches nothing,
+    so it may go anywhere: such rows are dealt by all they hold, not into one task.
+    """
     types = key_types(left, right, on)
-    t = left.withColumn(_HASH, key_hash([a for a, _ in on], types)).alias("t")
+    names = [a for a, _ in on]
+    key = key_hash(names, types)
+    if not null_safe:
+        rest = [field(f.name) for f in left.schema if _hashable(f.dataType)]
+        key = F.when(any_null([field(a) for a in names]), F.xxhash64(*rest)).otherwise(key)
+    t = left.withColumn(_HASH, key).alias("t")
     s = right.withColumn(_HASH, key_hash([b for _, b in on], types)).alias("s")
     return t, s, field(_HASH, "t") == field(_HASH, "s")
 
 
+def _hashable(kind: T.DataType) -> bool:
+    """Whether Spark hashes values of this type: those of maps and variants it does not."""
+    return not any(name in kind.simpleString() for name in ("map<", "variant"))
+
+
 def key_types(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> list[T.DataType]:
     """Common type of each key pair, as Spark's set operations widen them."""
     both = left.select(*[field(a) for a, _ in on]).union(right.select(*[field(b) for _, b in on]))

@@ -453,6 +453,7 @@ def merge_upsert_hot_keys(spark, sf_dir):
         ["id"],
         matched={"quantity": "price"},
         not_matched={"id": "id", "quantity": "price"},
+        split_hot=True,
     )
     return (
         merged.select(text("id"), "quantity")

@@ -355,3 +355,16 @@ def test_small_source_leaves_the_target_in_place(spark, tmp_path):
         for how in (None, False)
     )
     assert rows(one) == rows(two)
+
+
+def test_rows_without_a_full_key_are_not_dealt_to_one_task(spark):
+    left = spark.createDataFrame([(None, n) for n in range(50)] + [(7, 0), (7, 1)], "id long, v long")
+    right = spark.createDataFrame([(7, 1), (None, 2)], "id long, v long")
+    t, s, _ = skew.spread(left, right, [("id", "id")])
+    hashes = {r["id"]: r["n"] for r in t.groupBy("id").agg(F.count_distinct("__key_hash").alias("n")).collect()}
+    assert hashes == {None: 50, 7: 1}
+    safe, s, _ = skew.spread(left, right, [("id", "id")], null_safe=True)
+    own = safe.where("id IS NULL").select("__key_hash").distinct().collect()
+    assert own == s.where("id IS NULL").select("__key_hash").collect()
+    merged = rowchange.merge(left, right, ["id"], {"v": "v"}, "*")
+    assert merged.where("id IS NULL").count() == 51 and merged.where("id = 7 AND v = 1").count() == 2
