@@ -38,7 +38,7 @@ from tablecheck.sources.tables import (
 
 DICTIONARY = "dictionary_quality"
 BUCKETS = 10
-ROWS_PER_BUCKET = 5_000_000
+ROWS_PER_BUCKET = 1_000_000
 FOLDERS_AT_ONCE = 10_000
 
 
@@ -181,7 +181,7 @@ def run_quality(
         compiled = rules.compile_rules(nulls, lengths, database, table)
         fact = load(spark, f"{database}.{table}")
         name = f"{dictionary}.quality_{table}"
-        number = buckets or min(most, max(BUCKETS, math.ceil(fact.count() / ROWS_PER_BUCKET)))
+        number = buckets or bucket_number(fact.count(), most)
         ensure_table(spark, name, quality.quality_schema(fact, keys), bucket_by=(number, keys))
         _, now = table_layout(spark, name)
         if buckets is None and now:
@@ -194,6 +194,11 @@ def run_quality(
         )
 
 
+def bucket_number(rows: int, most: int) -> int:
+    """Buckets for so many rows: a task that groups a bucket by its key holds its rows at once."""
+    return min(most, max(BUCKETS, math.ceil(rows / ROWS_PER_BUCKET)))
+
+
 def run_quality_increment(
     spark: SparkSession, database: str, table: str, dictionary: str = DICTIONARY
 ) -> int:

@@ -285,3 +285,10 @@ def test_a_run_stores_each_dictionary_once(spark):
         spark.sparkContext.setJobGroup("others", "not counted")
         for name in ("few_lake", "few_dict"):
             spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_buckets_grow_with_the_rows_and_stay_small():
+    assert batch.bucket_number(1000, 100_000) == batch.BUCKETS
+    assert batch.bucket_number(36_000_000, 100_000) == 36
+    assert batch.bucket_number(216_000_000, 100_000) == 216
+    assert batch.bucket_number(216_000_000, 100) == 100
