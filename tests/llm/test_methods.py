@@ -399,6 +399,38 @@ def test_chances_of_words_sum_to_at_most_one():
     assert (10 ** lm.mixed(counts, share, np.log(left) + spelled)).sum() == pytest.approx(1)
 
 
+def test_rare_pairs_of_units_and_rare_words_count_like_frequent_ones(spark, monkeypatch):
+    words = "grove Übung stone's river42 naïve quartz-like 中文字 lantern ember fjord".split()
+    rows = [(n, " ".join(words[(n * k) % (2 + n % 9)] for k in range(1, 20 + n))) for n in range(60)]
+    rows += [(n, text) for n, text in rows if n % 7 == 0] + [(None, "fjord of no id"), (99, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def scores():
+        found = lm.score(df).collect()
+        return {(r["doc_id"], r["held_out"]): (r["score"], r["base_score"], r["n_known"]) for r in found}
+
+    whole = scores()
+    for pairs, known in ((40, 200_000), (0, 5), (300_000, 0)):
+        monkeypatch.setattr(lm, "KNOWN_PAIRS", pairs)
+        monkeypatch.setattr(lm, "KNOWN_WORDS", known)
+        joined = scores()
+        assert joined.keys() == whole.keys() and len(whole) == 62
+        for key, values in joined.items():
+            assert values == pytest.approx(whole[key], rel=1e-9)
+
+
+def test_training_windows_keep_all_in_a_byte_a_unit():
+    from tablecheck.llm import attention
+
+    rng = np.random.default_rng(1)
+    for size in (1, 31, 32, 33, 200):
+        x, target = attention.windows(rng.integers(0, attention.CLASSES, size))
+        data = [row.tobytes() for row in attention.packed(x, target)]
+        assert all(len(row) == attention.SPAN + 1 for row in data)
+        both = sorted(np.concatenate([x, target], axis=1).astype(np.int16).tolist())
+        assert sorted(np.concatenate(attention.unpacked(data), axis=1).tolist()) == both
+
+
 def test_attention_is_causal_and_scores_each_unit_once():
     from tablecheck.llm import attention
 
