@@ -436,6 +436,62 @@ def test_training_windows_keep_all_in_a_byte_a_unit():
         assert sorted(np.concatenate(attention.unpacked(data), axis=1).tolist()) == both
 
 
+def _plain_loss(attention, w, bigram, x, target):
+    """Mean loss of each target by softmax as written in books, in doubles; its log chances."""
+    chances = []
+    for row, wanted in zip(x, target):
+        for step in range(attention.STEP):
+            if wanted[step] < 0:
+                continue
+            place = attention.CONTEXT + step
+            seen = [i for i in range(place + 1) if row[i] != attention.PAD_CLASS]
+            query = w.embed[row[place]] @ w.query
+            scores = [
+                query @ (w.embed[row[i]] @ w.key) * attention.WIDTH**-0.5 + w.near[place - i]
+                for i in seen
+            ]
+            shares = np.exp(scores) / np.exp(scores).sum()
+            drawn = sum(s * (w.embed[row[i]] @ w.value) for s, i in zip(shares, seen))
+            inner = np.tanh((w.embed[row[place]] + drawn) @ w.inner + w.inner_bias)
+            logits = inner @ w.outer + w.outer_bias + bigram[row[place]]
+            chances.append(logits[wanted[step]] - np.log(np.exp(logits).sum()))
+    return -np.mean(chances), np.array(chances)
+
+
+def test_network_and_its_gradient_by_tables_equal_the_plain_formulas():
+    from tablecheck.llm import attention
+
+    rng = np.random.default_rng(2)
+    x, target = zip(*(attention.windows(rng.integers(0, attention.CLASSES, n)) for n in (0, 5, 40)))
+    x, target = np.concatenate(x), np.concatenate(target)
+    bigram = rng.normal(size=(attention.CLASSES + 2, attention.CLASSES)).astype(np.float32)
+    flat = attention.Weights.fresh().flat() + rng.normal(0, 0.1, 6504).astype(np.float32)
+    weights = attention.Weights.of(flat)
+    loss, chances = _plain_loss(attention, weights, bigram, x, target)
+    assert attention.log_chances(weights, bigram, x, target) == pytest.approx(chances, abs=1e-4)
+    found = attention._gradients(weights, bigram, x, target, attention._Room())
+    wide = flat.astype(np.float64)
+    for _ in range(12):  # along a direction, as a difference of losses
+        direction = rng.normal(size=len(flat)) * (rng.random(len(flat)) < 0.2)
+        up, down = (
+            _plain_loss(attention, attention.Weights.views(wide + s * direction), bigram, x, target)[0]
+            for s in (1e-4, -1e-4)
+        )
+        assert (up - down) / 2e-4 == pytest.approx(found @ direction, abs=2e-3, rel=2e-3)
+
+
+def test_slots_find_places_of_all_numbers_and_of_no_others():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 7, 5000):
+        numbers = np.unique(rng.integers(0, 1 << 40, size))
+        slots = sentencepieces._Slots(numbers)
+        assert slots.places(numbers).tolist() == list(range(len(numbers)))
+        others = np.setdiff1d(rng.integers(0, 1 << 40, 20_000), numbers)
+        both = np.concatenate([others, numbers]).reshape(1, -1)
+        want = [len(numbers)] * len(others) + list(range(len(numbers)))
+        assert slots.places(both).tolist() == [want]
+
+
 def test_attention_is_causal_and_scores_each_unit_once():
     from tablecheck.llm import attention
 
