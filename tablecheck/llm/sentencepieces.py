@@ -53,6 +53,48 @@ NEVER = np.iinfo(np.int32).max
 _WORDS = re.compile(rf"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 
 
+class _Slots:
+    """Places of different numbers from 0 in their row, by an open table of eight times as
+    many slots or more: a number is in its hash's slot, or in a later one before an empty."""
+
+    def __init__(self, numbers: np.ndarray) -> None:
+        bits = (8 * len(numbers) + 8).bit_length()
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.numbers = np.full(1 << bits, -1, np.int64)
+        self.at = np.full(1 << bits, len(numbers), np.int32)
+        waiting, slots = np.arange(len(numbers)), self._slots(numbers)
+        while len(waiting):
+            free = self.numbers[slots] < 0
+            self.numbers[slots[free]] = numbers[waiting[free]]  # the last of those that meet
+            placed = self.numbers[slots] == numbers[waiting]
+            self.at[slots[placed]] = waiting[placed]
+            waiting, slots = waiting[~placed], (slots[~placed] + 1) & self.last
+
+    def _slots(self, numbers: np.ndarray) -> np.ndarray:
+        mixed = numbers.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        mixed >>= self.shift
+        return mixed.view(np.int64)
+
+    def places(self, numbers: np.ndarray) -> np.ndarray:
+        """Places of any numbers from 0; how many there are, for numbers that are none of them."""
+        slots = self._slots(numbers)
+        there, found = self.numbers.take(slots), self.at.take(slots)
+        others = np.nonzero((there != numbers) & (there >= 0))
+        if not len(others[0]):
+            return found
+        slots, numbers = slots[others], numbers[others]
+        out = np.empty(len(numbers), found.dtype)
+        waiting = np.arange(len(numbers))
+        while len(waiting):
+            slots = (slots + 1) & self.last
+            there = self.numbers[slots]
+            done = (there == numbers) | (there < 0)
+            out[waiting[done]] = self.at[slots[done]]
+            waiting, slots, numbers = waiting[~done], slots[~done], numbers[~done]
+        found[others] = out
+        return found
+
+
 class PieceBpe:
     """Merges of one model and the words seen with them."""
 
@@ -88,19 +130,22 @@ class PieceBpe:
             for k in range(1, len(piece))
             if piece[:k] in self.ids and piece[k:] in self.ids
         )
-        self.pairs = np.array([pair for pair, _, _ in pairs] + [np.iinfo(np.int64).max])
+        self.slots = _Slots(np.array([pair for pair, _, _ in pairs], np.int64))
         _, ranks = np.unique(np.array([score for _, score, _ in pairs]), return_inverse=True)
         self.ranks = np.append(ranks, NEVER).astype(np.int32)
         self.merged = np.array([i for _, _, i in pairs] + [self.none], np.int32)
+        # a rank tells the merged piece, unless pieces share its score
+        self.by_rank = np.full(len(pairs), self.none, np.int32)
+        self.by_rank[ranks] = self.merged[:-1]
+        self.shared = np.zeros(len(pairs), bool)
+        self.shared[ranks[self.by_rank[ranks] != self.merged[:-1]]] = True
 
     def _pair(self, first, second):
         return first * (self.none + 1) + second
 
     def _found(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Places in ``pairs`` of pairs of ids; the last place, of none, for the others."""
-        pair = self._pair(first.astype(np.int64), second)
-        at = np.searchsorted(self.pairs, pair)
-        return np.where(self.pairs[at] == pair, at, len(self.pairs) - 1)
+        """Places of pairs of ids in ``ranks``; the last place, of none, for the others."""
+        return self.slots.places(self._pair(first.astype(np.int64), second))
 
     def letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the words' characters in a row, how many each word has, and the words that
@@ -178,16 +223,23 @@ class PieceBpe:
                 skipped[here] += 1
                 due[here] += 1 + gaps(rows[here], skipped[here])
             here = np.flatnonzero(~skip)
+            flat_parts, flat_ranks = parts.reshape(-1), ranks.reshape(-1)  # the same arrays
             i = at[here]
-            whole = self.merged[self._found(parts[here, i], parts[here, i + 1])]
+            place = here * parts.shape[1] + i
+            rank = flat_ranks.take(place)
+            whole = self.by_rank[rank]
+            asked = np.flatnonzero(self.shared[rank])
+            if len(asked):
+                pair = flat_parts[place[asked]], flat_parts[place[asked] + 1]
+                whole[asked] = self.merged[self._found(*pair)]
             moved = columns > np.where(skip, len(columns), at)[:, None]
             parts[:, :-1] = np.where(moved, parts[:, 1:], parts[:, :-1])
             ranks[:, :-1] = np.where(moved, ranks[:, 1:], ranks[:, :-1])
-            parts[here, i] = whole
-            ranks[here, i] = self.ranks[self._found(whole, parts[here, i + 1])]
+            flat_parts[place] = whole
+            flat_ranks[place] = self.ranks.take(self._found(whole, flat_parts.take(place + 1)))
             before = i > 0
-            b, j = here[before], i[before]
-            ranks[b, j - 1] = self.ranks[self._found(parts[b, j - 1], whole[before])]
+            last, whole = place[before] - 1, whole[before]
+            flat_ranks[last] = self.ranks.take(self._found(flat_parts.take(last), whole))
             sizes[here] -= 1
             number += 1
         return out, kept
@@ -291,9 +343,8 @@ class Dropout:
         ]
 
     def _encoded(self, waiting: list[tuple]) -> Iterator[bytes | None]:
-        self.plain.learn({
-            word for stretches, _ in waiting for words in stretches or [] for word in words
-        })
+        every = (words for stretches, _ in waiting for words in stretches or [])
+        self.plain.learn(set(itertools.chain.from_iterable(every)))
         skips: list[tuple] = []
         cut = [None if words is None else self._text(words, key, skips) for words, key in waiting]
         self._segment_all(skips)
@@ -309,24 +360,33 @@ class Dropout:
         for n, words in enumerate(stretches):
             if n:
                 out.append(self.bpe.mark_bytes)
-            found = list(map(self.plain.__getitem__, words))
+            if not words:
+                continue
+            merges, ids, letters = zip(*map(self.plain.__getitem__, words))
             start = len(out)
-            out.extend([ids for _, ids, _ in found])
-            if self.rate > 0 and words:
-                self._skips(words, found, out, start, base, number, skips)
+            out.extend(ids)
+            if self.rate > 0:
+                self._skips(words, merges, letters, out, start, base, number, skips)
             number += len(words)
         return out
 
     def _skips(
-        self, words: list, found: list, out: list, start: int, base: int, number: int, skips: list
+        self,
+        words: list,
+        merges: tuple,
+        letters: tuple,
+        out: list,
+        start: int,
+        base: int,
+        number: int,
+        skips: list,
     ) -> None:
         """Find the words that have a skip, and cut those at once that don't fit an array."""
-        merges = np.fromiter((count for count, _, _ in found), np.int64, len(words))
         due = self._gaps(base, np.arange(number, number + len(words)), 0)
-        active = np.flatnonzero(due < merges)
+        active = np.flatnonzero(due < np.array(merges, np.int64))
         fit = []
         for at in active.tolist():
-            if found[at][2] is not None:
+            if letters[at] is not None:
                 fit.append(at)
                 continue
             every = np.arange(3 * len(words[at]))  # no word has three times its candidates
@@ -335,8 +395,8 @@ class Dropout:
             out[start + at] = PieceBpe._packed(cut)
         if fit:
             at = np.array(fit)
-            letters = [found[i][2] for i in fit]
-            skips.append((out, (start + at).tolist(), number + at, due[at], letters, base))
+            own = [letters[i] for i in fit]
+            skips.append((out, (start + at).tolist(), number + at, due[at], own, base))
 
     def _segment_all(self, skips: list[tuple]) -> None:
         """Cut the words that have skips, and put their ids in their places."""
@@ -394,7 +454,7 @@ class _Words(Memory):
 
     def learn(self, words: set[str]) -> None:
         """Remember all of the words that fit an array, together."""
-        new = list(words - self.keys())
+        new = [word for word in words if word not in self]
         if self.used + len(new) * (self.ENTRY_BYTES + 150) > self.most:
             self.clear()
             self.used, new = 0, list(words)
@@ -404,11 +464,20 @@ class _Words(Memory):
         letters, sizes = letters[np.repeat(fit, sizes)], sizes[fit]
         found, counts = self.bpe.cut_all(letters, sizes, np.full(len(sizes), -1), lambda rows, n: n)
         data, ends = letters.astype("<u4").tobytes(), (np.cumsum(sizes) * 4).tolist()
-        merges, start = (sizes - counts).tolist(), 0
-        for at, ids, count, end in zip(np.flatnonzero(fit).tolist(), found, merges, ends):
-            own = data[start:end] if count else None
-            self.keep(new[at], (count, ids, own), 100 + len(ids) + end - start)
-            start = end
+        merges = (sizes - counts).tolist()
+        own = [
+            data[start:end] if count else None
+            for start, end, count in zip([0, *ends], ends, merges)
+        ]
+        kept = zip(itertools.compress(new, fit.tolist()), zip(merges, found, own))
+        size = (self.ENTRY_BYTES + 100) * len(sizes) + 4 * int(counts.sum() + sizes.sum())
+        if self.used + size <= self.most:
+            self.used += size
+            self.update(kept)
+            return
+        for word, (count, ids, part) in kept:
+            self.keep(word, (count, ids, part), 100 + len(ids) + len(part or b""))
+
 
 
 def encode(
