@@ -480,6 +480,127 @@ def test_network_and_its_gradient_by_tables_equal_the_plain_formulas():
         assert (up - down) / 2e-4 == pytest.approx(found @ direction, abs=2e-3, rel=2e-3)
 
 
+def _few_units(attention, number=5000, seed=5):
+    """Counts of which units beyond the most frequent share classes, and their split."""
+    counts = np.zeros(attention.UNITS)
+    counts[:number] = 1e6 / np.random.default_rng(seed).permutation(np.arange(1, number + 1))
+    return counts, attention.Split(attention.classes_of(counts))
+
+
+def test_units_of_one_class_are_told_apart_by_the_network():
+    from tablecheck.llm import attention
+
+    counts, split = _few_units(attention)
+    shared = np.flatnonzero(np.bincount(split.classes[:5000])[split.classes[:5000]] > 400)
+    first = shared[split.classes[shared] == split.classes[shared[0]]][:4]
+    a, b, c, d = first.tolist()
+    rng = np.random.default_rng(0)  # after a comes c, after b comes d, all of the same class
+    texts = [np.ravel([[(a, c), (b, d)][n] for n in rng.integers(0, 2, 60)]) for _ in range(400)]
+    x, target = zip(*(attention.windows(t, attention.BEGIN, attention.PAD) for t in texts))
+    x, target = np.concatenate(x), np.concatenate(target)
+    bigram = np.zeros((attention.CLASSES + 2, attention.CLASSES), np.float32)
+    weights, own, met, _ = attention.train(
+        attention.Weights.fresh(), attention.Own.fresh(split, counts), split, bigram,
+        x, target, 0.006, 1,
+    )
+    assert met[[a, b, c, d]].sum() == np.isin(x, first).sum() == (x < attention.BEGIN).sum()
+    chances = {}
+    for before in (a, b):
+        for after in (c, d):
+            row = np.array([a, c, b, d, before, after])
+            windows = attention.windows(row, attention.BEGIN, attention.PAD)
+            found = attention.unit_log_chances(weights, own, split, bigram, *windows)
+            chances[before, after] = np.exp(found[1][-1])
+    assert chances[a, c] > 0.75 and chances[b, d] > 0.75
+    assert chances[a, d] < 0.1 and chances[b, c] < 0.1
+
+
+def test_chances_of_all_units_sum_to_one_and_start_as_their_counts():
+    from tablecheck.llm import attention
+
+    counts, split = _few_units(attention)
+    own = attention.Own.fresh(split, counts)
+    weights = attention.Weights.fresh()
+    rng = np.random.default_rng(1)
+    bigram = rng.normal(size=(attention.CLASSES + 2, attention.CLASSES)).astype(np.float32)
+    bigram[:, np.bincount(split.classes)[: attention.CLASSES] == 0] = -20  # never seen
+    for noise in (0.0, 0.3):
+        own.nodes += rng.normal(0, 1, own.nodes.shape).astype(np.float32) * np.float32(noise)
+        own.embed += rng.normal(0, 1, own.embed.shape).astype(np.float32) * np.float32(noise)
+        x, target = attention.windows(np.arange(40, 49), attention.BEGIN, attention.PAD)
+        x = np.repeat(x, attention.UNITS, axis=0)
+        target = np.full((attention.UNITS, attention.STEP), -1)
+        target[:, 9] = np.arange(attention.UNITS)
+        of_class, inside = attention.unit_log_chances(weights, own, split, bigram, x, target)
+        assert np.exp(of_class + inside).sum() == pytest.approx(1, abs=1e-4)
+        if not noise:
+            classes = split.classes[: attention.UNITS]
+            share = (counts + 0.01) / np.bincount(classes, counts + 0.01)[classes]
+            assert np.exp(inside) == pytest.approx(share, rel=1e-2)
+
+
+def test_the_gradient_of_what_is_a_units_own_is_that_of_the_loss():
+    from tablecheck.llm import attention
+
+    counts, split = _few_units(attention)
+    rng = np.random.default_rng(2)
+    units = rng.integers(0, 5000, 45)
+    units[20:30] = units[:10]  # some more than once
+    x, target = attention.windows(units, attention.BEGIN, attention.PAD)
+    bigram = rng.normal(size=(attention.CLASSES + 2, attention.CLASSES)).astype(np.float32)
+    weights, own = attention.Weights.fresh(), attention.Own.fresh(split, counts)
+    own.embed += rng.normal(0, 0.3, own.embed.shape).astype(np.float32)
+    own.nodes += rng.normal(0, 0.3, own.nodes.shape).astype(np.float32)
+    flat, *found = attention._gradients(
+        weights, bigram, x, target, attention._Room(), own, split
+    )
+
+    def loss(w, held):
+        return -sum(attention.unit_log_chances(w, held, split, bigram, x, target)).mean()
+
+    for number, name in enumerate(("embed", "nodes")):
+        places, slope, times = found[number]
+        assert len(places) > 20 and (times > 0).all() and len(set(places)) == len(places)
+        for _ in range(6):
+            direction = rng.normal(size=slope.shape).astype(np.float32)
+            up, down = own.copy(), own.copy()
+            getattr(up, name)[places] += np.float32(1e-2) * direction
+            getattr(down, name)[places] -= np.float32(1e-2) * direction
+            change = (loss(weights, up) - loss(weights, down)) / 2e-2
+            assert change == pytest.approx((slope * direction).sum(), abs=3e-3, rel=1e-2)
+    direction = rng.normal(size=len(flat)).astype(np.float32) * np.float32(1e-2)
+    up, down = (attention.Weights.of(weights.flat() + s * direction) for s in (1, -1))
+    assert loss(up, own) - loss(down, own) == pytest.approx(2 * flat @ direction, abs=1e-3, rel=2e-2)
+
+
+def test_training_windows_keep_the_units_themselves():
+    from tablecheck.llm import attention
+
+    _, split = _few_units(attention)
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 32, 33, 200):
+        units = rng.integers(0, attention.UNITS, size)
+        x, target = attention.windows(units, attention.BEGIN, attention.PAD)
+        found = attention.unpacked(attention.packed_units(split, units), split)
+        both = np.concatenate([x, target], axis=1).tolist()
+        assert sorted(np.concatenate(found, axis=1).tolist()) == sorted(both)
+
+
+def test_what_tasks_learned_of_a_unit_is_averaged_over_those_that_met_it():
+    width = lm.PARTS[1][1]
+    values = np.zeros((4, width), np.float32)
+    batches = []
+    for row, (value, weight) in enumerate([(1.0, 3), (5.0, 1)]):
+        values[2], values[row] = value, 10 + value
+        met = np.array([row == 0, row == 1, 1, 0]) * weight
+        batches.append(lm._rows_of(lm.PARTS[1][0], values, met))
+    found = {}
+    for batch in lm._means(iter(batches)):
+        for part, rows, weight, means in lm._parts_of(batch):
+            found |= {(part, row): mean[0] for row, mean in zip(rows.tolist(), means)}
+    assert found == {(1, 0): 11.0, (1, 1): 15.0, (1, 2): 2.0}
+
+
 def test_slots_find_places_of_all_numbers_and_of_no_others():
     rng = np.random.default_rng(4)
     for size in (0, 1, 7, 5000):
