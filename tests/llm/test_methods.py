@@ -7,11 +7,13 @@ import random
 import re
 import zlib
 from collections import Counter
+from unittest.mock import MagicMock
 
 import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -601,6 +603,27 @@ def test_what_tasks_learned_of_a_unit_is_averaged_over_those_that_met_it():
     assert found == {(1, 0): 11.0, (1, 1): 15.0, (1, 2): 2.0}
 
 
+def test_equal_words_are_cut_once_for_the_counts_of_units(spark, monkeypatch):
+    from tablecheck.llm import attention
+
+    texts = [" ".join(f"w{n % 7}é{k % 11}." for k in range(40)) for n in range(30)] + ["", "  "]
+    df = spark.createDataFrame([(text,) for text in texts], "text string").coalesce(1)
+    found = [lm.units_of(text, lm.WordBpe.of())[0] for text in texts]
+    want = np.bincount(np.concatenate(found), minlength=attention.UNITS)
+    for at_once in (lm.WORDS_AT_ONCE, 10):
+        monkeypatch.setattr(lm, "WORDS_AT_ONCE", at_once)
+        assert (lm._unit_counts(df) == want).all()
+    monkeypatch.undo()
+    taken, cut = [], lm._cut
+    monkeypatch.setattr(lm, "_cut", lambda words, bpe: taken.extend(words) or cut(words, bpe))
+    rows = MagicMock()
+    lm._unit_counts(rows)
+    run = rows.select.return_value.mapInArrow.call_args.args[0]
+    (batch,) = run(iter([pa.RecordBatch.from_pydict({"text": texts})]))
+    assert dict(zip(*batch.to_pydict().values())) == {u: want[u] for u in np.flatnonzero(want)}
+    assert sorted(taken) == sorted({word for text in texts for word in text.encode().split()})
+
+
 def test_slots_find_places_of_all_numbers_and_of_no_others():
     rng = np.random.default_rng(4)
     for size in (0, 1, 7, 5000):
