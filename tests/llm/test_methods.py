@@ -588,6 +588,21 @@ def test_training_windows_keep_the_units_themselves():
         assert sorted(np.concatenate(found, axis=1).tolist()) == sorted(both)
 
 
+def test_tasks_get_what_is_a_units_own_in_few_bytes_and_whole():
+    import pickle
+
+    from tablecheck.llm import attention
+
+    counts, split = _few_units(attention)
+    own = attention.Own.fresh(split, counts)
+    own.embed[[3, attention.BEGIN]] = 0.5
+    own.nodes[[5, 4000], :-1] = -0.25
+    data = pickle.dumps(own)
+    found = pickle.loads(data)
+    assert (found.embed == own.embed).all() and (found.nodes == own.nodes).all()
+    assert len(data) < 500_000 < own.embed.nbytes + own.nodes.nbytes
+
+
 def test_what_tasks_learned_of_a_unit_is_averaged_over_those_that_met_it():
     width = lm.PARTS[1][1]
     values = np.zeros((4, width), np.float32)
